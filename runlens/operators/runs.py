@@ -40,6 +40,7 @@ STATE_COLUMNS = (
     "error_messages",
     "first_cluster",
     "first_pipeline_type",
+    "error_flows",
 )
 
 
@@ -61,6 +62,8 @@ def run_state(enriched: DataFrame, cfg: Config | None = None) -> DataFrame:
         F.collect_set(F.when(level_is(S.LEVEL_ERROR), F.col("message"))).alias("error_messages"),
         earliest_non_null("cluster_id").alias("first_cluster"),
         earliest_non_null("pipeline_type").alias("first_pipeline_type"),
+        # datasets (flows) hit by an error; bounded by the flows of a pipeline
+        F.collect_set(F.when(level_is(S.LEVEL_ERROR), F.col("flow_name"))).alias("error_flows"),
     )
 
 
@@ -78,10 +81,14 @@ def merge_run_state(*states: DataFrame) -> DataFrame:
         F.array_distinct(F.flatten(F.collect_list("error_messages"))).alias("error_messages"),
         F.min("first_cluster").alias("first_cluster"),
         F.min("first_pipeline_type").alias("first_pipeline_type"),
+        F.array_distinct(F.flatten(F.collect_list("error_flows"))).alias("error_flows"),
     )
 
 
-def finalize_runs(state: DataFrame, cfg: Config | None = None) -> DataFrame:
+def finalize_runs(state: DataFrame, cfg: Config | None = None, detail: bool = False, keep_all: bool = False) -> DataFrame:
+    """Runs table from a run state.  ``detail`` adds ``error_datasets``
+    (sorted distinct flow names of the run's ERROR events); ``keep_all``
+    skips the duration floor."""
     cfg = cfg or Config()
     runs = state.select(
         *S.RUN_KEYS,
@@ -96,13 +103,14 @@ def finalize_runs(state: DataFrame, cfg: Config | None = None) -> DataFrame:
         F.array_sort("error_messages").alias("error_messages"),
         F.col("first_cluster.v").alias("cluster_id"),
         F.col("first_pipeline_type.v").alias("pipeline_type"),
+        *([F.array_sort("error_flows").alias("error_datasets")] if detail else []),
     )
-    return (
+    runs = (
         runs.withColumn("duration_minutes", duration_minutes("run_start", "run_end"))
         .withColumn("has_errors", F.col("error_count") > 0)
         .withColumn("status", run_status(F.col("error_count"), F.col("total_events"), cfg.incomplete_below_events))
-        .filter(F.col("duration_minutes") > F.lit(cfg.min_run_minutes))
     )
+    return runs if keep_all else runs.filter(F.col("duration_minutes") > F.lit(cfg.min_run_minutes))
 
 
 def pipeline_runs(enriched: DataFrame, cfg: Config | None = None) -> DataFrame:

@@ -166,22 +166,25 @@ PERF_COLUMNS = (
 PERFORMANCE_METRICS = with_runs(f"SELECT {PERF_COLUMNS} FROM perf", extra=PERF_CTE)
 
 
-def _error_analysis(cfg: Config = CFG) -> str:
+def _errs_cte(cfg: Config = CFG) -> str:
     n = cfg.sample_messages
-    return with_events(
-        f"""
-SELECT pipeline_name, pipeline_id, event_type,
-  count(*) AS error_count,
-  count(DISTINCT update_id) AS affected_runs,
-  min("timestamp") AS first_error,
-  max("timestamp") AS last_error,
-  coalesce(array_to_string(list_slice(list(message ORDER BY "timestamp" ASC NULLS LAST, message)
-                                      FILTER (WHERE message IS NOT NULL), 1, {n}), '|'), '') AS sample_error_messages,
-  (list(message ORDER BY "timestamp" ASC NULLS LAST, message) FILTER (WHERE message IS NOT NULL))[1] AS sample_message
-FROM enriched
-WHERE level = 'ERROR'
-GROUP BY pipeline_name, pipeline_id, event_type"""
-    )
+    return f"""errs AS (
+  SELECT pipeline_name, pipeline_id, event_type,
+    count(*) AS error_count,
+    count(DISTINCT update_id) AS affected_runs,
+    min("timestamp") AS first_error,
+    max("timestamp") AS last_error,
+    coalesce(array_to_string(list_slice(list(message ORDER BY "timestamp" ASC NULLS LAST, message)
+                                        FILTER (WHERE message IS NOT NULL), 1, {n}), '|'), '') AS sample_error_messages,
+    (list(message ORDER BY "timestamp" ASC NULLS LAST, message) FILTER (WHERE message IS NOT NULL))[1] AS sample_message
+  FROM enriched
+  WHERE level = 'ERROR'
+  GROUP BY pipeline_name, pipeline_id, event_type
+)"""
+
+
+def _error_analysis(cfg: Config = CFG) -> str:
+    return with_events("SELECT * FROM errs", cfg, extra=_errs_cte(cfg))
 
 
 ERROR_ANALYSIS = _error_analysis()
@@ -238,3 +241,352 @@ SELECT pipeline_name, cluster_id, runs_on_cluster, round(avg_duration_on_cluster
 FROM cluster""",
     extra=CLUSTER_CTE,
 )
+
+
+# ------------------------------------------------------------ sources
+
+_RAW = Config(days_back=None)
+
+FLAT_COLUMNS = (
+    'id, "timestamp", level, event_type, message, details, pipeline_id, pipeline_name, pipeline_type, '
+    "update_id, flow_id, flow_name, cluster_id, batch_id, request_id, "
+    "source_catalog, source_schema, source_table, source_full_name"
+)
+
+
+def _stamp(cfg: Config = CFG) -> str:
+    return f"{_ts(cfg.as_of)} AS consolidated_at"
+
+
+CONSOLIDATED_EVENTS = with_events(
+    f"""
+SELECT source_catalog, source_schema, source_table, source_full_name,
+  count(*) AS row_count,
+  count(*) FILTER (WHERE batch_id IS NULL) AS null_batch_id,
+  count(*) FILTER (WHERE details IS NULL) AS null_details,
+  count(*) FILTER (WHERE pipeline_id IS NULL) AS null_pipeline_id,
+  min("timestamp") AS first_event,
+  max("timestamp") AS last_event,
+  {_stamp()}
+FROM logs
+GROUP BY source_catalog, source_schema, source_table, source_full_name"""
+)
+
+ENRICHED_EVENTS = with_events(f"SELECT {FLAT_COLUMNS}, {_stamp()} FROM enriched")
+
+RECENT_EVENTS_CFG = Config(days_back=7)
+RECENT_EVENTS = with_events(f"SELECT {FLAT_COLUMNS}, {_stamp()} FROM enriched", RECENT_EVENTS_CFG)
+
+SCAN_LOG = with_events(
+    """
+SELECT id, "timestamp", level, event_type, message, details, pipeline_id, pipeline_name, pipeline_type,
+       update_id, flow_id, flow_name, cluster_id, batch_id, request_id
+FROM logs WHERE source_table = 'event_log_2'""",
+    _RAW,
+)
+
+LOG_ROW_COUNTS = with_events(
+    """
+SELECT source_catalog AS catalog, source_schema AS schema, source_table AS "table",
+       source_full_name AS full_name, count(*) AS row_count
+FROM logs GROUP BY ALL""",
+    _RAW,
+)
+
+INVENTORY_BY_CATALOG = with_events(
+    """
+SELECT source_catalog AS catalog, count(DISTINCT source_full_name) AS table_count,
+       CAST(count(*) AS BIGINT) AS total_rows
+FROM logs GROUP BY source_catalog""",
+    _RAW,
+)
+
+SQL_OVER_VIEWS = with_runs(
+    """
+SELECT pipeline_name, total_runs, round(success_rate, 6) AS success_rate,
+       round(avg_duration_minutes, 6) AS avg_duration_minutes
+FROM perf""",
+    extra=PERF_CTE,
+)
+
+# ------------------------------------------------------ filters & breakdowns
+
+FAILED_RUNS = with_runs(
+    """
+SELECT pipeline_name, run_start, round(duration_minutes, 6) AS duration_minutes, error_count
+FROM runs WHERE status = 'FAILED'"""
+)
+
+FAILED_RUNS_7D = with_runs(
+    f"""
+SELECT pipeline_name, run_start, round(duration_minutes, 6) AS duration_minutes, error_count
+FROM runs WHERE status = 'FAILED' AND run_start >= {_ts(CFG.as_of - dt.timedelta(days=7))}"""
+)
+
+PIPELINE_HEALTH = with_runs(
+    """
+SELECT pipeline_name, total_runs, round(success_rate, 6) AS success_rate,
+       round(avg_duration_minutes, 6) AS avg_duration_minutes
+FROM perf WHERE success_rate < 0.95 OR avg_duration_minutes > 60""",
+    extra=PERF_CTE,
+)
+
+RUNS_BY_NAME_VALUE = "pipe_1"
+
+RUNS_BY_NAME = with_runs(
+    f"""
+SELECT pipeline_id, pipeline_name, update_id, source_full_name, run_start, run_end, run_date,
+       total_events, unique_event_types, error_count, warning_count, info_count, error_messages,
+       cluster_id, pipeline_type, round(duration_minutes, 6) AS duration_minutes, has_errors, status
+FROM runs WHERE pipeline_name = '{RUNS_BY_NAME_VALUE}'"""
+)
+
+STATUS_BREAKDOWN = with_runs(
+    """
+SELECT status, count(*) AS runs, CAST(sum(total_events) AS BIGINT) AS events,
+       CAST(sum(error_count) AS BIGINT) AS errors
+FROM runs GROUP BY status"""
+)
+
+STAGE_COUNTS = with_runs(
+    """
+SELECT 'consolidated' AS stage, count(*) AS row_count FROM logs
+UNION ALL SELECT 'enriched', count(*) FROM enriched
+UNION ALL SELECT 'run_groups', count(*) FROM run_groups
+UNION ALL SELECT 'runs', count(*) FROM runs"""
+)
+
+# ------------------------------------------------------ documented analyses
+
+DAILY_SUCCESS_RATE = with_runs(
+    """
+SELECT run_date, count(*) AS total_runs,
+  count(*) FILTER (WHERE status = 'SUCCESS') AS successful_runs,
+  count(*) FILTER (WHERE status = 'FAILED') AS failed_runs,
+  round(count(*) FILTER (WHERE status = 'SUCCESS') / CAST(count(*) AS DOUBLE), 6) AS success_rate
+FROM runs GROUP BY run_date"""
+)
+
+PERFORMANCE_PERCENTILES = with_runs(
+    """
+SELECT pipeline_name, pipeline_id, count(*) AS total_runs,
+  round(quantile_disc(duration_minutes, 0.5), 6) AS p50_duration_minutes,
+  round(quantile_disc(duration_minutes, 0.95), 6) AS p95_duration_minutes
+FROM runs GROUP BY pipeline_name, pipeline_id"""
+)
+
+DAILY_DURATION_TRENDS = with_runs(
+    """
+SELECT pipeline_name, run_date, count(*) AS runs,
+  round(avg(duration_minutes), 6) AS avg_minutes,
+  round(quantile_disc(duration_minutes, 0.5), 6) AS median_minutes,
+  round(quantile_disc(duration_minutes, 0.95), 6) AS p95_minutes
+FROM runs GROUP BY pipeline_name, run_date"""
+)
+
+RECENT_ACTIVITY_30D = _recent_activity(days=30)
+
+CLUSTERS_PER_PIPELINE = with_runs(
+    """
+SELECT pipeline_name, pipeline_id, count(DISTINCT cluster_id) AS unique_clusters,
+  coalesce(array_to_string(list_sort(list(DISTINCT cluster_id) FILTER (WHERE cluster_id IS NOT NULL)), '|'), '')
+    AS clusters
+FROM runs GROUP BY pipeline_name, pipeline_id"""
+)
+
+ERROR_SIGNATURES = with_events(
+    """
+SELECT regexp_replace(message, '[0-9]+', '#', 'g') AS signature,
+  count(*) AS events, count(DISTINCT update_id) AS runs, count(DISTINCT pipeline_id) AS pipelines,
+  min("timestamp") AS first_seen, max("timestamp") AS last_seen
+FROM enriched WHERE level = 'ERROR'
+GROUP BY regexp_replace(message, '[0-9]+', '#', 'g')"""
+)
+
+RUN_FLOW_BREAKDOWN = with_events(
+    f"""
+SELECT pipeline_id, pipeline_name, update_id, source_full_name, flow_name,
+  min("timestamp") AS first_event, max("timestamp") AS last_event, count(*) AS events,
+  count(*) FILTER (WHERE level = 'ERROR') AS errors,
+  round(({_secs('max("timestamp")')} - {_secs('min("timestamp")')}) / 60.0, 6) AS span_minutes
+FROM enriched
+GROUP BY pipeline_id, pipeline_name, update_id, source_full_name, flow_name"""
+)
+
+DURATION_SLOPE = with_runs(
+    f"""
+SELECT pipeline_name, pipeline_id, runs,
+  round(slope, 4) AS slope_minutes_per_day,
+  round(intercept, 4) AS fitted_minutes_at_as_of,
+  round(intercept + slope * {float(CFG.projection_days)}, 4) AS projected_minutes
+FROM (
+  SELECT pipeline_name, pipeline_id, count(*) AS runs,
+    regr_slope(duration_minutes, CAST(datediff('day', {_d(CFG.as_of_date)}, run_date) AS DOUBLE)) AS slope,
+    regr_intercept(duration_minutes, CAST(datediff('day', {_d(CFG.as_of_date)}, run_date) AS DOUBLE)) AS intercept
+  FROM runs GROUP BY pipeline_name, pipeline_id
+)"""
+)
+
+FAILED_RUN_DETAIL = with_runs(
+    """
+SELECT r.pipeline_id, r.pipeline_name, r.update_id, r.source_full_name, r.run_start,
+  round(r.duration_minutes, 6) AS duration_minutes, r.error_count, r.error_messages,
+  coalesce(f.error_datasets, '') AS error_datasets
+FROM runs r
+LEFT JOIN (
+  SELECT pipeline_id, pipeline_name, update_id, source_full_name,
+    array_to_string(list_sort(list(DISTINCT flow_name)), '|') AS error_datasets
+  FROM enriched WHERE level = 'ERROR' AND flow_name IS NOT NULL
+  GROUP BY ALL
+) f
+  ON r.pipeline_id IS NOT DISTINCT FROM f.pipeline_id AND r.pipeline_name IS NOT DISTINCT FROM f.pipeline_name
+ AND r.update_id IS NOT DISTINCT FROM f.update_id AND r.source_full_name IS NOT DISTINCT FROM f.source_full_name
+WHERE r.status = 'FAILED'"""
+)
+
+CLUSTER_RELIABILITY_RANK = with_runs(
+    """
+SELECT b.pipeline_name, b.clusters,
+  b.cluster_id AS most_reliable_cluster, round(b.success_rate_cluster, 6) AS most_reliable_success_rate,
+  b.runs_on_cluster AS most_reliable_runs,
+  w.cluster_id AS least_reliable_cluster, round(w.success_rate_cluster, 6) AS least_reliable_success_rate,
+  w.runs_on_cluster AS least_reliable_runs
+FROM ranked b JOIN ranked w ON b.pipeline_name = w.pipeline_name AND w.worst = 1
+WHERE b.best = 1""",
+    extra=CLUSTER_CTE
+    + """,
+ranked AS (
+  SELECT *,
+    row_number() OVER (PARTITION BY pipeline_name
+                       ORDER BY success_rate_cluster DESC, runs_on_cluster DESC, cluster_id DESC) AS best,
+    row_number() OVER (PARTITION BY pipeline_name
+                       ORDER BY success_rate_cluster ASC, runs_on_cluster DESC, cluster_id ASC) AS worst,
+    count(*) OVER (PARTITION BY pipeline_name) AS clusters
+  FROM cluster WHERE cluster_id IS NOT NULL
+)""",
+)
+
+DURATION_OUTLIERS = with_runs(
+    f"""
+SELECT r.pipeline_id, r.pipeline_name, r.update_id, r.source_full_name, r.run_start,
+  round(r.duration_minutes, 6) AS duration_minutes, round(q.q1, 6) AS q1_minutes, round(q.q3, 6) AS q3_minutes,
+  round(q.q3 + {CFG.outlier_iqr_factor} * (q.q3 - q.q1), 6) AS upper_fence_minutes
+FROM runs r JOIN (
+  SELECT pipeline_id, quantile_cont(duration_minutes, 0.25) AS q1, quantile_cont(duration_minutes, 0.75) AS q3
+  FROM runs GROUP BY pipeline_id
+) q ON r.pipeline_id = q.pipeline_id
+WHERE r.duration_minutes > q.q3 + {CFG.outlier_iqr_factor} * (q.q3 - q.q1)"""
+)
+
+ALERT_CANDIDATES = with_runs(
+    f"""
+SELECT 'duration_spike' AS kind, pipeline_name, pipeline_id, update_id, source_full_name, run_start,
+  round(duration_minutes, 6) AS value, round({CFG.spike_factor} * prev_sum / prev_n / 60, 6) AS threshold
+FROM (
+  SELECT *,
+    {_secs('run_end')} - {_secs('run_start')} AS dur_s,
+    count(*) OVER w AS prev_n,
+    sum({_secs('run_end')} - {_secs('run_start')}) OVER w AS prev_sum
+  FROM runs
+  WINDOW w AS (PARTITION BY pipeline_id
+               ORDER BY run_start ASC NULLS FIRST, pipeline_name ASC NULLS FIRST,
+                        update_id ASC NULLS FIRST, source_full_name ASC NULLS FIRST
+               ROWS BETWEEN {CFG.spike_window_runs} PRECEDING AND 1 PRECEDING)
+) s
+WHERE prev_n > 0 AND CAST(dur_s AS DOUBLE) * prev_n > {CFG.spike_factor} * prev_sum
+UNION ALL
+SELECT 'failure_rate', pipeline_name, pipeline_id, NULL, NULL, CAST(NULL AS TIMESTAMP),
+  round(failure_rate, 6), {CFG.failure_rate_limit}
+FROM perf WHERE failure_rate > {CFG.failure_rate_limit}
+UNION ALL
+SELECT 'error_burst', r.pipeline_name, r.pipeline_id, r.update_id, r.source_full_name, r.run_start,
+  CAST(r.error_count AS DOUBLE), round({CFG.error_burst_factor} * e.s / e.n, 6)
+FROM runs r JOIN (
+  SELECT pipeline_id, count(*) AS n, sum(error_count) AS s FROM runs GROUP BY pipeline_id
+) e ON r.pipeline_id = e.pipeline_id
+WHERE r.error_count > 0 AND CAST(r.error_count AS DOUBLE) * e.n > {CFG.error_burst_factor} * e.s""",
+    extra=PERF_CTE,
+)
+
+# ------------------------------------------------------------------ top-k
+
+LATEST_EVENTS = with_events(
+    """
+SELECT "timestamp", level, event_type, source_full_name, message FROM logs
+ORDER BY "timestamp" DESC NULLS LAST, level ASC NULLS FIRST, event_type ASC NULLS FIRST,
+         source_full_name ASC NULLS FIRST, message ASC NULLS FIRST
+LIMIT 20"""
+)
+
+_RUN_ORDER = (
+    "run_start DESC NULLS LAST, pipeline_id ASC NULLS FIRST, pipeline_name ASC NULLS FIRST, "
+    "update_id ASC NULLS FIRST, source_full_name ASC NULLS FIRST"
+)
+
+LATEST_RUNS = with_runs(
+    f"""
+SELECT pipeline_name, run_date, run_start, round(duration_minutes, 6) AS duration_minutes, status,
+       error_count, total_events, cluster_id
+FROM runs ORDER BY {_RUN_ORDER} LIMIT 20"""
+)
+
+LATEST_RUN_STATUS = with_runs(
+    f"""
+SELECT pipeline_name, status, round(duration_minutes, 6) AS duration_minutes
+FROM runs ORDER BY {_RUN_ORDER} LIMIT 20"""
+)
+
+BUSIEST_PIPELINES = with_runs(
+    """
+SELECT pipeline_name, pipeline_id, total_runs, round(success_rate, 6) AS success_rate,
+  round(avg_duration_minutes, 6) AS avg_duration_minutes, round(max_duration_minutes, 6) AS max_duration_minutes,
+  last_run_date, unique_clusters
+FROM perf""",
+    extra=PERF_CTE,
+)
+
+SLOWEST_PIPELINES = with_runs(
+    """
+SELECT pipeline_name, pipeline_id, round(avg_duration_minutes, 6) AS avg_duration_minutes,
+  round(max_duration_minutes, 6) AS max_duration_minutes
+FROM perf""",
+    extra=PERF_CTE,
+)
+
+MOST_FAILING = with_runs(
+    """
+SELECT pipeline_name, pipeline_id, failed_runs, total_runs, round(failure_rate, 6) AS failure_rate
+FROM perf""",
+    extra=PERF_CTE,
+)
+
+PIPELINE_RATES = with_runs(
+    """
+SELECT pipeline_name, round(success_rate, 6) AS success_rate, round(avg_duration_minutes, 6) AS avg_duration_minutes
+FROM perf""",
+    extra=PERF_CTE,
+)
+
+_ERR_ORDER = "error_count DESC, pipeline_name ASC NULLS FIRST, pipeline_id ASC NULLS FIRST, event_type ASC NULLS FIRST"
+
+TOP_ERRORS = with_events(
+    f"""
+SELECT pipeline_name, event_type, error_count, affected_runs, first_error, last_error, sample_message
+FROM errs ORDER BY {_ERR_ORDER} LIMIT 15""",
+    extra=_errs_cte(),
+)
+
+COMMON_ERRORS = with_events(
+    f"""
+SELECT pipeline_name, event_type, error_count, sample_message
+FROM errs ORDER BY {_ERR_ORDER} LIMIT 25""",
+    extra=_errs_cte(),
+)
+
+LATEST_ERRORS = with_events(
+    f"""
+SELECT {FLAT_COLUMNS}, {_stamp()} FROM logs WHERE level = 'ERROR'
+ORDER BY "timestamp" DESC NULLS LAST, source_full_name ASC NULLS FIRST, id ASC NULLS FIRST,
+         event_type ASC NULLS FIRST, message ASC NULLS FIRST
+LIMIT 10"""
+)

@@ -15,11 +15,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import datetime as dt
+import re
+
+from runlens import schema as S
 from runlens.config import Config
-from runlens.functions.exprs import round_doubles
+from runlens.functions.exprs import round_doubles, time_literal
 from runlens.operators import metrics as M
+from runlens.operators import ranking as R
+from runlens.operators import reports as X
+from runlens.operators.enrich import flatten_origin
+from runlens.operators.runs import finalize_runs, run_state
 from runlens.plans import oracle as O
 from runlens.plans.pipeline import Pipeline
+from runlens.plans.refresh import build_results, refresh
+from runlens.session import new_scratch
+from runlens.sources.fixture import fixture_logs, register_fixture_tables
+from runlens.sources.inventory import discover, inventory_by_catalog, log_row_counts
+from runlens.sources.logs import read_log
+from runlens.sources.sinks import register_views
+from runlens.streaming.incremental import incremental_runs
+from runlens.streaming.monitor import StreamLog, monitored_runs, start_run_monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +104,297 @@ def q_cluster_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(M.cluster_usage(fixture(spark, sf_dir).runs))
 
 
+# ------------------------------------------------------------ sources & sinks
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    return flatten_origin(df).drop("origin")
+
+
+@register("consolidated_events", O.CONSOLIDATED_EVENTS)
+def q_consolidated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Union of three logs of unequal schema: per-log rows and null fills."""
+    c = fixture(spark, sf_dir).consolidated
+    return report(
+        c.groupBy(*S.SOURCE_COLUMNS).agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(F.col("origin.batch_id").isNull()).alias("null_batch_id"),
+            F.count_if(F.col("details").isNull()).alias("null_details"),
+            F.count_if(F.col("origin.pipeline_id").isNull()).alias("null_pipeline_id"),
+            F.min("timestamp").alias("first_event"),
+            F.max("timestamp").alias("last_event"),
+            F.min(S.LOAD_STAMP).alias(S.LOAD_STAMP),
+        )
+    )
+
+
+@register("enriched_events", O.ENRICHED_EVENTS)
+def q_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(fixture(spark, sf_dir).enriched.drop("origin"))
+
+
+@register("recent_events", O.RECENT_EVENTS)
+def q_recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cutoff ``timestamp >= as_of - 7 days`` applied per log at the scan."""
+    return report(fixture(spark, sf_dir, O.RECENT_EVENTS_CFG).enriched.drop("origin"))
+
+
+@register("scan_log", O.SCAN_LOG)
+def q_scan_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read one event-log table by name from the catalog."""
+    catalog, schema, table = register_fixture_tables(spark, sf_dir)[2]
+    return report(_flat(read_log(spark, catalog, schema, table).df))
+
+
+@register("log_inventory")
+def q_log_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discovery over the session catalog (rows-only check: 3 logs; the
+    temp view and the non-matching table are skipped)."""
+    tables = register_fixture_tables(spark, sf_dir)
+    prefix = tables[0][1][: -len("s0")]
+    cfg = Config(target_catalogs=("spark_catalog",), schema_filter=re.escape(prefix))
+    return discover(spark, cfg).orderBy("catalog", "schema", "table")
+
+
+@register("log_row_counts", O.LOG_ROW_COUNTS)
+def q_log_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_row_counts(fixture_logs(spark, sf_dir))
+
+
+@register("inventory_by_catalog", O.INVENTORY_BY_CATALOG)
+def q_inventory_by_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inventory_by_catalog(log_row_counts(fixture_logs(spark, sf_dir)))
+
+
+@register("publish_roundtrip", O.PERFORMANCE_METRICS)
+def q_publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish all seven tables, read performance metrics back by name."""
+    import hashlib
+
+    db = "runlens_pub_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
+    names = refresh(spark, fixture_logs(spark, sf_dir), db, Config(), location=new_scratch(spark, "publish"), views=False)
+    return report(spark.table(names["performance_metrics"]))
+
+
+@register("sql_over_views", O.SQL_OVER_VIEWS)
+def q_sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = Config()
+    register_views(build_results(spark, fixture_logs(spark, sf_dir), cfg, materialize=False), cfg.table_prefix)
+    return report(
+        spark.sql(
+            f"SELECT pipeline_name, total_runs, success_rate, avg_duration_minutes "
+            f"FROM {cfg.table_prefix}performance_metrics ORDER BY avg_duration_minutes DESC"
+        )
+    )
+
+
+# ------------------------------------------------------ filters & breakdowns
+
+
+@register("failed_runs", O.FAILED_RUNS)
+def q_failed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.failed_runs(fixture(spark, sf_dir).runs))
+
+
+@register("failed_runs_7d", O.FAILED_RUNS_7D)
+def q_failed_runs_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    return report(R.failed_runs(p.runs, since=p.cfg.as_of - dt.timedelta(days=7)))
+
+
+@register("pipeline_health", O.PIPELINE_HEALTH)
+def q_pipeline_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.pipeline_health(M.performance_metrics(fixture(spark, sf_dir).runs)))
+
+
+@register("runs_by_name", O.RUNS_BY_NAME)
+def q_runs_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.runs_by_name(fixture(spark, sf_dir).runs, O.RUNS_BY_NAME_VALUE), sets=("error_messages",))
+
+
+@register("status_breakdown", O.STATUS_BREAKDOWN)
+def q_status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(X.status_breakdown(fixture(spark, sf_dir).runs))
+
+
+@register("stage_counts", O.STAGE_COUNTS)
+def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of every stage: one scan for consolidated/enriched and
+    one for the run groups (the run table reuses that fold)."""
+    p = fixture(spark, sf_dir)
+    ev = p.consolidated.agg(
+        F.count(F.lit(1)).alias("consolidated"),
+        F.count_if(F.col("origin.pipeline_id").isNotNull()).alias("enriched"),
+    )
+    runs = finalize_runs(p.state, p.cfg, keep_all=True)
+    rg = runs.agg(
+        F.count(F.lit(1)).alias("run_groups"),
+        F.count_if(F.col("duration_minutes") > F.lit(p.cfg.min_run_minutes)).alias("runs"),
+    )
+    def stack(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+        return df.select(
+            F.explode(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("row_count")) for n in names])).alias("s")
+        ).select("s.stage", "s.row_count")
+
+    return stack(ev, ("consolidated", "enriched")).union(stack(rg, ("run_groups", "runs")))
+
+
+# ------------------------------------------------------ documented analyses
+
+
+@register("daily_success_rate", O.DAILY_SUCCESS_RATE)
+def q_daily_success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(X.daily_success_rate(fixture(spark, sf_dir).runs))
+
+
+@register("performance_percentiles", O.PERFORMANCE_PERCENTILES)
+def q_performance_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(X.performance_percentiles(fixture(spark, sf_dir).runs))
+
+
+@register("daily_duration_trends", O.DAILY_DURATION_TRENDS)
+def q_daily_duration_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(X.daily_duration_trends(fixture(spark, sf_dir).runs))
+
+
+@register("recent_activity_30d", O.RECENT_ACTIVITY_30D)
+def q_recent_activity_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    return report(M.recent_activity(p.runs, p.cfg, days=30))
+
+
+@register("clusters_per_pipeline", O.CLUSTERS_PER_PIPELINE)
+def q_clusters_per_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(X.clusters_per_pipeline(fixture(spark, sf_dir).runs), sets=("clusters",))
+
+
+@register("error_signatures", O.ERROR_SIGNATURES)
+def q_error_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(X.error_signatures(fixture(spark, sf_dir).enriched))
+
+
+@register("run_flow_breakdown", O.RUN_FLOW_BREAKDOWN)
+def q_run_flow_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(X.run_flow_breakdown(fixture(spark, sf_dir).enriched))
+
+
+@register("duration_slope", O.DURATION_SLOPE)
+def q_duration_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    d = X.duration_slope(p.runs, p.cfg)
+    fits = ("slope_minutes_per_day", "fitted_minutes_at_as_of", "projected_minutes")
+    return report(d.select(*[F.round(c, 4).alias(c) if c in fits else F.col(c) for c in d.columns]))
+
+
+@register("failed_run_detail", O.FAILED_RUN_DETAIL)
+def q_failed_run_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    return report(X.failed_run_detail(p.state, p.cfg), sets=("error_messages", "error_datasets"))
+
+
+@register("cluster_reliability_rank", O.CLUSTER_RELIABILITY_RANK)
+def q_cluster_reliability_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.cluster_reliability_rank(fixture(spark, sf_dir).runs))
+
+
+@register("duration_outliers", O.DURATION_OUTLIERS)
+def q_duration_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    return report(X.duration_outliers(p.runs, p.cfg))
+
+
+@register("alert_candidates", O.ALERT_CANDIDATES)
+def q_alert_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    return report(R.alert_candidates(p.runs, p.cfg))
+
+
+# ------------------------------------------------------------------ top-k
+
+
+@register("latest_events", O.LATEST_EVENTS)
+def q_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.latest_events(fixture(spark, sf_dir).consolidated))
+
+
+@register("latest_runs", O.LATEST_RUNS)
+def q_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.latest_runs(fixture(spark, sf_dir).runs))
+
+
+@register("latest_run_status", O.LATEST_RUN_STATUS)
+def q_latest_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.latest_run_status(fixture(spark, sf_dir).runs))
+
+
+@register("busiest_pipelines", O.BUSIEST_PIPELINES)
+def q_busiest_pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.busiest_pipelines(M.performance_metrics(fixture(spark, sf_dir).runs)))
+
+
+@register("slowest_pipelines", O.SLOWEST_PIPELINES)
+def q_slowest_pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.slowest_pipelines(M.performance_metrics(fixture(spark, sf_dir).runs)))
+
+
+@register("most_failing", O.MOST_FAILING)
+def q_most_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.most_failing(M.performance_metrics(fixture(spark, sf_dir).runs)))
+
+
+@register("pipeline_rates", O.PIPELINE_RATES)
+def q_pipeline_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.pipeline_rates(M.performance_metrics(fixture(spark, sf_dir).runs)))
+
+
+@register("top_errors", O.TOP_ERRORS)
+def q_top_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    return report(R.top_errors(M.error_analysis(p.enriched, p.cfg)))
+
+
+@register("common_errors", O.COMMON_ERRORS)
+def q_common_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    return report(R.common_errors(M.error_analysis(p.enriched, p.cfg)))
+
+
+@register("latest_errors", O.LATEST_ERRORS)
+def q_latest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(R.latest_errors(_flat(fixture(spark, sf_dir).consolidated)))
+
+
+# ------------------------------------------------------ incremental & streaming
+
+
+@register("incremental_runs", O.PIPELINE_RUNS)
+def q_incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old state = events before as_of - 10 days; the rest arrives as a new
+    batch (runs straddling the split receive late events).  Must equal the
+    full rebuild."""
+    p = fixture(spark, sf_dir)
+    split = time_literal(p.cfg.as_of - dt.timedelta(days=10), p.enriched.schema["timestamp"].dataType)
+    old = p.enriched.filter(F.col("timestamp") < split)
+    new = p.enriched.filter(~(F.col("timestamp") < split) | F.col("timestamp").isNull())
+    return report(incremental_runs(run_state(old, p.cfg), new, p.cfg), sets=("error_messages",))
+
+
+@register("streaming_runs", O.PIPELINE_RUNS)
+def q_streaming_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming over the fixture logs written as daily files;
+    the final run state must equal the batch fold."""
+    root = new_scratch(spark, "stream")
+    logs = []
+    for log in fixture_logs(spark, sf_dir):
+        path = f"{root}/input/{log.schema}/{log.table}"
+        log.df.withColumn("event_day", F.to_date("timestamp")).write.partitionBy("event_day").parquet(path)
+        schema = spark.read.parquet(path).schema
+        logs.append(StreamLog(log.catalog, log.schema, log.table, path, schema))
+    query, store = start_run_monitor(spark, logs, root, Config(), max_files_per_trigger=10)
+    query.awaitTermination()
+    return report(monitored_runs(store, Config()), sets=("error_messages",))
+
+
 def queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 

@@ -99,3 +99,37 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_logs(spark: SparkSession, sf_dir: str) -> list[LogSource]:
     return event_logs(read_events(spark, sf_dir))
+
+
+def fixture_database(sf_dir: str, k: int) -> str:
+    """Session-catalog schema holding fixture log ``k`` of ``sf_dir``."""
+    import hashlib
+
+    h = hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
+    return f"runlens_fx_{h}_s{k}"
+
+
+def register_fixture_tables(spark: SparkSession, sf_dir: str) -> list[tuple[str, str, str]]:
+    """Write the fixture logs once per session as catalog tables
+    ``spark_catalog.runlens_fx_<hash>_s<k>.event_log_<k>`` under the shared
+    checkpoint folder, plus a non-matching table and a temporary view that
+    discovery must skip.  Returns (catalog, schema, table) of the logs."""
+    from runlens.session import new_scratch
+    from runlens.sources.logs import quote
+
+    out = []
+    root = None
+    for k, log in enumerate(fixture_logs(spark, sf_dir)):
+        db = fixture_database(sf_dir, k)
+        table = log.table
+        if not spark.catalog.tableExists(f"{db}.{table}"):
+            root = root or new_scratch(spark, "fixture-tables")
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote(db)} LOCATION '{root}/{db}'")
+            log.df.write.mode("overwrite").format("parquet").saveAsTable(f"{quote(db)}.{quote(table)}")
+            if k == 0:
+                read_events(spark, sf_dir).select("event_id").limit(0).write.mode("overwrite").format(
+                    "parquet"
+                ).saveAsTable(f"{quote(db)}.`orders`")
+        out.append(("spark_catalog", db, table))
+    read_events(spark, sf_dir).limit(0).createOrReplaceTempView("event_log_tmp")
+    return out

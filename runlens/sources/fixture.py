@@ -11,8 +11,7 @@ Log 1 lacks ``origin.batch_id`` and log 2 carries an extra top-level
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from runlens.sources.logs import LogSource
 
@@ -31,37 +30,38 @@ MESSAGE_CODES = 7
 BATCH_WIDTH = 10
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _level() -> Column:
-    et, v = F.col("event_type"), F.col("value")
-    return (
-        F.when(((et == "error") & (v > 60)) | ((et == "purchase") & (v > 150)), F.lit("ERROR"))
-        .when((et == "signup") & (v > 40), F.lit("WARN"))
-        .when((et == "view") & (v < 5), F.lit("METRICS"))
-        .otherwise(F.lit("INFO"))
-    )
-
-
-def _origin(p: Column, b: Column, with_batch: bool) -> Column:
-    eid = F.col("event_id")
-    fields = [
-        F.when(eid % NULL_PIPELINE_EVERY == 0, F.lit(None)).otherwise(F.concat(F.lit("p"), _s(p))).alias("pipeline_id"),
-        F.concat(F.lit("pipe_"), _s(p % N_NAMES)).alias("pipeline_name"),
-        F.when(p % 2 == 0, F.lit("WORKSPACE")).otherwise(F.lit("TABLE")).alias("pipeline_type"),
-        F.when(eid % NULL_UPDATE_EVERY == 0, F.lit(None))
-        .otherwise(F.concat(F.lit("u"), _s(p), F.lit("-"), _s(b)))
-        .alias("update_id"),
-        F.concat(F.lit("fl"), _s(eid % N_FLOWS)).alias("flow_id"),
-        F.concat(F.lit("flow_"), _s(eid % N_FLOWS)).alias("flow_name"),
-        F.when(p == NO_CLUSTER_PIPE, F.lit(None)).otherwise(F.concat(F.lit("c"), _s(b % N_CLUSTERS))).alias("cluster_id"),
+def _log_exprs(k: int) -> list[str]:
+    """SQL select list of fixture log ``k`` over ``events`` (one
+    ``selectExpr`` per log keeps plan construction to a few calls)."""
+    p = f"(user_id % {N_PIPES})"
+    b = f"floor(event_id / {RUN_BUCKET})"
+    origin = [
+        f"'pipeline_id', CASE WHEN event_id % {NULL_PIPELINE_EVERY} = 0 THEN NULL ELSE concat('p', CAST({p} AS STRING)) END",
+        f"'pipeline_name', concat('pipe_', CAST({p} % {N_NAMES} AS STRING))",
+        f"'pipeline_type', CASE WHEN {p} % 2 = 0 THEN 'WORKSPACE' ELSE 'TABLE' END",
+        f"'update_id', CASE WHEN event_id % {NULL_UPDATE_EVERY} = 0 THEN NULL "
+        f"ELSE concat('u', CAST({p} AS STRING), '-', CAST({b} AS STRING)) END",
+        f"'flow_id', concat('fl', CAST(event_id % {N_FLOWS} AS STRING))",
+        f"'flow_name', concat('flow_', CAST(event_id % {N_FLOWS} AS STRING))",
+        f"'cluster_id', CASE WHEN {p} = {NO_CLUSTER_PIPE} THEN NULL ELSE concat('c', CAST({b} % {N_CLUSTERS} AS STRING)) END",
     ]
-    if with_batch:
-        fields.append(_s(F.floor(eid / BATCH_WIDTH)).alias("batch_id"))
-    fields.append(F.concat(F.lit("r"), _s(eid)).alias("request_id"))
-    return F.struct(*fields)
+    if k != 1:  # log 1 lacks origin.batch_id
+        origin.append(f"'batch_id', CAST(floor(event_id / {BATCH_WIDTH}) AS STRING)")
+    origin.append("'request_id', concat('r', CAST(event_id AS STRING))")
+    exprs = [
+        "event_id AS id",
+        "ts AS timestamp",
+        "event_type",
+        "CASE WHEN (event_type = 'error' AND value > 60) OR (event_type = 'purchase' AND value > 150) THEN 'ERROR' "
+        "WHEN event_type = 'signup' AND value > 40 THEN 'WARN' "
+        "WHEN event_type = 'view' AND value < 5 THEN 'METRICS' ELSE 'INFO' END AS level",
+        f"CASE WHEN event_id % {NULL_MESSAGE_EVERY} = 0 THEN NULL "
+        f"ELSE concat(event_type, ' code ', CAST(event_id % {MESSAGE_CODES} AS STRING)) END AS message",
+        "named_struct(" + ", ".join(origin) + ") AS origin",
+    ]
+    if k == 2:  # log 2 carries an extra top-level column
+        exprs.append("props AS details")
+    return exprs
 
 
 def log_names(k: int) -> tuple[str, str, str]:
@@ -71,25 +71,11 @@ def log_names(k: int) -> tuple[str, str, str]:
 
 def event_logs(events: DataFrame) -> list[LogSource]:
     """Split ``events`` into the three fixture event logs."""
-    p = F.col("user_id") % N_PIPES
-    b = F.floor(F.col("event_id") / RUN_BUCKET)
-    eid = F.col("event_id")
     logs = []
     for k in range(N_LOGS):
-        cols = [
-            eid.alias("id"),
-            F.col("ts").alias("timestamp"),
-            F.col("event_type"),
-            _level().alias("level"),
-            F.when(eid % NULL_MESSAGE_EVERY == 0, F.lit(None))
-            .otherwise(F.concat(F.col("event_type"), F.lit(" code "), _s(eid % MESSAGE_CODES)))
-            .alias("message"),
-            _origin(p, b, with_batch=(k != 1)).alias("origin"),
-        ]
-        if k == 2:
-            cols.append(F.col("props").alias("details"))
         catalog, schema, table = log_names(k)
-        logs.append(LogSource(catalog, schema, table, events.filter(p % N_LOGS == k).select(*cols)))
+        df = events.where(f"user_id % {N_PIPES} % {N_LOGS} = {k}").selectExpr(*_log_exprs(k))
+        logs.append(LogSource(catalog, schema, table, df))
     return logs
 
 

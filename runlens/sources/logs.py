@@ -115,35 +115,45 @@ def common_schema(logs: list[LogSource]) -> T.StructType:
 
 def align(df: DataFrame, target: T.StructType) -> DataFrame:
     """Project ``df`` onto ``target``: same order, missing columns and missing
-    ``origin`` fields as typed nulls, declared origin fields cast to string."""
+    ``origin`` fields as typed nulls, declared origin fields cast to string.
+    Written as one SQL select list, so building it costs one call."""
     have = {f.name: f.dataType for f in df.schema.fields}
-    cols: list[Column] = []
+    exprs: list[str] = []
     for fld in target.fields:
+        q = quote(fld.name)
+        t = fld.dataType.simpleString()
         if fld.name == "origin":
-            sub_have = {f.name for f in have["origin"].fields} if "origin" in have else set()
-            subs = []
+            sub_have = {f.name: f.dataType for f in have["origin"].fields} if "origin" in have else {}
+            parts = []
             for sub in fld.dataType.fields:
-                if sub.name in sub_have:
-                    subs.append(F.col("origin").getField(sub.name).cast(sub.dataType).alias(sub.name))
+                st = sub.dataType.simpleString()
+                if sub.name not in sub_have:
+                    v = f"CAST(NULL AS {st})"
+                elif sub_have[sub.name] == sub.dataType:
+                    v = f"origin.{quote(sub.name)}"
                 else:
-                    subs.append(F.lit(None).cast(sub.dataType).alias(sub.name))
-            cols.append(F.struct(*subs).alias("origin"))
-        elif fld.name in have:
-            cols.append(F.col(quote(fld.name)).cast(fld.dataType).alias(fld.name) if have[fld.name] != fld.dataType
-                        else F.col(quote(fld.name)))
+                    v = f"CAST(origin.{quote(sub.name)} AS {st})"
+                parts.append(f"'{sub.name}', {v}")
+            exprs.append(f"named_struct({', '.join(parts)}) AS origin")
+        elif fld.name not in have:
+            exprs.append(f"CAST(NULL AS {t}) AS {q}")
+        elif have[fld.name] != fld.dataType:
+            exprs.append(f"CAST({q} AS {t}) AS {q}")
         else:
-            cols.append(F.lit(None).cast(fld.dataType).alias(fld.name))
-    return df.select(*cols)
+            exprs.append(q)
+    return df.selectExpr(*exprs)
 
 
 def with_source(log: LogSource, df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "source_catalog": F.lit(log.catalog),
-            "source_schema": F.lit(log.schema),
-            "source_table": F.lit(log.table),
-            "source_full_name": F.lit(log.full_name),
-        }
+    def s(v: str) -> str:
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return df.selectExpr(
+        "*",
+        f"{s(log.catalog)} AS source_catalog",
+        f"{s(log.schema)} AS source_schema",
+        f"{s(log.table)} AS source_table",
+        f"{s(log.full_name)} AS source_full_name",
     )
 
 

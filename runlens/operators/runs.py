@@ -90,6 +90,7 @@ def finalize_runs(state: DataFrame, cfg: Config | None = None, detail: bool = Fa
     (sorted distinct flow names of the run's ERROR events); ``keep_all``
     skips the duration floor."""
     cfg = cfg or Config()
+    errors = F.col("error_count")
     runs = state.select(
         *S.RUN_KEYS,
         "run_start",
@@ -104,11 +105,9 @@ def finalize_runs(state: DataFrame, cfg: Config | None = None, detail: bool = Fa
         F.col("first_cluster.v").alias("cluster_id"),
         F.col("first_pipeline_type.v").alias("pipeline_type"),
         *([F.array_sort("error_flows").alias("error_datasets")] if detail else []),
-    )
-    runs = (
-        runs.withColumn("duration_minutes", duration_minutes("run_start", "run_end"))
-        .withColumn("has_errors", F.col("error_count") > 0)
-        .withColumn("status", run_status(F.col("error_count"), F.col("total_events"), cfg.incomplete_below_events))
+        duration_minutes("run_start", "run_end").alias("duration_minutes"),
+        (errors > 0).alias("has_errors"),
+        run_status(errors, F.col("total_events"), cfg.incomplete_below_events).alias("status"),
     )
     return runs if keep_all else runs.filter(F.col("duration_minutes") > F.lit(cfg.min_run_minutes))
 

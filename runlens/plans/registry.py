@@ -20,7 +20,7 @@ import re
 
 from runlens import schema as S
 from runlens.config import Config
-from runlens.functions.exprs import round_doubles, time_literal
+from runlens.functions.exprs import time_literal
 from runlens.operators import metrics as M
 from runlens.operators import ranking as R
 from runlens.operators import reports as X
@@ -54,14 +54,17 @@ def register(name: str, sql: str | None = None):
 
 
 def report(df: DataFrame, sets: tuple[str, ...] = ()) -> DataFrame:
-    """Round doubles; join array columns (``sets`` are sorted first)."""
+    """Round doubles to 6 places; join array columns (``sets`` sorted
+    first).  One projection over the library table."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.ArrayType):
-            c = F.array_join(F.array_sort(c) if f.name in sets else c, "|").alias(f.name)
-        cols.append(c)
-    return round_doubles(df.select(*cols))
+            c = F.array_join(F.array_sort(c) if f.name in sets else c, "|")
+        elif isinstance(f.dataType, T.DoubleType):
+            c = F.round(c, 6)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
 
 
 def fixture(spark: SparkSession, sf_dir: str, cfg: Config | None = None) -> Pipeline:

@@ -2,7 +2,7 @@
 
 ``publish`` writes each result once.  The consolidated events table is
 partitioned by event date so later reads with a time filter prune whole
-folders.  The format is a parameter (Delta needs its package on the
+folders.  The format is a parameter (a table format with MERGE needs its package on the
 classpath; parquet is the default here).
 """
 

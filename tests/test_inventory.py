@@ -18,7 +18,7 @@ def catalog(spark):
     for db in ("invt_a", "invt_b", "invt_h"):
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{db}` LOCATION '{root}/{db}'")
     log.write.mode("overwrite").saveAsTable("invt_a.event_log_a")
-    log.write.mode("overwrite").saveAsTable("invt_b.DLT_EVENT_LOG_B")
+    log.write.mode("overwrite").saveAsTable("invt_b.PIPELINE_EVENT_LOG_B")
     log.limit(1).write.mode("overwrite").saveAsTable("invt_b.orders")
     log.write.mode("overwrite").saveAsTable("invt_h.event_log_h")
     # a view whose source is gone: listed, but cannot be analysed
@@ -38,7 +38,7 @@ def test_discovery_finds_logs_case_insensitively_and_skips_others(spark, catalog
     inv = _inv(spark)
     names = {k for k, r in inv.items() if r["status"] == "ok"}
     # M27 lower-cased substring; S4 temp view skipped
-    assert names == {("invt_a", "event_log_a"), ("invt_b", "dlt_event_log_b"), ("invt_h", "event_log_h")}
+    assert names == {("invt_a", "event_log_a"), ("invt_b", "pipeline_event_log_b"), ("invt_h", "event_log_h")}
     assert all(t != "event_log_tmp" for _, t in inv)
     assert all(t != "orders" for _, t in inv)
 
@@ -55,7 +55,7 @@ def test_schema_regex_is_start_anchored(spark, catalog):
     cfg = Config(target_catalogs=("spark_catalog",), schema_filter="nvt")
     assert discover(spark, cfg).count() == 0
     cfg = Config(target_catalogs=("spark_catalog",), schema_filter="invt_b")
-    assert {r["table"] for r in discover(spark, cfg).collect()} == {"dlt_event_log_b"}
+    assert {r["table"] for r in discover(spark, cfg).collect()} == {"pipeline_event_log_b"}
 
 
 def test_row_counts_in_one_job(spark, catalog):
@@ -64,7 +64,7 @@ def test_row_counts_in_one_job(spark, catalog):
     counts = log_row_counts(logs)
     assert {r["table"]: r["row_count"] for r in counts.collect()} == {
         "event_log_a": 3,
-        "dlt_event_log_b": 3,
+        "pipeline_event_log_b": 3,
         "event_log_h": 3,
     }
     by_cat = inventory_by_catalog(counts).collect()

@@ -1,24 +1,38 @@
-"""The refresh plan: every result table from one fold of the logs.
+"""Refresh plans: every result table from one fold of the logs.
 
 The reference recomputes the whole union of logs for each of its ~18
-actions (counts, previews, seven writes).  Here the run state is built in
-one pass over the logs and checkpointed to the shared checkpoint folder
-(lineage cut, survives executor loss); every run-based table is then a
-small aggregate over that checkpoint.  Error analysis is the only other
-pass over events, and its ``level = 'ERROR'`` filter reaches the scans.
+actions (counts, previews, seven writes).  Here:
+
+* ``build_results`` (lazy, for views and benchmarks) folds the logs once
+  into the run state, checkpoints it to the shared checkpoint folder (lineage
+  cut, survives executor loss), and derives every run-based table from that
+  checkpoint.
+* ``refresh`` (publishing) scans each source log exactly once: the
+  consolidated table is written first, partitioned by event date, and
+  everything else is derived from that written table (column-pruned reads)
+  and from the stored run state.
+* ``incremental_refresh`` appends new logs, merges only their events into
+  the stored run state (touched keys), and re-derives the small tables.
+  State versions are separate tables behind a view, so the state being
+  read is never the one being written.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runlens.config import Config
 from runlens.operators import metrics as M
-from runlens.operators.runs import finalize_runs
+from runlens.operators.enrich import enrich
+from runlens.operators.runs import finalize_runs, run_state
 from runlens.plans.pipeline import Pipeline
 from runlens.session import ensure_checkpoint_dir
-from runlens.sources.logs import LogSource
-from runlens.sources.sinks import publish, register_views
+from runlens.sources.logs import LogSource, align, consolidate, quote
+from runlens.sources.sinks import ensure_schema, register_views, table_name, write_table
+from runlens.streaming.incremental import refresh_state
 
 RESULT_KEYS = (
     "consolidated_events",
@@ -29,27 +43,68 @@ RESULT_KEYS = (
     "duration_trends",
     "cluster_usage",
 )
+STATE_KEY = "run_state"
+PARTITION_COLUMN = "event_date"
 
 
-def build_results(spark: SparkSession, logs: list[LogSource], cfg: Config | None = None, materialize: bool = True) -> dict[str, DataFrame]:
-    cfg = cfg or Config()
-    p = Pipeline(logs, cfg)
-    state = p.state
-    if materialize:
-        ensure_checkpoint_dir(spark)
-        state = state.checkpoint(eager=True)
+def derive_tables(state: DataFrame, enriched: DataFrame, cfg: Config) -> dict[str, DataFrame]:
+    """The six analysis tables from a run state and the enriched events."""
     runs = finalize_runs(state, cfg)
     return {
-        "consolidated_events": p.consolidated,
         "pipeline_runs": runs,
         "performance_metrics": M.performance_metrics(runs),
-        "error_analysis": M.error_analysis(p.enriched, cfg),
+        "error_analysis": M.error_analysis(enriched, cfg),
         "recent_activity": M.recent_activity(runs, cfg),
         "duration_trends": M.duration_trends(runs, cfg),
         "cluster_usage": M.cluster_usage(runs),
     }
 
 
+def build_results(spark: SparkSession, logs: list[LogSource], cfg: Config | None = None, materialize: bool = True) -> dict[str, DataFrame]:
+    cfg = cfg or Config()
+    p = Pipeline(logs, cfg)
+    state = p.state
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        state = state.checkpoint(eager=True)
+    return {"consolidated_events": p.consolidated, **derive_tables(state, p.enriched, cfg)}
+
+
+def _with_partition(df: DataFrame) -> DataFrame:
+    return df.withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
+
+
+def _state_versions(spark: SparkSession, database: str, prefix: str) -> list[int]:
+    pat = re.compile(rf"^{re.escape(prefix + STATE_KEY)}_v(\d+)$")
+    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {quote(database)}").collect()]
+    return sorted(int(m.group(1)) for n in names if (m := pat.match(n)))
+
+
+def _publish_state(spark: SparkSession, state: DataFrame, database: str, cfg: Config) -> str:
+    """Write a new state version and point the ``run_state`` view at it."""
+    versions = _state_versions(spark, database, cfg.table_prefix)
+    v = (versions[-1] + 1) if versions else 1
+    name = table_name(database, cfg.table_prefix, f"{STATE_KEY}_v{v}")
+    write_table(state, name, cfg.output_format)
+    view = table_name(database, cfg.table_prefix, STATE_KEY)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {name}")
+    for old in versions[:-1]:  # keep the previous version until the next swap
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(database, cfg.table_prefix, f'{STATE_KEY}_v{old}')}")
+    return view
+
+
+def _publish_derived(spark: SparkSession, database: str, cfg: Config, views: bool) -> dict[str, str]:
+    cons = table_name(database, cfg.table_prefix, "consolidated_events")
+    state = spark.table(table_name(database, cfg.table_prefix, STATE_KEY))
+    names = {"consolidated_events": cons, STATE_KEY: table_name(database, cfg.table_prefix, STATE_KEY)}
+    for key, df in derive_tables(state, enrich(spark.table(cons)), cfg).items():
+        names[key] = table_name(database, cfg.table_prefix, key)
+        write_table(df, names[key], cfg.output_format)
+    if views:
+        register_views({k: spark.table(v) for k, v in names.items()}, cfg.table_prefix)
+    return names
+
+
 def refresh(
     spark: SparkSession,
     logs: list[LogSource],
@@ -58,10 +113,46 @@ def refresh(
     location: str | None = None,
     views: bool = True,
 ) -> dict[str, str]:
-    """Build, publish as ``database.{prefix}{key}`` and register views."""
+    """Full refresh; returns key -> published table name."""
     cfg = cfg or Config()
-    results = build_results(spark, logs, cfg)
-    names = publish(spark, results, database, cfg.table_prefix, cfg.output_format, location)
-    if views:
-        register_views({k: spark.table(v) for k, v in names.items()}, cfg.table_prefix)
-    return names
+    ensure_schema(spark, database, location)
+    cons = table_name(database, cfg.table_prefix, "consolidated_events")
+    write_table(_with_partition(consolidate(logs, cfg)), cons, cfg.output_format, [PARTITION_COLUMN])
+    _publish_state(spark, run_state(enrich(spark.table(cons)), cfg), database, cfg)
+    return _publish_derived(spark, database, cfg, views)
+
+
+def incremental_refresh(
+    spark: SparkSession,
+    new_logs: list[LogSource],
+    database: str,
+    cfg: Config | None = None,
+    views: bool = True,
+) -> dict[str, str]:
+    """Add ``new_logs`` (events not seen before) to a published refresh.
+
+    New events are aligned to the published consolidated schema (a log with
+    columns the table lacks needs a full refresh), appended to their date
+    partitions, and folded into the stored run state by touched keys.
+    Feeding the same events twice counts them twice; the streaming monitor
+    gives exactly-once delivery from files."""
+    cfg = cfg or Config()
+    cons = table_name(database, cfg.table_prefix, "consolidated_events")
+    target = spark.table(cons).drop(PARTITION_COLUMN).schema
+    new_events = consolidate(new_logs, cfg)
+    extra = sorted(set(new_events.columns) - set(target.fieldNames()))
+    have_origin = set(target["origin"].dataType.fieldNames())
+    extra += sorted(f"origin.{f}" for f in new_events.schema["origin"].dataType.fieldNames() if f not in have_origin)
+    if extra:
+        raise ValueError(f"new logs add column(s) {extra}; run a full refresh to evolve the schema")
+    new_events = align(new_events, target)
+    old_state = spark.table(table_name(database, cfg.table_prefix, STATE_KEY))
+    _publish_state(spark, refresh_state(old_state, enrich(new_events), cfg), database, cfg)
+    (
+        _with_partition(new_events)
+        .write.mode("append")
+        .format(cfg.output_format)
+        .partitionBy(PARTITION_COLUMN)
+        .saveAsTable(cons)
+    )
+    return _publish_derived(spark, database, cfg, views)

@@ -30,6 +30,10 @@ def level_is(level: str) -> Column:
     return F.col("level") == F.lit(level)
 
 
+def status_is(status: str) -> Column:
+    return F.col("status") == F.lit(status)
+
+
 def run_status(error_count: Column, total_events: Column, incomplete_below: int) -> Column:
     """Any error -> FAILED; else too few events -> INCOMPLETE; else SUCCESS."""
     return (

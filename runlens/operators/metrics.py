@@ -15,14 +15,7 @@ from pyspark.sql import functions as F
 
 from runlens import schema as S
 from runlens.config import Config
-from runlens.functions.exprs import count_where, date_literal, duration_minutes, error_signature, level_is, ratio
-
-def _success():
-    return F.col("status") == S.STATUS_SUCCESS
-
-
-def _failed():
-    return F.col("status") == S.STATUS_FAILED
+from runlens.functions.exprs import count_where, date_literal, level_is, ratio, status_is
 
 
 def performance_metrics(runs: DataFrame) -> DataFrame:
@@ -39,8 +32,8 @@ def performance_metrics(runs: DataFrame) -> DataFrame:
             F.stddev_samp("duration_minutes").alias("duration_stddev"),
             F.sum("error_count").alias("total_errors"),
             F.sum("warning_count").alias("total_warnings"),
-            count_where(_success()).alias("successful_runs"),
-            count_where(_failed()).alias("failed_runs"),
+            count_where(status_is(S.STATUS_SUCCESS)).alias("successful_runs"),
+            count_where(status_is(S.STATUS_FAILED)).alias("failed_runs"),
             F.count_distinct("cluster_id").alias("unique_clusters"),
             F.max("run_date").alias("last_run_date"),
             F.avg("total_events").alias("avg_events_per_run"),
@@ -110,8 +103,8 @@ def recent_activity(runs: DataFrame, cfg: Config | None = None, days: int | None
         .groupBy("run_date", "pipeline_name")
         .agg(
             F.count(F.lit(1)).alias("total_runs"),
-            count_where(_success()).alias("successful_runs"),
-            count_where(_failed()).alias("failed_runs"),
+            count_where(status_is(S.STATUS_SUCCESS)).alias("successful_runs"),
+            count_where(status_is(S.STATUS_FAILED)).alias("failed_runs"),
             F.avg("duration_minutes").alias("avg_duration"),
             F.sum("total_events").alias("total_events"),
         )
@@ -144,7 +137,7 @@ def cluster_usage(runs: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("runs_on_cluster"),
             F.avg("duration_minutes").alias("avg_duration_on_cluster"),
-            count_where(_success()).alias("successful_runs"),
+            count_where(status_is(S.STATUS_SUCCESS)).alias("successful_runs"),
         )
         .withColumn("success_rate_cluster", ratio("successful_runs", "runs_on_cluster"))
     )

@@ -9,7 +9,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from runlens.config import Config
 from runlens.operators.runs import finalize_runs, run_state
 from runlens.plans.pipeline import Pipeline
 from runlens.sources.logs import LogSource

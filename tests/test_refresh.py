@@ -3,8 +3,6 @@ incremental refresh of published tables == full refresh."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from runlens.config import Config

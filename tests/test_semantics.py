@@ -14,7 +14,7 @@ from runlens.operators import metrics as M
 from runlens.operators.enrich import enrich
 from runlens.operators.runs import pipeline_runs
 from runlens.sources.logs import LogSource, consolidate
-from tests.conftest import LOG_T, T0, ev, make_log, run_of
+from tests.conftest import LOG_T, ev, make_log, run_of
 
 CFG = Config(as_of=dt.datetime(2024, 1, 31), days_back=None)
 

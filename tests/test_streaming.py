@@ -3,8 +3,6 @@ picks up new files, and its final state equals the batch fold."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from runlens.config import Config

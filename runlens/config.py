@@ -36,6 +36,11 @@ class Config:
     # publishing
     table_prefix: str = "evlog_"
     output_format: str = "parquet"
+    # None: write the consolidated table straight from the scan tasks (one
+    # file per task and date; right when logs arrive time-ordered).  N:
+    # range-partition by (event_date, timestamp) into N partitions first, so
+    # each task writes one or two date folders and files are about equal.
+    consolidated_files: int | None = None
 
     # alert thresholds (documented wishes of the reference, ours to fix)
     spike_factor: float = 2.0

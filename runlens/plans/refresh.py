@@ -70,8 +70,14 @@ def build_results(spark: SparkSession, logs: list[LogSource], cfg: Config | None
     return {"consolidated_events": p.consolidated, **derive_tables(state, p.enriched, cfg)}
 
 
-def _with_partition(df: DataFrame) -> DataFrame:
-    return df.withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
+def _with_partition(df: DataFrame, files: int | None = None) -> DataFrame:
+    """Add the date partition column; optionally range-partition by time so
+    the partitioned write makes about ``files`` files of similar size (range
+    bounds come from a sample, so a busy day is split over many tasks)."""
+    out = df.withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
+    if files:
+        out = out.repartitionByRange(files, F.col(PARTITION_COLUMN), F.col("timestamp"))
+    return out
 
 
 def _state_versions(spark: SparkSession, database: str, prefix: str) -> list[int]:
@@ -117,7 +123,7 @@ def refresh(
     cfg = cfg or Config()
     ensure_schema(spark, database, location)
     cons = table_name(database, cfg.table_prefix, "consolidated_events")
-    write_table(_with_partition(consolidate(logs, cfg)), cons, cfg.output_format, [PARTITION_COLUMN])
+    write_table(_with_partition(consolidate(logs, cfg), cfg.consolidated_files), cons, cfg.output_format, [PARTITION_COLUMN])
     _publish_state(spark, run_state(enrich(spark.table(cons)), cfg), database, cfg)
     return _publish_derived(spark, database, cfg, views)
 
@@ -149,7 +155,7 @@ def incremental_refresh(
     old_state = spark.table(table_name(database, cfg.table_prefix, STATE_KEY))
     _publish_state(spark, refresh_state(old_state, enrich(new_events), cfg), database, cfg)
     (
-        _with_partition(new_events)
+        _with_partition(new_events, cfg.consolidated_files)
         .write.mode("append")
         .format(cfg.output_format)
         .partitionBy(PARTITION_COLUMN)

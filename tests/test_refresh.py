@@ -54,3 +54,15 @@ def test_incremental_refresh_equals_full(spark):
     ea_cols = ["pipeline_name", "pipeline_id", "event_type", "error_count", "affected_runs", "first_error", "last_error"]
     assert _sorted(spark.table(full["error_analysis"]).select(ea_cols)) == _sorted(spark.table(inc["error_analysis"]).select(ea_cols))
     assert spark.table(inc["consolidated_events"]).count() == spark.table(full["consolidated_events"]).count()
+
+
+def test_range_partitioned_consolidated_write(spark):
+    import glob
+
+    cfg = Config(consolidated_files=4)
+    root = new_scratch(spark, "rl_files")
+    names = refresh(spark, fixture_logs(spark, SF001), "rl_files", cfg, location=root, views=False)
+    assert spark.table(names["consolidated_events"]).count() == Pipeline.from_fixture(spark, SF001).consolidated.count()
+    files = glob.glob(f"{root.replace('file:', '')}/**/event_date=*/*.parquet", recursive=True)
+    # 4 time ranges over 30 days: each range writes its own few date folders
+    assert 0 < len(files) <= 30 + 4

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from runlens import schema as S
 from runlens.config import Config
 from runlens.functions.exprs import count_where, date_literal, level_is, ratio, status_is
+from runlens.session import ensure_checkpoint_dir
 
 
 def performance_metrics(runs: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def performance_metrics(runs: DataFrame) -> DataFrame:
     )
 
 
-def error_analysis(enriched: DataFrame, cfg: Config | None = None) -> DataFrame:
+def error_analysis(enriched: DataFrame, cfg: Config | None = None, materialize: bool = False) -> DataFrame:
     """ERROR events per (pipeline_name, pipeline_id, event_type).
 
     Starts from the events, so it also counts errors of runs dropped by the
@@ -58,10 +59,17 @@ def error_analysis(enriched: DataFrame, cfg: Config | None = None) -> DataFrame:
     The samples are then joined (null-safe, on the three keys) to the
     counts; both sides are one row per group, so AQE broadcasts the smaller
     when its measured size allows.
+
+    Counts and samples are two branches over the ERROR rows; with
+    ``materialize`` those rows (usually a small share of all events) are
+    checkpointed first, so the events are scanned once instead of twice.
     """
     cfg = cfg or Config()
     keys = ["pipeline_name", "pipeline_id", "event_type"]
     errors = enriched.filter(level_is(S.LEVEL_ERROR))
+    if materialize:
+        ensure_checkpoint_dir(enriched.sparkSession)
+        errors = errors.select(*keys, "update_id", "timestamp", "message").checkpoint(eager=True)
     counts = errors.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("error_count"),
         F.count_distinct("update_id").alias("affected_runs"),

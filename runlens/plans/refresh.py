@@ -47,13 +47,13 @@ STATE_KEY = "run_state"
 PARTITION_COLUMN = "event_date"
 
 
-def derive_tables(state: DataFrame, enriched: DataFrame, cfg: Config) -> dict[str, DataFrame]:
+def derive_tables(state: DataFrame, enriched: DataFrame, cfg: Config, materialize: bool = True) -> dict[str, DataFrame]:
     """The six analysis tables from a run state and the enriched events."""
     runs = finalize_runs(state, cfg)
     return {
         "pipeline_runs": runs,
         "performance_metrics": M.performance_metrics(runs),
-        "error_analysis": M.error_analysis(enriched, cfg),
+        "error_analysis": M.error_analysis(enriched, cfg, materialize=materialize),
         "recent_activity": M.recent_activity(runs, cfg),
         "duration_trends": M.duration_trends(runs, cfg),
         "cluster_usage": M.cluster_usage(runs),
@@ -67,7 +67,7 @@ def build_results(spark: SparkSession, logs: list[LogSource], cfg: Config | None
     if materialize:
         ensure_checkpoint_dir(spark)
         state = state.checkpoint(eager=True)
-    return {"consolidated_events": p.consolidated, **derive_tables(state, p.enriched, cfg)}
+    return {"consolidated_events": p.consolidated, **derive_tables(state, p.enriched, cfg, materialize)}
 
 
 def _with_partition(df: DataFrame, files: int | None = None) -> DataFrame:

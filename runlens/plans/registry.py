@@ -31,7 +31,7 @@ from runlens.plans.pipeline import Pipeline
 from runlens.plans.refresh import build_results, refresh
 from runlens.session import new_scratch
 from runlens.sources.fixture import fixture_logs, register_fixture_tables
-from runlens.sources.inventory import discover, inventory_by_catalog, log_row_counts
+from runlens.sources.inventory import discover, inventory_by_catalog, inventory_with_counts, log_row_counts
 from runlens.sources.logs import read_log
 from runlens.sources.sinks import register_views
 from runlens.streaming.incremental import incremental_runs
@@ -156,7 +156,7 @@ def q_log_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = register_fixture_tables(spark, sf_dir)
     prefix = tables[0][1][: -len("s0")]
     cfg = Config(target_catalogs=("spark_catalog",), schema_filter=re.escape(prefix))
-    return discover(spark, cfg).orderBy("catalog", "schema", "table")
+    return inventory_with_counts(spark, discover(spark, cfg)).orderBy("catalog", "schema", "table")
 
 
 @register("log_row_counts", O.LOG_ROW_COUNTS)

@@ -58,8 +58,14 @@ def list_catalogs(spark: SparkSession, cfg: Config) -> list[str]:
 
 
 def list_schemas(spark: SparkSession, catalog: str) -> list[str]:
-    df = spark.sql(f"SHOW SCHEMAS IN {quote(catalog)}")
-    col = _first_present(df.columns, "namespace", "schemaName", "databaseName")
+    """Schema names of a catalog; falls back to the catalog's
+    ``information_schema`` where ``SHOW SCHEMAS`` is not supported."""
+    try:
+        df = spark.sql(f"SHOW SCHEMAS IN {quote(catalog)}")
+        col = _first_present(df.columns, "namespace", "schemaName", "databaseName")
+    except Exception:  # noqa: BLE001 - try the other listing before giving up
+        df = spark.sql(f"SELECT DISTINCT schema_name FROM {quote(catalog)}.information_schema.schemata")
+        col = "schema_name"
     return [r[col] for r in df.collect()]
 
 
@@ -127,6 +133,17 @@ def log_row_counts(logs: list[LogSource]) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
+def inventory_with_counts(spark: SparkSession, inventory: DataFrame) -> DataFrame:
+    """The inventory plus ``row_count`` of every readable log (one counting
+    job for all logs; null for rows with status 'error')."""
+    logs = readable_logs(spark, inventory)
+    if not logs:
+        return inventory.withColumn("row_count", F.lit(None).cast("long"))
+    counts = log_row_counts(logs).select(F.col("full_name").alias("_fn"), "row_count")
+    # both sides hold one row per table: AQE broadcasts after measuring
+    return inventory.join(counts, inventory["full_name"] == counts["_fn"], "left").drop("_fn")
+
+
 def inventory_by_catalog(counts: DataFrame) -> DataFrame:
     """Per catalog: number of logs and their total rows."""
     return counts.groupBy("catalog").agg(

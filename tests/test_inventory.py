@@ -73,6 +73,15 @@ def test_row_counts_in_one_job(spark, catalog):
     assert "Union" in plan
 
 
+def test_inventory_with_counts(spark, catalog):
+    from runlens.sources.inventory import inventory_with_counts
+
+    inv = inventory_with_counts(spark, discover(spark, Config(target_catalogs=("spark_catalog",), schema_filter="invt")))
+    got = {r["table"]: (r["status"], r["row_count"]) for r in inv.collect()}
+    assert got["event_log_a"] == ("ok", 3)
+    assert got["event_log_broken"] == ("error", None)
+
+
 def test_catalog_listing_excludes_system_catalogs(spark):
     from runlens.sources.inventory import list_catalogs
 

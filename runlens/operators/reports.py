@@ -56,11 +56,26 @@ def daily_duration_trends(runs: DataFrame) -> DataFrame:
 
 
 def clusters_per_pipeline(runs: DataFrame) -> DataFrame:
-    """Distinct clusters used per pipeline, as a count and a sorted set."""
-    return runs.groupBy("pipeline_name", "pipeline_id").agg(
-        F.count_distinct("cluster_id").alias("unique_clusters"),
-        F.array_sort(F.collect_set("cluster_id")).alias("clusters"),
+    """Distinct clusters used per pipeline: one row per (pipeline, cluster)
+    with its runs and first/last use, plus the pipeline's number of distinct
+    clusters (runs without a cluster form a null-cluster row; count 0 when a
+    pipeline never had one).
+
+    Long form on purpose: with one job cluster per run a pipeline's cluster
+    set grows with its runs, and an array per pipeline would put a hot
+    pipeline's whole set in one task.  Grouping by (pipeline, cluster)
+    spreads it; the per-pipeline count is one row per pipeline."""
+    used = runs.groupBy("pipeline_name", "pipeline_id", "cluster_id").agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.min("run_start").alias("first_used"),
+        F.max("run_start").alias("last_used"),
+    )
+    counts = used.groupBy("pipeline_name", "pipeline_id").agg(F.count("cluster_id").alias("unique_clusters"))
+    counts = counts.select(
+        F.col("pipeline_name").alias("_n"), F.col("pipeline_id").alias("_i"), "unique_clusters"
     )
+    cond = used["pipeline_name"].eqNullSafe(counts["_n"]) & used["pipeline_id"].eqNullSafe(counts["_i"])
+    return used.join(counts, cond, "inner").drop("_n", "_i")
 
 
 def error_signatures(enriched: DataFrame) -> DataFrame:

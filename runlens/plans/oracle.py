@@ -388,10 +388,15 @@ RECENT_ACTIVITY_30D = _recent_activity(days=30)
 
 CLUSTERS_PER_PIPELINE = with_runs(
     """
-SELECT pipeline_name, pipeline_id, count(DISTINCT cluster_id) AS unique_clusters,
-  coalesce(array_to_string(list_sort(list(DISTINCT cluster_id) FILTER (WHERE cluster_id IS NOT NULL)), '|'), '')
-    AS clusters
-FROM runs GROUP BY pipeline_name, pipeline_id"""
+SELECT u.pipeline_name, u.pipeline_id, u.cluster_id, u.runs, u.first_used, u.last_used, c.unique_clusters
+FROM used u JOIN (
+  SELECT pipeline_name, pipeline_id, count(cluster_id) AS unique_clusters FROM used GROUP BY pipeline_name, pipeline_id
+) c ON u.pipeline_name IS NOT DISTINCT FROM c.pipeline_name AND u.pipeline_id IS NOT DISTINCT FROM c.pipeline_id""",
+    extra="""used AS (
+  SELECT pipeline_name, pipeline_id, cluster_id, count(*) AS runs, min(run_start) AS first_used,
+         max(run_start) AS last_used
+  FROM runs GROUP BY pipeline_name, pipeline_id, cluster_id
+)""",
 )
 
 ERROR_SIGNATURES = with_events(

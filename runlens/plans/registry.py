@@ -268,7 +268,7 @@ def q_recent_activity_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("clusters_per_pipeline", O.CLUSTERS_PER_PIPELINE)
 def q_clusters_per_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(X.clusters_per_pipeline(fixture(spark, sf_dir).runs), sets=("clusters",))
+    return report(X.clusters_per_pipeline(fixture(spark, sf_dir).runs))
 
 
 @register("error_signatures", O.ERROR_SIGNATURES)

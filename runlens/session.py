@@ -21,6 +21,10 @@ DEFAULT_CONF = {
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "runlens", **conf) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
+    if master.startswith("local") and "spark.sql.warehouse.dir" not in conf:
+        # local sessions (tests, bench): keep the default schema's folder out
+        # of the working directory
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="runlens-warehouse-")
     for k, v in {**DEFAULT_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions), **conf}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

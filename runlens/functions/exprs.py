@@ -21,6 +21,49 @@ def duration_minutes(start: str | Column, end: str | Column) -> Column:
     return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60)
 
 
+def run_seconds(start: str = "run_start", end: str = "run_end") -> Column:
+    """Whole-second run span: the exact integer behind ``duration_minutes``."""
+    return F.unix_timestamp(end) - F.unix_timestamp(start)
+
+
+_EXACT = "decimal(38,0)"
+
+
+def mean_minutes(secs: Column | None = None) -> Column:
+    """Aggregate: mean duration in minutes from the exact integer sum of
+    whole seconds, so the value is the same under any partitioning or
+    summation order (equal to ``avg(duration_minutes)`` up to rounding)."""
+    s = run_seconds() if secs is None else secs
+    return F.sum(s) / F.count(s) / F.lit(60.0)
+
+
+def stddev_minutes(secs: Column | None = None) -> Column:
+    """Aggregate: sample standard deviation in minutes from exact integer
+    sums (n, sum, sum of squares); null for fewer than two values."""
+    s = run_seconds() if secs is None else secs
+    n = F.count(s)
+    s1 = F.sum(s).cast(_EXACT)
+    s2 = F.sum(s.cast(_EXACT) * s.cast(_EXACT))
+    num = n.cast(_EXACT) * s2 - s1 * s1
+    return F.when(n > 1, F.sqrt(num.cast("double") / (n * (n - F.lit(1))).cast("double")) / F.lit(60.0))
+
+
+def linear_fit_minutes(x: Column, secs: Column | None = None) -> tuple[Column, Column]:
+    """Aggregates: least-squares slope (minutes per unit of ``x``) and
+    intercept (minutes) of duration against integer ``x``, from exact
+    integer sums; null when ``x`` does not vary (as ``regr_slope``)."""
+    s = run_seconds() if secs is None else secs
+    n = F.count(s).cast(_EXACT)
+    sx = F.sum(x).cast(_EXACT)
+    sy = F.sum(s).cast(_EXACT)
+    sxx = F.sum(x.cast(_EXACT) * x.cast(_EXACT))
+    sxy = F.sum(x.cast(_EXACT) * s.cast(_EXACT))
+    den = n * sxx - sx * sx
+    slope = F.when(den != 0, (n * sxy - sx * sy).cast("double") / den.cast("double") / F.lit(60.0))
+    intercept = F.when(den != 0, (sy * sxx - sx * sxy).cast("double") / den.cast("double") / F.lit(60.0))
+    return slope, intercept
+
+
 def count_where(pred: Column) -> Column:
     """Conditional count; 0 (not null) for an empty group."""
     return F.count_if(pred)

@@ -3,7 +3,8 @@
 Every table is one ``groupBy().agg()`` over the runs table (or the enriched
 events for error analysis), so each is a single shuffle on its keys with
 map-side partial aggregation; the runs table is orders of magnitude smaller
-than the events it folds.
+than the events it folds.  Duration means and deviations are computed from
+exact integer sums of whole seconds, so they do not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -15,7 +16,15 @@ from pyspark.sql import functions as F
 
 from runlens import schema as S
 from runlens.config import Config
-from runlens.functions.exprs import count_where, date_literal, level_is, ratio, status_is
+from runlens.functions.exprs import (
+    count_where,
+    date_literal,
+    level_is,
+    mean_minutes,
+    ratio,
+    status_is,
+    stddev_minutes,
+)
 from runlens.session import ensure_checkpoint_dir
 
 
@@ -27,10 +36,10 @@ def performance_metrics(runs: DataFrame) -> DataFrame:
         runs.groupBy("pipeline_name", "pipeline_id")
         .agg(
             F.count(F.lit(1)).alias("total_runs"),
-            F.avg("duration_minutes").alias("avg_duration_minutes"),
+            mean_minutes().alias("avg_duration_minutes"),
             F.min("duration_minutes").alias("min_duration_minutes"),
             F.max("duration_minutes").alias("max_duration_minutes"),
-            F.stddev_samp("duration_minutes").alias("duration_stddev"),
+            stddev_minutes().alias("duration_stddev"),
             F.sum("error_count").alias("total_errors"),
             F.sum("warning_count").alias("total_warnings"),
             count_where(status_is(S.STATUS_SUCCESS)).alias("successful_runs"),
@@ -113,7 +122,7 @@ def recent_activity(runs: DataFrame, cfg: Config | None = None, days: int | None
             F.count(F.lit(1)).alias("total_runs"),
             count_where(status_is(S.STATUS_SUCCESS)).alias("successful_runs"),
             count_where(status_is(S.STATUS_FAILED)).alias("failed_runs"),
-            F.avg("duration_minutes").alias("avg_duration"),
+            mean_minutes().alias("avg_duration"),
             F.sum("total_events").alias("total_events"),
         )
         .withColumn("success_rate_daily", ratio("successful_runs", "total_runs"))
@@ -129,7 +138,7 @@ def duration_trends(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
         .groupBy("pipeline_name")
         .agg(
             F.count(F.lit(1)).alias("runs"),
-            F.avg("duration_minutes").alias("avg_minutes"),
+            mean_minutes().alias("avg_minutes"),
             F.max("duration_minutes").alias("max_minutes"),
             F.min("duration_minutes").alias("min_minutes"),
             F.percentile_approx("duration_minutes", 0.5).alias("median_minutes"),
@@ -144,7 +153,7 @@ def cluster_usage(runs: DataFrame) -> DataFrame:
         runs.groupBy("pipeline_name", "cluster_id")
         .agg(
             F.count(F.lit(1)).alias("runs_on_cluster"),
-            F.avg("duration_minutes").alias("avg_duration_on_cluster"),
+            mean_minutes().alias("avg_duration_on_cluster"),
             count_where(status_is(S.STATUS_SUCCESS)).alias("successful_runs"),
         )
         .withColumn("success_rate_cluster", ratio("successful_runs", "runs_on_cluster"))

@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 
 from runlens import schema as S
 from runlens.config import Config
-from runlens.functions.exprs import count_where, date_literal, duration_minutes, error_signature, level_is, ratio, status_is
+from runlens.functions.exprs import (
+    count_where,
+    date_literal,
+    duration_minutes,
+    error_signature,
+    level_is,
+    linear_fit_minutes,
+    mean_minutes,
+    ratio,
+    status_is,
+)
 from runlens.operators.quantiles import exact_percentiles
 from runlens.operators.runs import finalize_runs
 
@@ -49,7 +59,7 @@ def daily_duration_trends(runs: DataFrame) -> DataFrame:
     """Daily median and P95 per pipeline name (no duration floor)."""
     return runs.groupBy("pipeline_name", "run_date").agg(
         F.count(F.lit(1)).alias("runs"),
-        F.avg("duration_minutes").alias("avg_minutes"),
+        mean_minutes().alias("avg_minutes"),
         F.percentile_approx("duration_minutes", 0.5).alias("median_minutes"),
         F.percentile_approx("duration_minutes", 0.95).alias("p95_minutes"),
     )
@@ -115,14 +125,14 @@ def duration_slope(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
     to the run date, so the intercept is the fitted value at ``as_of`` and
     the projection is the value ``projection_days`` later."""
     cfg = cfg or Config()
-    x = F.datediff(F.col("run_date"), date_literal(cfg.as_of_date)).cast("double")
-    y = F.col("duration_minutes")
+    x = F.datediff(F.col("run_date"), date_literal(cfg.as_of_date))
+    slope, intercept = linear_fit_minutes(x)
     return (
         runs.groupBy("pipeline_name", "pipeline_id")
         .agg(
             F.count(F.lit(1)).alias("runs"),
-            F.regr_slope(y, x).alias("slope_minutes_per_day"),
-            F.regr_intercept(y, x).alias("fitted_minutes_at_as_of"),
+            slope.alias("slope_minutes_per_day"),
+            intercept.alias("fitted_minutes_at_as_of"),
         )
         .withColumn(
             "projected_minutes",

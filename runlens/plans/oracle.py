@@ -96,6 +96,7 @@ def _runs(cfg: Config = CFG, groups: str = "run_groups", name: str = "runs") ->
     return f"""
 {name} AS (
   SELECT *,
+    {_secs('run_end')} - {_secs('run_start')} AS dur_s,
     ({_secs('run_end')} - {_secs('run_start')}) / 60.0 AS duration_minutes,
     error_count > 0 AS has_errors,
     CASE WHEN error_count > 0 THEN 'FAILED'
@@ -124,6 +125,14 @@ def r6(x: str) -> str:
     return f"round({x}, 6)"
 
 
+# exact-sum forms of the duration aggregates (same formulas as functions/exprs.py)
+MEAN_MIN = "(sum(dur_s) / count(dur_s) / 60.0)"
+STDDEV_MIN = (
+    "(CASE WHEN count(dur_s) > 1 THEN sqrt(CAST(CAST(count(dur_s) AS HUGEINT) * sum(CAST(dur_s AS HUGEINT) * dur_s)"
+    " - CAST(sum(dur_s) AS HUGEINT) * sum(dur_s) AS DOUBLE) / CAST(count(dur_s) * (count(dur_s) - 1) AS DOUBLE)) / 60.0 END)"
+)
+
+
 PIPELINE_RUNS = with_runs(
     """
 SELECT pipeline_id, pipeline_name, update_id, source_full_name, run_start, run_end, run_date,
@@ -135,10 +144,10 @@ FROM runs"""
 PERF_SELECT = f"""
   SELECT pipeline_name, pipeline_id,
     count(*) AS total_runs,
-    avg(duration_minutes) AS avg_duration_minutes,
+    {MEAN_MIN} AS avg_duration_minutes,
     min(duration_minutes) AS min_duration_minutes,
     max(duration_minutes) AS max_duration_minutes,
-    stddev_samp(duration_minutes) AS duration_stddev,
+    {STDDEV_MIN} AS duration_stddev,
     CAST(sum(error_count) AS BIGINT) AS total_errors,
     CAST(sum(warning_count) AS BIGINT) AS total_warnings,
     count(*) FILTER (WHERE status = 'SUCCESS') AS successful_runs,
@@ -148,7 +157,7 @@ PERF_SELECT = f"""
     avg(total_events) AS avg_events_per_run,
     count(*) FILTER (WHERE status = 'SUCCESS') / CAST(count(*) AS DOUBLE) AS success_rate,
     count(*) FILTER (WHERE status = 'FAILED') / CAST(count(*) AS DOUBLE) AS failure_rate,
-    avg(duration_minutes) / 60 AS avg_duration_hours
+    {MEAN_MIN} / 60 AS avg_duration_hours
   FROM runs
   GROUP BY pipeline_name, pipeline_id"""
 
@@ -199,7 +208,7 @@ SELECT run_date, pipeline_name,
   count(*) AS total_runs,
   count(*) FILTER (WHERE status = 'SUCCESS') AS successful_runs,
   count(*) FILTER (WHERE status = 'FAILED') AS failed_runs,
-  round(avg(duration_minutes), 6) AS avg_duration,
+  round({MEAN_MIN}, 6) AS avg_duration,
   CAST(sum(total_events) AS BIGINT) AS total_events,
   round(count(*) FILTER (WHERE status = 'SUCCESS') / CAST(count(*) AS DOUBLE), 6) AS success_rate_daily
 FROM runs
@@ -214,7 +223,7 @@ DURATION_TRENDS = with_runs(
     f"""
 SELECT pipeline_name,
   count(*) AS runs,
-  round(avg(duration_minutes), 6) AS avg_minutes,
+  round({MEAN_MIN}, 6) AS avg_minutes,
   round(max(duration_minutes), 6) AS max_minutes,
   round(min(duration_minutes), 6) AS min_minutes,
   round(quantile_disc(duration_minutes, 0.5), 6) AS median_minutes,
@@ -224,10 +233,10 @@ WHERE duration_minutes > {CFG.trend_min_minutes}
 GROUP BY pipeline_name"""
 )
 
-CLUSTER_CTE = """cluster AS (
+CLUSTER_CTE = f"""cluster AS (
   SELECT pipeline_name, cluster_id,
     count(*) AS runs_on_cluster,
-    avg(duration_minutes) AS avg_duration_on_cluster,
+    {MEAN_MIN} AS avg_duration_on_cluster,
     count(*) FILTER (WHERE status = 'SUCCESS') AS successful_runs,
     count(*) FILTER (WHERE status = 'SUCCESS') / CAST(count(*) AS DOUBLE) AS success_rate_cluster
   FROM runs
@@ -376,9 +385,9 @@ FROM runs GROUP BY pipeline_name, pipeline_id"""
 )
 
 DAILY_DURATION_TRENDS = with_runs(
-    """
+    f"""
 SELECT pipeline_name, run_date, count(*) AS runs,
-  round(avg(duration_minutes), 6) AS avg_minutes,
+  round({MEAN_MIN}, 6) AS avg_minutes,
   round(quantile_disc(duration_minutes, 0.5), 6) AS median_minutes,
   round(quantile_disc(duration_minutes, 0.95), 6) AS p95_minutes
 FROM runs GROUP BY pipeline_name, run_date"""
@@ -418,6 +427,9 @@ FROM enriched
 GROUP BY pipeline_id, pipeline_name, update_id, source_full_name, flow_name"""
 )
 
+_X = f"CAST(datediff('day', {_d(CFG.as_of_date)}, run_date) AS HUGEINT)"
+_FIT_DEN = f"(CAST(count(dur_s) AS HUGEINT) * sum({_X} * {_X}) - sum({_X}) * sum({_X}))"
+
 DURATION_SLOPE = with_runs(
     f"""
 SELECT pipeline_name, pipeline_id, runs,
@@ -426,8 +438,12 @@ SELECT pipeline_name, pipeline_id, runs,
   round(intercept + slope * {float(CFG.projection_days)}, 4) AS projected_minutes
 FROM (
   SELECT pipeline_name, pipeline_id, count(*) AS runs,
-    regr_slope(duration_minutes, CAST(datediff('day', {_d(CFG.as_of_date)}, run_date) AS DOUBLE)) AS slope,
-    regr_intercept(duration_minutes, CAST(datediff('day', {_d(CFG.as_of_date)}, run_date) AS DOUBLE)) AS intercept
+    CASE WHEN {_FIT_DEN} <> 0 THEN
+      CAST(CAST(count(dur_s) AS HUGEINT) * sum({_X} * dur_s) - sum({_X}) * sum(CAST(dur_s AS HUGEINT)) AS DOUBLE)
+      / CAST({_FIT_DEN} AS DOUBLE) / 60.0 END AS slope,
+    CASE WHEN {_FIT_DEN} <> 0 THEN
+      CAST(sum(CAST(dur_s AS HUGEINT)) * sum({_X} * {_X}) - sum({_X}) * sum({_X} * dur_s) AS DOUBLE)
+      / CAST({_FIT_DEN} AS DOUBLE) / 60.0 END AS intercept
   FROM runs GROUP BY pipeline_name, pipeline_id
 )"""
 )
@@ -489,9 +505,8 @@ SELECT 'duration_spike' AS kind, pipeline_name, pipeline_id, update_id, source_f
   round(duration_minutes, 6) AS value, round({CFG.spike_factor} * prev_sum / prev_n / 60, 6) AS threshold
 FROM (
   SELECT *,
-    {_secs('run_end')} - {_secs('run_start')} AS dur_s,
     count(*) OVER w AS prev_n,
-    sum({_secs('run_end')} - {_secs('run_start')}) OVER w AS prev_sum
+    sum(dur_s) OVER w AS prev_sum
   FROM runs
   WINDOW w AS (PARTITION BY pipeline_id
                ORDER BY run_start ASC NULLS FIRST, pipeline_name ASC NULLS FIRST,

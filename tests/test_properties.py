@@ -60,3 +60,16 @@ def test_incremental_with_late_events_interleaved(spark):
     late = F.col("pipeline_id").isin("p1", "p5", "p9")
     got = incremental_runs(run_state(p.enriched.filter(~late), p.cfg), p.enriched.filter(late), p.cfg)
     assert _rows(got) == _rows(p.runs)
+
+
+def test_duration_aggregates_are_exact_under_any_partitioning(spark):
+    # means, deviations and fits come from integer sums: bitwise equal
+    from runlens.operators import metrics as M
+    from runlens.operators import reports as X
+
+    p = Pipeline.from_fixture(spark, SF001)
+    q = Pipeline([LogSource(l.catalog, l.schema, l.table, l.df.repartition(7, F.rand(11))) for l in p.logs], p.cfg)
+    for f in (M.performance_metrics, M.cluster_usage, lambda r: X.duration_slope(r, p.cfg)):
+        a = sorted(tuple(repr(v) for v in r) for r in f(p.runs).collect())
+        b = sorted(tuple(repr(v) for v in r) for r in f(q.runs.repartition(5)).collect())
+        assert a == b

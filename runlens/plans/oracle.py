@@ -302,6 +302,15 @@ FROM logs GROUP BY ALL""",
     _RAW,
 )
 
+LOG_INVENTORY = with_events(
+    """
+SELECT 'spark_catalog' AS catalog, 'runlens_fx_' || source_schema AS schema, source_table AS "table",
+       'spark_catalog.runlens_fx_' || source_schema || '.' || source_table AS full_name,
+       'ok' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) AS row_count
+FROM logs GROUP BY source_schema, source_table""",
+    _RAW,
+)
+
 INVENTORY_BY_CATALOG = with_events(
     """
 SELECT source_catalog AS catalog, count(DISTINCT source_full_name) AS table_count,

@@ -30,7 +30,7 @@ from runlens.plans import oracle as O
 from runlens.plans.pipeline import Pipeline
 from runlens.plans.refresh import build_results, refresh
 from runlens.session import new_scratch
-from runlens.sources.fixture import fixture_logs, register_fixture_tables
+from runlens.sources.fixture import FIXTURE_SCHEMA_PREFIX, fixture_logs, register_fixture_tables
 from runlens.sources.inventory import discover, inventory_by_catalog, inventory_with_counts, log_row_counts
 from runlens.sources.logs import read_log
 from runlens.sources.sinks import register_views
@@ -149,13 +149,12 @@ def q_scan_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(_flat(read_log(spark, catalog, schema, table).df))
 
 
-@register("log_inventory")
+@register("log_inventory", O.LOG_INVENTORY)
 def q_log_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Discovery over the session catalog (rows-only check: 3 logs; the
-    temp view and the non-matching table are skipped)."""
-    tables = register_fixture_tables(spark, sf_dir)
-    prefix = tables[0][1][: -len("s0")]
-    cfg = Config(target_catalogs=("spark_catalog",), schema_filter=re.escape(prefix))
+    """Discovery over the session catalog with row counts: the three logs;
+    the temp view and the non-matching table are skipped."""
+    register_fixture_tables(spark, sf_dir)
+    cfg = Config(target_catalogs=("spark_catalog",), schema_filter=re.escape(FIXTURE_SCHEMA_PREFIX))
     return inventory_with_counts(spark, discover(spark, cfg)).orderBy("catalog", "schema", "table")
 
 

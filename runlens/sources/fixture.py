@@ -87,35 +87,47 @@ def fixture_logs(spark: SparkSession, sf_dir: str) -> list[LogSource]:
     return event_logs(read_events(spark, sf_dir))
 
 
-def fixture_database(sf_dir: str, k: int) -> str:
-    """Session-catalog schema holding fixture log ``k`` of ``sf_dir``."""
-    import hashlib
+FIXTURE_SCHEMA_PREFIX = "runlens_fx_s"
+SOURCE_PROPERTY = "runlens.source"
 
-    h = hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
-    return f"runlens_fx_{h}_s{k}"
+
+def fixture_database(k: int) -> str:
+    """Session-catalog schema holding fixture log ``k``."""
+    return f"{FIXTURE_SCHEMA_PREFIX}{k}"
+
+
+def _registered_source(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return next((r["value"] for r in rows if r["key"] == SOURCE_PROPERTY), None)
 
 
 def register_fixture_tables(spark: SparkSession, sf_dir: str) -> list[tuple[str, str, str]]:
-    """Write the fixture logs once per session as catalog tables
-    ``spark_catalog.runlens_fx_<hash>_s<k>.event_log_<k>`` under the shared
-    checkpoint folder, plus a non-matching table and a temporary view that
-    discovery must skip.  Returns (catalog, schema, table) of the logs."""
+    """Write the fixture logs of ``sf_dir`` as catalog tables
+    ``spark_catalog.runlens_fx_s<k>.event_log_<k>`` under the shared
+    checkpoint folder (once per session and data folder; the folder is kept
+    as a table property), plus a non-matching table and a temporary view
+    that discovery must skip.  Returns (catalog, schema, table) of the logs."""
     from runlens.session import new_scratch
     from runlens.sources.logs import quote
 
     out = []
     root = None
     for k, log in enumerate(fixture_logs(spark, sf_dir)):
-        db = fixture_database(sf_dir, k)
-        table = log.table
-        if not spark.catalog.tableExists(f"{db}.{table}"):
+        db = fixture_database(k)
+        name = f"{quote(db)}.{quote(log.table)}"
+        if _registered_source(spark, name) != sf_dir:
             root = root or new_scratch(spark, "fixture-tables")
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote(db)} LOCATION '{root}/{db}'")
-            log.df.write.mode("overwrite").format("parquet").saveAsTable(f"{quote(db)}.{quote(table)}")
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            log.df.write.format("parquet").option("path", f"{root}/{db}/{log.table}").saveAsTable(name)
+            literal = sf_dir.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{SOURCE_PROPERTY}' = '{literal}')")
             if k == 0:
                 read_events(spark, sf_dir).select("event_id").limit(0).write.mode("overwrite").format(
                     "parquet"
-                ).saveAsTable(f"{quote(db)}.`orders`")
-        out.append(("spark_catalog", db, table))
+                ).option("path", f"{root}/{db}/orders").saveAsTable(f"{quote(db)}.`orders`")
+        out.append(("spark_catalog", db, log.table))
     read_events(spark, sf_dir).limit(0).createOrReplaceTempView("event_log_tmp")
     return out

@@ -21,9 +21,8 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"log_inventory"}
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
@@ -42,6 +41,15 @@ def test_entry_runs(spark):
     assert "success_rate" in df.columns
 
 
+def test_fixture_tables_follow_the_data_folder(spark):
+    from tests.conftest import SF01
+
+    small = E.queries()["scan_log"](spark, SF001).count()
+    large = E.queries()["scan_log"](spark, SF01).count()
+    assert small < large
+    assert E.queries()["scan_log"](spark, SF001).count() == small
+
+
 def test_log_inventory_rows(spark):
     rows = E.queries()["log_inventory"](spark, SF001).collect()
     assert [r["table"] for r in rows] == ["event_log_0", "event_log_1", "event_log_2"]

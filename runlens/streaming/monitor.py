@@ -40,7 +40,11 @@ class StreamLog:
 
 
 class StateStore:
-    """Versioned snapshots of the run state under one folder."""
+    """Versioned snapshots of the run state under one folder.
+
+    Each micro-batch writes a complete new version; that is what makes a
+    retried batch idempotent without a transactional table format (it
+    re-reads the version before it and rewrites its own)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -50,20 +54,13 @@ class StateStore:
         return f"{self.root}/state/v{v:08d}"
 
     def versions(self) -> list[int]:
-        """Committed snapshots (a ``_SUCCESS`` marker), via the Hadoop
-        file system of the folder, so it works on shared storage too."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        base = jvm.org.apache.hadoop.fs.Path(f"{self.root}/state")
-        fs = base.getFileSystem(conf)
-        if not fs.exists(base):
+        """Committed snapshot versions, read from the commit log (a small
+        parquet table appended to only after a snapshot write succeeded)."""
+        try:
+            rows = self.spark.read.parquet(f"{self.root}/commits").select("version").distinct().collect()
+        except Exception:  # noqa: BLE001 - nothing committed yet
             return []
-        out = []
-        for st in fs.listStatus(base):
-            name = st.getPath().getName()
-            if name.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[1:]))
-        return sorted(out)
+        return sorted(int(r["version"]) for r in rows)
 
     @property
     def version(self) -> int:
@@ -76,6 +73,8 @@ class StateStore:
 
     def write(self, df: DataFrame, v: int) -> None:
         df.write.mode("overwrite").parquet(self.path(v))
+        # commit record only after the snapshot is complete
+        self.spark.createDataFrame([(v,)], "version long").write.mode("append").parquet(f"{self.root}/commits")
 
 
 def start_run_monitor(

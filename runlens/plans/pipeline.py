@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from runlens.config import Config
 from runlens.operators.enrich import enrich
-from runlens.operators.runs import pipeline_runs, run_state
+from runlens.operators.runs import finalize_runs, run_state
 from runlens.sources.fixture import fixture_logs
 from runlens.sources.logs import LogSource, consolidate
 
@@ -42,4 +42,4 @@ class Pipeline:
 
     @cached_property
     def runs(self) -> DataFrame:
-        return pipeline_runs(self.enriched, self.cfg)
+        return finalize_runs(self.state, self.cfg)

@@ -19,6 +19,7 @@ from runlens.config import Config
 from runlens.functions.exprs import time_literal
 from runlens.operators.metrics import cluster_usage, performance_metrics
 from runlens.operators.sequence import number_within, trailing_stats
+from runlens.session import materialize as checkpoint
 
 
 def _desc(c: str):
@@ -222,7 +223,13 @@ def error_bursts(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
     )
 
 
-def alert_candidates(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
-    """One row per alert: duration spikes, high failure rates, error bursts."""
+def alert_candidates(runs: DataFrame, cfg: Config | None = None, materialize: bool = True) -> DataFrame:
+    """One row per alert: duration spikes, high failure rates, error bursts.
+
+    The three kinds read ``runs`` in four branches; with ``materialize`` the
+    runs (without their array columns) are checkpointed once, so the fold
+    behind them is not recomputed per branch."""
     cfg = cfg or Config()
+    if materialize:
+        runs = checkpoint(runs.drop(*[c for c in ("error_messages", "error_datasets") if c in runs.columns]))
     return duration_spikes(runs, cfg).unionByName(failure_rate_alerts(runs, cfg)).unionByName(error_bursts(runs, cfg))

@@ -22,6 +22,7 @@ from runlens.functions.exprs import (
 )
 from runlens.operators.quantiles import exact_percentiles
 from runlens.operators.runs import finalize_runs
+from runlens.session import materialize as checkpoint
 
 
 def status_breakdown(runs: DataFrame) -> DataFrame:
@@ -154,10 +155,14 @@ def failed_run_detail(state: DataFrame, cfg: Config | None = None) -> DataFrame:
     )
 
 
-def duration_outliers(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
+def duration_outliers(runs: DataFrame, cfg: Config | None = None, materialize: bool = True) -> DataFrame:
     """Runs longer than Q3 + k * (Q3 - Q1) of their pipeline (Tukey fence,
-    exact interpolated quartiles per pipeline_id)."""
+    exact interpolated quartiles per pipeline_id).  ``runs`` feeds both the
+    quartiles and the comparison; with ``materialize`` the needed columns
+    are checkpointed once."""
     cfg = cfg or Config()
+    if materialize:
+        runs = checkpoint(runs.select(*S.RUN_KEYS, "run_start", "duration_minutes"))
     q = exact_percentiles(runs, ["pipeline_id"], "duration_minutes", [0.25, 0.75], ["q1_minutes", "q3_minutes"])
     q = q.select(
         F.col("pipeline_id").alias("_q_pipeline_id"),

@@ -69,3 +69,11 @@ def new_scratch(spark: SparkSession, label: str) -> str:
     import uuid
 
     return scratch_path(spark, f"{label}-{os.getpid()}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Checkpoint ``df`` to the shared checkpoint folder (eager): used where
+    several branches of one plan consume the same intermediate result, so
+    the work behind it runs once and its lineage is cut."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

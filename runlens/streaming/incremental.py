@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from runlens import schema as S
 from runlens.config import Config
 from runlens.operators.runs import finalize_runs, merge_run_state, run_state
+from runlens.session import materialize as checkpoint
 
 
 def _on(left: DataFrame, right: DataFrame) -> Column:
@@ -33,16 +34,25 @@ def _on(left: DataFrame, right: DataFrame) -> Column:
     return cond
 
 
-def refresh_state(state: DataFrame, new_enriched: DataFrame, cfg: Config | None = None) -> DataFrame:
-    """State after adding ``new_enriched`` events to ``state``."""
+def refresh_state(
+    state: DataFrame, new_enriched: DataFrame, cfg: Config | None = None, materialize: bool = True
+) -> DataFrame:
+    """State after adding ``new_enriched`` events to ``state``.  The new
+    partials feed the touched keys of both joins and the merge; with
+    ``materialize`` they are checkpointed once (one row per touched run), so
+    the new events are folded once."""
     cfg = cfg or Config()
     fresh = run_state(new_enriched, cfg)
+    if materialize:
+        fresh = checkpoint(fresh)
     touched = fresh.select(*[fresh[k].alias(f"_t_{k}") for k in S.RUN_KEYS])
     keep = state.join(touched, _on(state, touched), "left_anti")
     old = state.join(touched, _on(state, touched), "left_semi")
     return keep.unionByName(merge_run_state(old, fresh))
 
 
-def incremental_runs(state: DataFrame, new_enriched: DataFrame, cfg: Config | None = None) -> DataFrame:
+def incremental_runs(
+    state: DataFrame, new_enriched: DataFrame, cfg: Config | None = None, materialize: bool = True
+) -> DataFrame:
     """Runs table after an incremental refresh (equals a full rebuild)."""
-    return finalize_runs(refresh_state(state, new_enriched, cfg), cfg)
+    return finalize_runs(refresh_state(state, new_enriched, cfg, materialize), cfg)

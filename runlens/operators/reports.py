@@ -25,6 +25,36 @@ from runlens.operators.runs import finalize_runs
 from runlens.session import materialize as checkpoint
 
 
+def stage_counts(consolidated: DataFrame, cfg: Config | None = None) -> DataFrame:
+    """Row counts of every stage (consolidated, enriched, run groups, runs)
+    from one pass: events are folded by run key *before* dropping those
+    without a pipeline id, so the dropped events form their own groups and
+    every count is a sum over one small aggregate."""
+    cfg = cfg or Config()
+    pid = F.col("origin.pipeline_id")
+    groups = consolidated.groupBy(
+        pid.alias("pipeline_id"),
+        F.col("origin.pipeline_name").alias("pipeline_name"),
+        F.col("origin.update_id").alias("update_id"),
+        "source_full_name",
+    ).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.min("timestamp").alias("run_start"),
+        F.max("timestamp").alias("run_end"),
+    )
+    named = F.col("pipeline_id").isNotNull()
+    totals = groups.agg(
+        F.sum("events").alias("consolidated"),
+        F.coalesce(F.sum(F.when(named, F.col("events"))), F.lit(0)).alias("enriched"),
+        F.count_if(named).alias("run_groups"),
+        F.count_if(named & (duration_minutes("run_start", "run_end") > F.lit(cfg.min_run_minutes))).alias("runs"),
+    )
+    names = ("consolidated", "enriched", "run_groups", "runs")
+    return totals.select(
+        F.explode(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).cast("long").alias("row_count")) for n in names])).alias("s")
+    ).select("s.stage", "s.row_count")
+
+
 def status_breakdown(runs: DataFrame) -> DataFrame:
     """Runs and events per status."""
     return runs.groupBy("status").agg(
@@ -66,7 +96,7 @@ def daily_duration_trends(runs: DataFrame) -> DataFrame:
     )
 
 
-def clusters_per_pipeline(runs: DataFrame) -> DataFrame:
+def clusters_per_pipeline(runs: DataFrame, materialize: bool = True) -> DataFrame:
     """Distinct clusters used per pipeline: one row per (pipeline, cluster)
     with its runs and first/last use, plus the pipeline's number of distinct
     clusters (runs without a cluster form a null-cluster row; count 0 when a
@@ -81,6 +111,8 @@ def clusters_per_pipeline(runs: DataFrame) -> DataFrame:
         F.min("run_start").alias("first_used"),
         F.max("run_start").alias("last_used"),
     )
+    if materialize:  # read by both branches below: fold the runs once
+        used = checkpoint(used)
     counts = used.groupBy("pipeline_name", "pipeline_id").agg(F.count("cluster_id").alias("unique_clusters"))
     counts = counts.select(
         F.col("pipeline_name").alias("_n"), F.col("pipeline_id").alias("_i"), "unique_clusters"

@@ -25,7 +25,7 @@ from runlens.operators import metrics as M
 from runlens.operators import ranking as R
 from runlens.operators import reports as X
 from runlens.operators.enrich import flatten_origin
-from runlens.operators.runs import finalize_runs, run_state
+from runlens.operators.runs import run_state
 from runlens.plans import oracle as O
 from runlens.plans.pipeline import Pipeline
 from runlens.plans.refresh import build_results, refresh
@@ -221,24 +221,8 @@ def q_status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stage_counts", O.STAGE_COUNTS)
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of every stage: one scan for consolidated/enriched and
-    one for the run groups (the run table reuses that fold)."""
     p = fixture(spark, sf_dir)
-    ev = p.consolidated.agg(
-        F.count(F.lit(1)).alias("consolidated"),
-        F.count_if(F.col("origin.pipeline_id").isNotNull()).alias("enriched"),
-    )
-    runs = finalize_runs(p.state, p.cfg, keep_all=True)
-    rg = runs.agg(
-        F.count(F.lit(1)).alias("run_groups"),
-        F.count_if(F.col("duration_minutes") > F.lit(p.cfg.min_run_minutes)).alias("runs"),
-    )
-    def stack(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
-        return df.select(
-            F.explode(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("row_count")) for n in names])).alias("s")
-        ).select("s.stage", "s.row_count")
-
-    return stack(ev, ("consolidated", "enriched")).union(stack(rg, ("run_groups", "runs")))
+    return X.stage_counts(p.consolidated, p.cfg)
 
 
 # ------------------------------------------------------ documented analyses

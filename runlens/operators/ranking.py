@@ -232,4 +232,5 @@ def alert_candidates(runs: DataFrame, cfg: Config | None = None, materialize: bo
     cfg = cfg or Config()
     if materialize:
         runs = checkpoint(runs.drop(*[c for c in ("error_messages", "error_datasets") if c in runs.columns]))
-    return duration_spikes(runs, cfg).unionByName(failure_rate_alerts(runs, cfg)).unionByName(error_bursts(runs, cfg))
+    alerts = duration_spikes(runs, cfg).unionByName(failure_rate_alerts(runs, cfg)).unionByName(error_bursts(runs, cfg))
+    return alerts.select(*ALERT_COLUMNS)

@@ -29,22 +29,9 @@ from runlens import schema as S
 from runlens.config import Config
 from runlens.functions.exprs import count_where, duration_minutes, earliest_non_null, level_is, run_status
 
-STATE_COLUMNS = (
-    "run_start",
-    "run_end",
-    "total_events",
-    "event_types",
-    "error_count",
-    "warning_count",
-    "info_count",
-    "error_messages",
-    "first_cluster",
-    "first_pipeline_type",
-    "error_flows",
-)
-
 
 def run_state(enriched: DataFrame, cfg: Config | None = None) -> DataFrame:
+    """Mergeable per-run partials of the enriched events."""
     cfg = cfg or Config()
     ev = enriched
     if cfg.exclude_null_updates:

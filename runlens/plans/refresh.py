@@ -34,15 +34,6 @@ from runlens.sources.logs import LogSource, align, consolidate, quote
 from runlens.sources.sinks import ensure_schema, register_views, table_name, write_table
 from runlens.streaming.incremental import refresh_state
 
-RESULT_KEYS = (
-    "consolidated_events",
-    "pipeline_runs",
-    "performance_metrics",
-    "error_analysis",
-    "recent_activity",
-    "duration_trends",
-    "cluster_usage",
-)
 STATE_KEY = "run_state"
 PARTITION_COLUMN = "event_date"
 

@@ -36,8 +36,6 @@ LOAD_STAMP = "consolidated_at"
 # Key of one pipeline run.
 RUN_KEYS = ("pipeline_id", "pipeline_name", "update_id", "source_full_name")
 
-ORIGIN_TYPE = T.StructType([T.StructField(f, T.StringType(), True) for f in ORIGIN_FIELDS])
-
 # Top-level columns the analytics need; anything else rides along.
 REQUIRED_COLUMNS = {
     "timestamp": (T.TimestampType, T.TimestampNTZType),

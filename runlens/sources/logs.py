@@ -96,6 +96,12 @@ def common_schema(logs: list[LogSource]) -> T.StructType:
     missing = [c for c in S.REQUIRED_COLUMNS if c != "origin" and c not in top]
     if missing:
         raise S.SchemaClashError(f"no log provides required column(s) {missing}")
+    for name, allowed in S.REQUIRED_COLUMNS.items():
+        if name in top and not isinstance(top[name][0], (*allowed, T.NullType)):
+            raise S.SchemaClashError(
+                f"column {name} is {top[name][0].simpleString()} in {top[name][1]}; "
+                f"expected {' or '.join(a.typeName() for a in allowed)}"
+            )
     fields = []
     for name, (dtype, _) in top.items():
         fields.append(T.StructField(name, dtype, True))

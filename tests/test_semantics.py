@@ -189,6 +189,14 @@ def test_type_clash_is_a_clear_error(spark):
         consolidate([a, c], CFG)
 
 
+def test_wrong_type_of_a_required_column_is_a_clear_error(spark):
+    bad = T.StructType([f if f.name != "level" else T.StructField("level", T.IntegerType()) for f in LOG_T.fields])
+    rows = [r[:2] + (1,) + r[3:] for r in run_of([0, 10])]
+    log = LogSource("c", "s", "event_log_a", spark.createDataFrame(rows, bad))
+    with pytest.raises(S.SchemaClashError, match="column level is int"):
+        consolidate([log], CFG)
+
+
 def test_sample_messages_are_bounded_and_ordered(spark):
     # at most N earliest messages per group, in time order
     rows = [ev(i, 100 - i, level="ERROR", message=f"m{i:03d}") for i in range(30)]

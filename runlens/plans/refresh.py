@@ -11,10 +11,13 @@ actions (counts, previews, seven writes).  Here:
   consolidated table is written first, partitioned by event date, and
   everything else is derived from that written table (column-pruned reads)
   and from the stored run state.
-* ``incremental_refresh`` appends new logs, merges only their events into
-  the stored run state (touched keys), and re-derives the small tables.
-  State versions are separate tables behind a view, so the state being
-  read is never the one being written.
+* ``incremental_refresh`` / ``apply_events`` add one batch of new events
+  exactly once per (source, batch id): the batch gets its own partitions of
+  the consolidated table, only its events are folded into the stored run
+  state (touched keys), a commit log records the batch, and the small tables
+  are re-derived.  State versions are separate tables behind a view, so the
+  state being read is never the one being written.  The streaming monitor
+  calls ``apply_events`` from ``foreachBatch``.
 """
 
 from __future__ import annotations
@@ -35,7 +38,9 @@ from runlens.sources.sinks import ensure_schema, register_views, table_name, wri
 from runlens.streaming.incremental import refresh_state
 
 STATE_KEY = "run_state"
+LOG_KEY = "refresh_log"
 PARTITION_COLUMN = "event_date"
+BATCH_COLUMN = "ingest_batch"
 
 
 def derive_tables(state: DataFrame, enriched: DataFrame, cfg: Config, materialize: bool = True) -> dict[str, DataFrame]:
@@ -77,31 +82,130 @@ def _state_versions(spark: SparkSession, database: str, prefix: str) -> list[int
     return sorted(int(m.group(1)) for n in names if (m := pat.match(n)))
 
 
-def _publish_state(spark: SparkSession, state: DataFrame, database: str, cfg: Config) -> str:
-    """Write a new state version and point the ``run_state`` view at it."""
-    versions = _state_versions(spark, database, cfg.table_prefix)
-    v = (versions[-1] + 1) if versions else 1
-    name = table_name(database, cfg.table_prefix, f"{STATE_KEY}_v{v}")
-    write_table(state, name, cfg.output_format)
-    view = table_name(database, cfg.table_prefix, STATE_KEY)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {name}")
-    for old in versions[:-1]:  # keep the previous version until the next swap
-        spark.sql(f"DROP TABLE IF EXISTS {table_name(database, cfg.table_prefix, f'{STATE_KEY}_v{old}')}")
-    return view
-
-
-def _publish_derived(spark: SparkSession, database: str, cfg: Config, views: bool) -> dict[str, str]:
-    cons = table_name(database, cfg.table_prefix, "consolidated_events")
-    state = spark.table(table_name(database, cfg.table_prefix, STATE_KEY))
-    names = {"consolidated_events": cons, STATE_KEY: table_name(database, cfg.table_prefix, STATE_KEY)}
-    for key, df in derive_tables(state, enrich(spark.table(cons)), cfg).items():
-        names[key] = table_name(database, cfg.table_prefix, key)
+def _batch_tag(source: str, batch_id: int) -> str:
+    return re.sub(r"[^a-z0-9_]+", "_", source.lower()) + f"-{int(batch_id)}"
+
+
+def _log_status(spark: SparkSession, log: str, source: str, batch_id: int) -> tuple[bool, int]:
+    """(is this batch committed?, latest committed state version)."""
+    if not spark.catalog.tableExists(log):
+        return False, 0
+    row = spark.table(log).agg(
+        F.count_if((F.col("source") == source) & (F.col("batch_id") == int(batch_id))).alias("done"),
+        F.max("state_version").alias("latest"),
+    ).first()
+    return row["done"] > 0, int(row["latest"] or 0)
+
+
+def _conform(events: DataFrame, table: DataFrame) -> DataFrame:
+    """Align a batch to the consolidated table's data columns (missing ones
+    as typed nulls).  Columns the table lacks need a full refresh."""
+    data = table.drop(PARTITION_COLUMN, BATCH_COLUMN).schema
+    extra = sorted(set(events.columns) - set(table.columns))
+    have_origin = set(data["origin"].dataType.fieldNames())
+    extra += sorted(f"origin.{f}" for f in events.schema["origin"].dataType.fieldNames() if f not in have_origin)
+    if extra:
+        raise ValueError(f"new logs add column(s) {extra}; run a full refresh to evolve the schema")
+    return align(events, data)
+
+
+def _overwrite_partitions(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Replace exactly the partitions present in ``df`` (dynamic partition
+    overwrite; the session setting is restored afterwards)."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, "static")
+    spark.conf.set(key, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+
+
+def _stage(events: DataFrame, tag: str, cfg: Config) -> DataFrame:
+    return _with_partition(events, cfg.consolidated_files).withColumn(BATCH_COLUMN, F.lit(tag))
+
+
+def _finish(spark: SparkSession, database: str, cfg: Config, views: bool, refresh_errors: bool) -> dict[str, str]:
+    """Point the state view at the latest committed version and re-derive
+    the published tables from it (all idempotent)."""
+    t = lambda key: table_name(database, cfg.table_prefix, key)
+    _, latest = _log_status(spark, t(LOG_KEY), "", -1)
+    spark.sql(f"CREATE OR REPLACE VIEW {t(STATE_KEY)} AS SELECT * FROM {t(f'{STATE_KEY}_v{latest}')}")
+    for old in _state_versions(spark, database, cfg.table_prefix):
+        if old < latest - 1:  # keep the previous version for readers mid-swap
+            spark.sql(f"DROP TABLE IF EXISTS {t(f'{STATE_KEY}_v{old}')}")
+    cons = t("consolidated_events")
+    names = {"consolidated_events": cons, STATE_KEY: t(STATE_KEY)}
+    tables = derive_tables(spark.table(t(STATE_KEY)), enrich(spark.table(cons)), cfg)
+    for key, df in tables.items():
+        names[key] = t(key)
+        if key == "error_analysis" and not refresh_errors and spark.catalog.tableExists(names[key]):
+            continue
         write_table(df, names[key], cfg.output_format)
     if views:
         register_views({k: spark.table(v) for k, v in names.items()}, cfg.table_prefix)
     return names
 
 
+def apply_events(
+    spark: SparkSession,
+    events: DataFrame,
+    database: str,
+    cfg: Config | None = None,
+    source: str = "manual",
+    batch_id: int = 0,
+    views: bool = False,
+    refresh_errors: bool = True,
+) -> dict[str, str]:
+    """Add one batch of consolidated events to the published tables,
+    exactly once per (source, batch_id).
+
+    1. The batch's events go to their own partitions
+       (``event_date``, ``ingest_batch``) of the consolidated table; a retry
+       overwrites exactly those partitions.
+    2. Only this batch is read back (partition pruning) and folded into the
+       last *committed* state version, written as the next version, which
+       nobody reads yet.
+    3. A row (source, batch_id, version) appended to the refresh log commits
+       the batch.
+    4. The state view is pointed at the latest committed version and the
+       small tables are re-derived.
+
+    A retry after a failure at any step recomputes from the last committed
+    version, so the batch is counted once.  Single writer per database."""
+    cfg = cfg or Config()
+    t = lambda key: table_name(database, cfg.table_prefix, key)
+    cons, log = t("consolidated_events"), t(LOG_KEY)
+    done, base = _log_status(spark, log, source, batch_id)
+    if not done:
+        tag = _batch_tag(source, batch_id)
+        if spark.catalog.tableExists(cons):
+            table = spark.table(cons)
+            staged = _stage(_conform(events, table), tag, cfg).select(*table.columns)  # insertInto is positional
+            _overwrite_partitions(spark, staged, cons)
+        else:
+            write_table(_stage(events, tag, cfg), cons, cfg.output_format, [PARTITION_COLUMN, BATCH_COLUMN])
+        batch = enrich(spark.table(cons).filter(F.col(BATCH_COLUMN) == tag))
+        if base == 0:
+            new_state = run_state(batch, cfg)
+        else:
+            new_state = refresh_state(spark.table(t(f"{STATE_KEY}_v{base}")), batch, cfg)
+        write_table(new_state, t(f"{STATE_KEY}_v{base + 1}"), cfg.output_format)
+        spark.createDataFrame(
+            [(source, int(batch_id), base + 1)], "source string, batch_id long, state_version long"
+        ).write.mode("append").format(cfg.output_format).saveAsTable(log)
+    return _finish(spark, database, cfg, views, refresh_errors)
+
+
+def _drop_published(spark: SparkSession, database: str, cfg: Config) -> None:
+    t = lambda key: table_name(database, cfg.table_prefix, key)
+    spark.sql(f"DROP VIEW IF EXISTS {t(STATE_KEY)}")
+    for v in _state_versions(spark, database, cfg.table_prefix):
+        spark.sql(f"DROP TABLE IF EXISTS {t(f'{STATE_KEY}_v{v}')}")
+    for key in ("consolidated_events", LOG_KEY):
+        spark.sql(f"DROP TABLE IF EXISTS {t(key)}")
+
+
 def refresh(
     spark: SparkSession,
     logs: list[LogSource],
@@ -110,13 +214,13 @@ def refresh(
     location: str | None = None,
     views: bool = True,
 ) -> dict[str, str]:
-    """Full refresh; returns key -> published table name."""
+    """Full refresh (rebuild); returns key -> published table name.  Each
+    source log is scanned once, to write the consolidated table; the state
+    and the small tables are derived from that table."""
     cfg = cfg or Config()
     ensure_schema(spark, database, location)
-    cons = table_name(database, cfg.table_prefix, "consolidated_events")
-    write_table(_with_partition(consolidate(logs, cfg), cfg.consolidated_files), cons, cfg.output_format, [PARTITION_COLUMN])
-    _publish_state(spark, run_state(enrich(spark.table(cons)), cfg), database, cfg)
-    return _publish_derived(spark, database, cfg, views)
+    _drop_published(spark, database, cfg)
+    return apply_events(spark, consolidate(logs, cfg), database, cfg, source="full", batch_id=0, views=views)
 
 
 def incremental_refresh(
@@ -124,32 +228,13 @@ def incremental_refresh(
     new_logs: list[LogSource],
     database: str,
     cfg: Config | None = None,
+    *,
+    batch_id: int,
+    source: str = "manual",
     views: bool = True,
 ) -> dict[str, str]:
-    """Add ``new_logs`` (events not seen before) to a published refresh.
-
-    New events are aligned to the published consolidated schema (a log with
-    columns the table lacks needs a full refresh), appended to their date
-    partitions, and folded into the stored run state by touched keys.
-    Feeding the same events twice counts them twice; the streaming monitor
-    gives exactly-once delivery from files."""
+    """Add ``new_logs`` (events not seen before) to a published refresh,
+    exactly once per (source, batch_id): calling it again with the same
+    batch id after a failure or a success changes nothing twice."""
     cfg = cfg or Config()
-    cons = table_name(database, cfg.table_prefix, "consolidated_events")
-    target = spark.table(cons).drop(PARTITION_COLUMN).schema
-    new_events = consolidate(new_logs, cfg)
-    extra = sorted(set(new_events.columns) - set(target.fieldNames()))
-    have_origin = set(target["origin"].dataType.fieldNames())
-    extra += sorted(f"origin.{f}" for f in new_events.schema["origin"].dataType.fieldNames() if f not in have_origin)
-    if extra:
-        raise ValueError(f"new logs add column(s) {extra}; run a full refresh to evolve the schema")
-    new_events = align(new_events, target)
-    old_state = spark.table(table_name(database, cfg.table_prefix, STATE_KEY))
-    _publish_state(spark, refresh_state(old_state, enrich(new_events), cfg), database, cfg)
-    (
-        _with_partition(new_events, cfg.consolidated_files)
-        .write.mode("append")
-        .format(cfg.output_format)
-        .partitionBy(PARTITION_COLUMN)
-        .saveAsTable(cons)
-    )
-    return _publish_derived(spark, database, cfg, views)
+    return apply_events(spark, consolidate(new_logs, cfg), database, cfg, source, batch_id, views)

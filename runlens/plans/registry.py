@@ -369,7 +369,7 @@ def q_incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("streaming_runs", O.PIPELINE_RUNS)
 def q_streaming_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured Streaming over the fixture logs written as daily files;
-    the final run state must equal the batch fold."""
+    the published runs table after the stream must equal the batch fold."""
     root = new_scratch(spark, "stream")
     logs = []
     for log in fixture_logs(spark, sf_dir):
@@ -377,9 +377,12 @@ def q_streaming_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         log.df.withColumn("event_day", F.to_date("timestamp")).write.partitionBy("event_day").parquet(path)
         schema = spark.read.parquet(path).schema
         logs.append(StreamLog(log.catalog, log.schema, log.table, path, schema))
-    query, store = start_run_monitor(spark, logs, root, Config(), max_files_per_trigger=10)
+    database = "runlens_stream_" + root.rsplit("-", 1)[-1]
+    query = start_run_monitor(
+        spark, logs, database, f"{root}/checkpoint", Config(), location=f"{root}/tables", max_files_per_trigger=15
+    )
     query.awaitTermination()
-    return report(monitored_runs(store, Config()), sets=("error_messages",))
+    return report(monitored_runs(spark, database, Config()), sets=("error_messages",))
 
 
 def queries() -> dict[str, Query]:

@@ -1,30 +1,31 @@
-"""Structured Streaming refresh of the run state.
+"""Structured Streaming refresh of the published tables.
 
-Event-log files are read with ``readStream``; each micro-batch is aligned,
-stamped with its source, enriched and folded into the run state with the
-same touched-key merge as the batch incremental refresh
-(``streaming.incremental.refresh_state``) inside ``foreachBatch``.
+Event-log files are read with ``readStream``; each micro-batch is aligned
+and stamped with its source, then handed to ``plans.refresh.apply_events``
+from ``foreachBatch``.  That adds the batch to its own partitions of the
+consolidated table, folds only its events into the stored run state
+(touched keys; late events merge into old runs) and re-derives the small
+tables, exactly once per micro-batch id: the stream's checkpoint replays an
+unfinished batch after a failure, and the refresh log makes the replay a
+no-op if the batch had already committed.
 
 Exact distinct counts and sets are not supported as streaming state, which
-is why the state lives in a table of mergeable partials written once per
-micro-batch (a new versioned snapshot; with a table format that supports
-``MERGE`` the same touched-key rows would be merged in place).  The
-stream's checkpoint and the snapshots live under the shared checkpoint
-folder, so a restarted query resumes where it stopped.
+is why the state lives in a table of mergeable partials rather than in the
+stream's own state store.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from runlens.config import Config
-from runlens.operators.enrich import enrich
-from runlens.operators.runs import finalize_runs, run_state
+from runlens.plans.refresh import apply_events
 from runlens.sources.logs import LogSource, consolidate
-from runlens.streaming.incremental import refresh_state
+from runlens.sources.sinks import ensure_schema, table_name
 
 
 @dataclass(frozen=True)
@@ -39,54 +40,25 @@ class StreamLog:
     fmt: str = "parquet"
 
 
-class StateStore:
-    """Versioned snapshots of the run state under one folder.
-
-    Each micro-batch writes a complete new version; that is what makes a
-    retried batch idempotent without a transactional table format (it
-    re-reads the version before it and rewrites its own)."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def path(self, v: int) -> str:
-        return f"{self.root}/state/v{v:08d}"
-
-    def versions(self) -> list[int]:
-        """Committed snapshot versions, read from the commit log (a small
-        parquet table appended to only after a snapshot write succeeded)."""
-        try:
-            rows = self.spark.read.parquet(f"{self.root}/commits").select("version").distinct().collect()
-        except Exception:  # noqa: BLE001 - nothing committed yet
-            return []
-        return sorted(int(r["version"]) for r in rows)
-
-    @property
-    def version(self) -> int:
-        v = self.versions()
-        return v[-1] if v else -1
-
-    def latest_before(self, v: int) -> int:
-        older = [x for x in self.versions() if x < v]
-        return older[-1] if older else -1
-
-    def write(self, df: DataFrame, v: int) -> None:
-        df.write.mode("overwrite").parquet(self.path(v))
-        # commit record only after the snapshot is complete
-        self.spark.createDataFrame([(v,)], "version long").write.mode("append").parquet(f"{self.root}/commits")
-
-
 def start_run_monitor(
     spark: SparkSession,
     logs: list[StreamLog],
-    root: str,
+    database: str,
+    checkpoint: str,
     cfg: Config | None = None,
+    location: str | None = None,
     max_files_per_trigger: int = 5,
     available_now: bool = True,
+    refresh_errors_every: int = 1,
 ):
-    """Start the stream; returns ``(query, store)``."""
+    """Start the stream; returns the ``StreamingQuery``.
+
+    ``checkpoint`` must be on shared storage; restarting with the same one
+    resumes after the last finished micro-batch.  Error analysis re-reads
+    the ERROR rows of the whole consolidated table, so it can be refreshed
+    every ``refresh_errors_every`` batches only."""
     cfg = cfg or Config()
+    ensure_schema(spark, database, location)
     streams = [
         LogSource(
             l.catalog,
@@ -97,23 +69,20 @@ def start_run_monitor(
         for l in logs
     ]
     events = consolidate(streams, cfg)
-    store = StateStore(spark, root)
+    source = "stream_" + hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        # idempotent: a retried batch re-reads the snapshot before it and
-        # rewrites its own version
-        enriched = enrich(batch)
-        prev = store.latest_before(int(batch_id))
-        if prev < 0:
-            new_state = run_state(enriched, cfg)
-        else:
-            new_state = refresh_state(spark.read.parquet(store.path(prev)), enriched, cfg)
-        store.write(new_state, int(batch_id))
-
-    writer = events.writeStream.foreachBatch(fold).option("checkpointLocation", f"{root.rstrip('/')}/checkpoint")
+        apply_events(
+            spark, batch, database, cfg, source, int(batch_id),
+            refresh_errors=(int(batch_id) % max(refresh_errors_every, 1) == 0),
+        )
+
+    writer = events.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(), store
+    return writer.start()
 
 
-def monitored_runs(store: StateStore, cfg: Config | None = None) -> DataFrame:
-    return finalize_runs(store.spark.read.parquet(store.path(store.version)), cfg)
+def monitored_runs(spark: SparkSession, database: str, cfg: Config | None = None) -> DataFrame:
+    """The published runs table the monitor keeps current."""
+    cfg = cfg or Config()
+    return spark.table(table_name(database, cfg.table_prefix, "pipeline_runs"))

@@ -34,6 +34,8 @@ def test_full_refresh_publishes_all_tables(spark):
     names = refresh(spark, fixture_logs(spark, SF001), "rl_full", cfg, location=new_scratch(spark, "rl_full"), views=False)
     assert set(names) >= {"consolidated_events", "pipeline_runs", "performance_metrics", "error_analysis",
                           "recent_activity", "duration_trends", "cluster_usage", "run_state"}
+    # a second full refresh replaces everything (no doubled events)
+    names = refresh(spark, fixture_logs(spark, SF001), "rl_full", cfg, views=False)
     p = Pipeline.from_fixture(spark, SF001, cfg)
     assert _rows(spark.table(names["pipeline_runs"])) == _rows(p.runs)
     assert spark.table(names["consolidated_events"]).count() == p.consolidated.count()
@@ -44,8 +46,10 @@ def test_incremental_refresh_equals_full(spark):
     logs = fixture_logs(spark, SF001)
     full = refresh(spark, logs, "rl_all", cfg, location=new_scratch(spark, "rl_all"), views=False)
     part = refresh(spark, _split(logs, True), "rl_inc", cfg, location=new_scratch(spark, "rl_inc"), views=False)
-    inc = incremental_refresh(spark, _split(logs, False), "rl_inc", cfg, views=False)
+    inc = incremental_refresh(spark, _split(logs, False), "rl_inc", cfg, batch_id=1, views=False)
     assert part["run_state"] == inc["run_state"]
+    # the same batch again (e.g. a retry after a lost commit ack): no effect
+    inc = incremental_refresh(spark, _split(logs, False), "rl_inc", cfg, batch_id=1, views=False)
     for key in ("pipeline_runs", "performance_metrics", "cluster_usage", "duration_trends", "recent_activity"):
         a = spark.table(full[key])
         b = spark.table(inc[key])
@@ -63,6 +67,28 @@ def test_range_partitioned_consolidated_write(spark):
     root = new_scratch(spark, "rl_files")
     names = refresh(spark, fixture_logs(spark, SF001), "rl_files", cfg, location=root, views=False)
     assert spark.table(names["consolidated_events"]).count() == Pipeline.from_fixture(spark, SF001).consolidated.count()
-    files = glob.glob(f"{root.replace('file:', '')}/**/event_date=*/*.parquet", recursive=True)
+    files = glob.glob(f"{root.replace('file:', '')}/**/event_date=*/**/*.parquet", recursive=True)
     # 4 time ranges over 30 days: each range writes its own few date folders
     assert 0 < len(files) <= 30 + 4
+
+
+def test_retry_after_partial_batch_counts_once(spark):
+    # a batch whose events were written but whose commit never happened
+    from runlens.plans.refresh import apply_events
+    from runlens.sources.logs import consolidate
+
+    cfg = Config()
+    logs = fixture_logs(spark, SF001)
+    full = refresh(spark, logs, "rl_all2", cfg, location=new_scratch(spark, "rl_all2"), views=False)
+    refresh(spark, _split(logs, True), "rl_retry", cfg, location=new_scratch(spark, "rl_retry"), views=False)
+    new_events = consolidate(_split(logs, False), cfg)
+    # simulate the crash: write the batch's partitions, then "fail" before committing
+    from runlens.plans import refresh as RF
+
+    cons = "rl_retry.evlog_consolidated_events"
+    table = spark.table(cons)
+    staged = RF._stage(RF._conform(new_events, table), RF._batch_tag("manual", 7), cfg).select(*table.columns)
+    RF._overwrite_partitions(spark, staged, cons)
+    got = apply_events(spark, new_events, "rl_retry", cfg, "manual", 7)
+    assert spark.table(got["consolidated_events"]).count() == spark.table(full["consolidated_events"]).count()
+    assert _rows(spark.table(got["pipeline_runs"])) == _rows(spark.table(full["pipeline_runs"]))

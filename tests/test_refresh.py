@@ -92,3 +92,13 @@ def test_retry_after_partial_batch_counts_once(spark):
     got = apply_events(spark, new_events, "rl_retry", cfg, "manual", 7)
     assert spark.table(got["consolidated_events"]).count() == spark.table(full["consolidated_events"]).count()
     assert _rows(spark.table(got["pipeline_runs"])) == _rows(spark.table(full["pipeline_runs"]))
+
+
+def test_incremental_batch_with_new_column_needs_full_refresh(spark):
+    import pytest
+
+    cfg = Config()
+    logs = fixture_logs(spark, SF001)
+    refresh(spark, [logs[0]], "rl_evolve", cfg, location=new_scratch(spark, "rl_evolve"), views=False)
+    with pytest.raises(ValueError, match="details"):
+        incremental_refresh(spark, [logs[2]], "rl_evolve", cfg, batch_id=1, views=False)

@@ -14,8 +14,8 @@ actions (counts, previews, seven writes).  Here:
 * ``incremental_refresh`` / ``apply_events`` add one batch of new events
   exactly once per (source, batch id): the batch gets its own partitions of
   the consolidated table, only its events are folded into the stored run
-  state (touched keys), a commit log records the batch, and the small tables
-  are re-derived.  State versions are separate tables behind a view, so the
+  state (touched keys) and error state, a commit log records the batch, and
+  the small tables are re-derived from the states.  State versions are separate tables behind a view, so the
   state being read is never the one being written.  The streaming monitor
   calls ``apply_events`` from ``foreachBatch``.
 """
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from runlens.config import Config
 from runlens.operators import metrics as M
 from runlens.operators.enrich import enrich
+from runlens.operators.errors import error_state, finalize_error_state, merge_error_state
 from runlens.operators.runs import finalize_runs, run_state
 from runlens.plans.pipeline import Pipeline
 from runlens.session import ensure_checkpoint_dir
@@ -38,6 +39,7 @@ from runlens.sources.sinks import ensure_schema, register_views, table_name, wri
 from runlens.streaming.incremental import refresh_state
 
 STATE_KEY = "run_state"
+ERROR_KEY = "error_state"
 LOG_KEY = "refresh_log"
 PARTITION_COLUMN = "event_date"
 BATCH_COLUMN = "ingest_batch"
@@ -76,8 +78,8 @@ def _with_partition(df: DataFrame, files: int | None = None) -> DataFrame:
     return out
 
 
-def _state_versions(spark: SparkSession, database: str, prefix: str) -> list[int]:
-    pat = re.compile(rf"^{re.escape(prefix + STATE_KEY)}_v(\d+)$")
+def _state_versions(spark: SparkSession, database: str, prefix: str, key: str = STATE_KEY) -> list[int]:
+    pat = re.compile(rf"^{re.escape(prefix + key)}_v(\d+)$")
     names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {quote(database)}").collect()]
     return sorted(int(m.group(1)) for n in names if (m := pat.match(n)))
 
@@ -125,22 +127,29 @@ def _stage(events: DataFrame, tag: str, cfg: Config) -> DataFrame:
     return _with_partition(events, cfg.consolidated_files).withColumn(BATCH_COLUMN, F.lit(tag))
 
 
-def _finish(spark: SparkSession, database: str, cfg: Config, views: bool, refresh_errors: bool) -> dict[str, str]:
-    """Point the state view at the latest committed version and re-derive
-    the published tables from it (all idempotent)."""
+def _finish(spark: SparkSession, database: str, cfg: Config, views: bool) -> dict[str, str]:
+    """Point the state views at the latest committed versions and re-derive
+    the published tables from the states (all idempotent; no event is
+    re-read)."""
     t = lambda key: table_name(database, cfg.table_prefix, key)
     _, latest = _log_status(spark, t(LOG_KEY), "", -1)
-    spark.sql(f"CREATE OR REPLACE VIEW {t(STATE_KEY)} AS SELECT * FROM {t(f'{STATE_KEY}_v{latest}')}")
-    for old in _state_versions(spark, database, cfg.table_prefix):
-        if old < latest - 1:  # keep the previous version for readers mid-swap
-            spark.sql(f"DROP TABLE IF EXISTS {t(f'{STATE_KEY}_v{old}')}")
-    cons = t("consolidated_events")
-    names = {"consolidated_events": cons, STATE_KEY: t(STATE_KEY)}
-    tables = derive_tables(spark.table(t(STATE_KEY)), enrich(spark.table(cons)), cfg)
+    for key in (STATE_KEY, ERROR_KEY):
+        spark.sql(f"CREATE OR REPLACE VIEW {t(key)} AS SELECT * FROM {t(f'{key}_v{latest}')}")
+        for old in _state_versions(spark, database, cfg.table_prefix, key):
+            if old < latest - 1:  # keep the previous version for readers mid-swap
+                spark.sql(f"DROP TABLE IF EXISTS {t(f'{key}_v{old}')}")
+    names = {"consolidated_events": t("consolidated_events"), STATE_KEY: t(STATE_KEY), ERROR_KEY: t(ERROR_KEY)}
+    runs = finalize_runs(spark.table(t(STATE_KEY)), cfg)
+    tables = {
+        "pipeline_runs": runs,
+        "performance_metrics": M.performance_metrics(runs),
+        "error_analysis": finalize_error_state(spark.table(t(ERROR_KEY))),
+        "recent_activity": M.recent_activity(runs, cfg),
+        "duration_trends": M.duration_trends(runs, cfg),
+        "cluster_usage": M.cluster_usage(runs),
+    }
     for key, df in tables.items():
         names[key] = t(key)
-        if key == "error_analysis" and not refresh_errors and spark.catalog.tableExists(names[key]):
-            continue
         write_table(df, names[key], cfg.output_format)
     if views:
         register_views({k: spark.table(v) for k, v in names.items()}, cfg.table_prefix)
@@ -155,7 +164,6 @@ def apply_events(
     source: str = "manual",
     batch_id: int = 0,
     views: bool = False,
-    refresh_errors: bool = True,
 ) -> dict[str, str]:
     """Add one batch of consolidated events to the published tables,
     exactly once per (source, batch_id).
@@ -164,8 +172,8 @@ def apply_events(
        (``event_date``, ``ingest_batch``) of the consolidated table; a retry
        overwrites exactly those partitions.
     2. Only this batch is read back (partition pruning) and folded into the
-       last *committed* state version, written as the next version, which
-       nobody reads yet.
+       last *committed* run state and error state, written as the next
+       versions, which nobody reads yet.
     3. A row (source, batch_id, version) appended to the refresh log commits
        the batch.
     4. The state view is pointed at the latest committed version and the
@@ -188,20 +196,24 @@ def apply_events(
         batch = enrich(spark.table(cons).filter(F.col(BATCH_COLUMN) == tag))
         if base == 0:
             new_state = run_state(batch, cfg)
+            new_errors = error_state(batch, cfg)
         else:
             new_state = refresh_state(spark.table(t(f"{STATE_KEY}_v{base}")), batch, cfg)
+            new_errors = merge_error_state(spark.table(t(f"{ERROR_KEY}_v{base}")), error_state(batch, cfg), cfg)
         write_table(new_state, t(f"{STATE_KEY}_v{base + 1}"), cfg.output_format)
+        write_table(new_errors, t(f"{ERROR_KEY}_v{base + 1}"), cfg.output_format)
         spark.createDataFrame(
             [(source, int(batch_id), base + 1)], "source string, batch_id long, state_version long"
         ).write.mode("append").format(cfg.output_format).saveAsTable(log)
-    return _finish(spark, database, cfg, views, refresh_errors)
+    return _finish(spark, database, cfg, views)
 
 
 def _drop_published(spark: SparkSession, database: str, cfg: Config) -> None:
     t = lambda key: table_name(database, cfg.table_prefix, key)
-    spark.sql(f"DROP VIEW IF EXISTS {t(STATE_KEY)}")
-    for v in _state_versions(spark, database, cfg.table_prefix):
-        spark.sql(f"DROP TABLE IF EXISTS {t(f'{STATE_KEY}_v{v}')}")
+    for key in (STATE_KEY, ERROR_KEY):
+        spark.sql(f"DROP VIEW IF EXISTS {t(key)}")
+        for v in _state_versions(spark, database, cfg.table_prefix, key):
+            spark.sql(f"DROP TABLE IF EXISTS {t(f'{key}_v{v}')}")
     for key in ("consolidated_events", LOG_KEY):
         spark.sql(f"DROP TABLE IF EXISTS {t(key)}")
 

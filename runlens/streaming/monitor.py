@@ -49,14 +49,11 @@ def start_run_monitor(
     location: str | None = None,
     max_files_per_trigger: int = 5,
     available_now: bool = True,
-    refresh_errors_every: int = 1,
 ):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``checkpoint`` must be on shared storage; restarting with the same one
-    resumes after the last finished micro-batch.  Error analysis re-reads
-    the ERROR rows of the whole consolidated table, so it can be refreshed
-    every ``refresh_errors_every`` batches only."""
+    resumes after the last finished micro-batch."""
     cfg = cfg or Config()
     ensure_schema(spark, database, location)
     streams = [
@@ -72,10 +69,7 @@ def start_run_monitor(
     source = "stream_" + hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        apply_events(
-            spark, batch, database, cfg, source, int(batch_id),
-            refresh_errors=(int(batch_id) % max(refresh_errors_every, 1) == 0),
-        )
+        apply_events(spark, batch, database, cfg, source, int(batch_id))
 
     writer = events.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

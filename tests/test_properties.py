@@ -73,3 +73,20 @@ def test_duration_aggregates_are_exact_under_any_partitioning(spark):
         a = sorted(tuple(repr(v) for v in r) for r in f(p.runs).collect())
         b = sorted(tuple(repr(v) for v in r) for r in f(q.runs.repartition(5)).collect())
         assert a == b
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(day=st.integers(min_value=1, max_value=30))
+def test_error_state_merge_equals_batch_error_analysis(spark, day):
+    from runlens.operators import metrics as M
+    from runlens.operators.errors import error_state, finalize_error_state, merge_error_state
+
+    p = Pipeline.from_fixture(spark, SF001)
+    split = F.lit(dt.datetime(2024, 1, day).strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    a = error_state(p.enriched.filter(F.col("timestamp") < split), p.cfg)
+    b = error_state(p.enriched.filter(F.col("timestamp") >= split), p.cfg)
+    got = finalize_error_state(merge_error_state(a, b, p.cfg))
+    want = M.error_analysis(p.enriched, p.cfg)
+    assert sorted(tuple(repr(v) for v in r) for r in got.collect()) == sorted(
+        tuple(repr(v) for v in r) for r in want.collect()
+    )

@@ -204,3 +204,13 @@ def test_sample_messages_are_bounded_and_ordered(spark):
     ea = M.error_analysis(enrich(consolidate([make_log(spark, rows)], cfg)), cfg).collect()[0]
     assert ea["sample_error_messages"] == ["m029", "m028", "m027", "m026", "m025"]
     assert ea["sample_message"] == "m029" and ea["error_count"] == 30
+
+
+def test_exclude_null_updates_drops_only_that_run(spark):
+    rows = [ev(i, i * 10, update_id=None) for i in range(3)] + [ev(10 + i, i * 10, update_id="u1") for i in range(3)]
+    log = make_log(spark, rows)
+    keep = runs_of(spark, log).collect()
+    cfg = Config(as_of=CFG.as_of, days_back=None, exclude_null_updates=True)
+    drop = runs_of(spark, log, cfg=cfg).collect()
+    assert sorted(r["update_id"] or "" for r in keep) == ["", "u1"]
+    assert [r["update_id"] for r in drop] == ["u1"]

@@ -247,6 +247,8 @@ def incremental_refresh(
 ) -> dict[str, str]:
     """Add ``new_logs`` (events not seen before) to a published refresh,
     exactly once per (source, batch_id): calling it again with the same
-    batch id after a failure or a success changes nothing twice."""
+    batch id after a failure or a success changes nothing twice.  On an
+    empty database the first batch builds every table."""
     cfg = cfg or Config()
+    ensure_schema(spark, database)
     return apply_events(spark, consolidate(new_logs, cfg), database, cfg, source, batch_id, views)

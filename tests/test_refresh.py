@@ -103,3 +103,13 @@ def test_incremental_batch_with_new_column_needs_full_refresh(spark):
     refresh(spark, [logs[0]], "rl_evolve", cfg, location=new_scratch(spark, "rl_evolve"), views=False)
     with pytest.raises(ValueError, match="details"):
         incremental_refresh(spark, [logs[2]], "rl_evolve", cfg, batch_id=1, views=False)
+
+
+def test_incremental_batches_from_an_empty_database(spark):
+    cfg = Config()
+    logs = fixture_logs(spark, SF001)
+    full = refresh(spark, logs, "rl_all3", cfg, location=new_scratch(spark, "rl_all3"), views=False)
+    incremental_refresh(spark, _split(logs, True), "rl_fresh", cfg, batch_id=1, views=False)
+    got = incremental_refresh(spark, _split(logs, False), "rl_fresh", cfg, batch_id=2, views=False)
+    for key in ("pipeline_runs", "error_analysis", "cluster_usage"):
+        assert _sorted(spark.table(full[key])) == _sorted(spark.table(got[key])), key

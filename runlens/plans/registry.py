@@ -9,15 +9,14 @@ fixture derived from the ``events`` table of ``sf_dir``.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import datetime as dt
-import re
-
 from runlens import schema as S
 from runlens.config import Config
 from runlens.functions.exprs import time_literal

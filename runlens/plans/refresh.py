@@ -23,6 +23,7 @@ actions (counts, previews, seven writes).  Here:
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,9 +149,14 @@ def _finish(spark: SparkSession, database: str, cfg: Config, views: bool) -> dic
         "duration_trends": M.duration_trends(runs, cfg),
         "cluster_usage": M.cluster_usage(runs),
     }
-    for key, df in tables.items():
+    for key in tables:
         names[key] = t(key)
-        write_table(df, names[key], cfg.output_format)
+    # independent small writes: submit them together so their jobs share
+    # the executors instead of running one after another
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = [pool.submit(write_table, df, names[key], cfg.output_format) for key, df in tables.items()]
+        for f in futures:
+            f.result()
     if views:
         register_views({k: spark.table(v) for k, v in names.items()}, cfg.table_prefix)
     return names

@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # delete checkpoint files once the DataFrames that used them are gone,
+    # so a long-lived refresh driver does not fill the shared folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -31,16 +31,26 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     for k, v in {**DEFAULT_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions), **conf}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     return d or None
 
 
@@ -48,16 +58,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the configured checkpoint folder.  Only a local-mode session
     (tests) without one gets a fresh private folder; on a cluster the
     setting must name shared storage, so its absence is an error."""
+    sc = _context(spark)
     d = checkpoint_dir(spark)
     if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
         return d
-    if not spark.sparkContext.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     d = tempfile.mkdtemp(prefix="runlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import quality, secret_scan, sentencepiece_codec, sharding, token_counts
+from runlens.llm import ngram_join, quality, secret_scan, sentencepiece_codec, sharding, token_counts
 from runlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 90 % of their 3-word shingles."""
+    return ngram_join.ngram_components(read(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0-15 of documents under the law `rows`."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -39,7 +44,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_sentencepiece, op3_token_counts, op6_sharding, op7_quality_rules, op9_secret_scans]
+    found = [op1_sentencepiece, op3_token_counts, op4_ngram_jaccard_join, op6_sharding, op7_quality_rules, op9_secret_scans]
     return {f.__name__: f for f in found}
 
 

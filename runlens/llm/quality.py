@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from runlens.llm import arrays as A
-from runlens.llm.tables import id_and_text
+from runlens.llm.tables import id_and_text, map_batches
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -130,7 +130,7 @@ def quality_report(docs: DataFrame, bands: Bands = Bands(), id_col: str = "doc_i
                 found = measured(part.column(1), bands)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x) for x in found.values())], names=["doc_id", *found])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(rows, SCHEMA.replace("doc_id long", f"doc_id {docs.schema[id_col].dataType.simpleString()}"))
+    return map_batches(id_and_text(docs, id_col, text_col), rows, SCHEMA.replace("doc_id long", f"doc_id {docs.schema[id_col].dataType.simpleString()}"))
 
 
 def keep_good(docs: DataFrame, bands: Bands = Bands(), text_col: str = "text") -> DataFrame:
@@ -141,4 +141,4 @@ def keep_good(docs: DataFrame, bands: Bands = Bands(), text_col: str = "text") -
             for part in A.chunks(batch, text_col):
                 yield part.filter(pa.array(measured(part.column(part.schema.get_field_index(text_col)), bands)["kept"]))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return map_batches(docs, rows, docs.schema)

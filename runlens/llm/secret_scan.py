@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 
 from runlens.llm import arrays as A
-from runlens.llm.tables import id_and_text
+from runlens.llm.tables import id_and_text, map_batches
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -124,7 +124,7 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     out.append((*(kinds.count(k) for k in KINDS[:3]), hashlib.sha256(told.encode()).hexdigest(), _told(spans), kinds.count("random")))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, t) for x, t in zip(zip(*out, strict=True), [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()], strict=True))], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(rows, SCHEMA.replace("doc_id long", f"doc_id {docs.schema[id_col].dataType.simpleString()}"))
+    return map_batches(id_and_text(docs, id_col, text_col), rows, SCHEMA.replace("doc_id long", f"doc_id {docs.schema[id_col].dataType.simpleString()}"))
 
 
 def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
@@ -144,4 +144,4 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n_c
                     part = part.set_column(n, part.schema.field(n), pa.array(lengths, part.column(n).type))
                 yield part
 
-    return docs.mapInArrow(rows, docs.schema)
+    return map_batches(docs, rows, docs.schema)

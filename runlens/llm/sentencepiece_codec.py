@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from runlens.llm import arrays as A
 from runlens.llm.pieces import SPACE, Distinct, Vocabulary, vocabulary
-from runlens.llm.tables import id_and_text
+from runlens.llm.tables import id_and_text, map_batches
 from runlens.llm.token_counts import Merges, merges
 
 MODEL = "piece_bpe_32k.model"
@@ -300,7 +300,7 @@ def encoded(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_co
                 size = np.diff(A.texts(part.column(1))[1])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(n), ids, pa.array(same)], names=["doc_id", "n_bytes", "n_tokens", "token_ids", "round_trip"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(rows, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long, token_ids array<int>, round_trip boolean")
+    return map_batches(id_and_text(docs, id_col, text_col), rows, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long, token_ids array<int>, round_trip boolean")
 
 
 def with_ids(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> DataFrame:
@@ -315,7 +315,7 @@ def with_ids(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> Dat
                 ids, n, _ = _encoded(part, part.schema.get_field_index(text_col), model)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids, pa.array(n)], names=[*part.schema.names, "token_ids", "n_tokens"])
 
-    return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(rows, schema)
+    return map_batches(docs.select(*[f"`{f.name}`" for f in kept]), rows, schema)
 
 
 def decoded(rows: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
@@ -331,4 +331,4 @@ def decoded(rows: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col
             raw = data.tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())], names=["doc_id", "text"])
 
-    return rows.select(f"`{id_col}`", f"`{ids_col}`").mapInArrow(texts, f"doc_id {rows.schema[id_col].dataType.simpleString()}, text string")
+    return map_batches(rows.select(f"`{id_col}`", f"`{ids_col}`"), texts, f"doc_id {rows.schema[id_col].dataType.simpleString()}, text string")

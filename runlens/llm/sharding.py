@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runlens.llm.tables import map_batches
 from runlens.session import materialize
 
 ROUNDS = 6
@@ -88,7 +89,7 @@ def numbered(rows: DataFrame, name: str = "row_number") -> tuple[DataFrame, int]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ends - copies)], names=[*batch.schema.names[:-1], "__first"])
 
     fields = T.StructType([*rows.schema.fields, T.StructField("__copies", T.LongType()), T.StructField("__first", T.LongType())])
-    blocks = laid.mapInArrow(first_numbers, fields).select(*by, (F.col("__first") + F.col("__copies")).alias("__end"), F.explode(F.expr(f"sequence(__first, __first + __copies - 1, {COPIES}L)")).alias("__first"))
+    blocks = map_batches(laid, first_numbers, fields).select(*by, (F.col("__first") + F.col("__copies")).alias("__end"), F.explode(F.expr(f"sequence(__first, __first + __copies - 1, {COPIES}L)")).alias("__first"))
     spread = blocks.repartition("__first")
     return spread.select(*by, F.explode(F.expr(f"sequence(__first, least(__first + {COPIES - 1}L, __end - 1))")).alias(name)), total
 

@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.session import new_scratch
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it,
+    for runs from other folders (a cluster installs it or gets --py-files)."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH")]))
+
+
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """df.mapInArrow for functions of this package."""
+    importable(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

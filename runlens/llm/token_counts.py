@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from runlens.llm import arrays as A
 from runlens.llm.pieces import Vocabulary, vocabulary
-from runlens.llm.tables import id_and_text
+from runlens.llm.tables import id_and_text, map_batches
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -177,4 +177,4 @@ def token_counts(docs: DataFrame, model: str = MODEL, limit: int = LIMIT, id_col
                 size = np.diff(A.texts(part.column(1))[1])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(n), pa.array(n > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(rows, SCHEMA.replace("doc_id long", f"doc_id {docs.schema[id_col].dataType.simpleString()}"))
+    return map_batches(id_and_text(docs, id_col, text_col), rows, SCHEMA.replace("doc_id long", f"doc_id {docs.schema[id_col].dataType.simpleString()}"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import ngram_join, quality, secret_scan, sentencepiece_codec, sharding, token_counts
+from runlens.llm import ngram_join, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, token_counts
 from runlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encoded(read(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of repeated 400-byte strings."""
+    return suffix_dedup.suffix_dedup(read(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
@@ -39,12 +44,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of repeated 35-word windows."""
+    return substring_dedup.substring_dedup(read(spark, sf_dir, "documents"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_sentencepiece, op3_token_counts, op4_ngram_jaccard_join, op6_sharding, op7_quality_rules, op9_secret_scans]
+    found = [op1_sentencepiece, op2_suffix_array_dedup, op3_token_counts, op4_ngram_jaccard_join, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_secret_scans]
     return {f.__name__: f for f in found}
 
 

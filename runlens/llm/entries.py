@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import ngram_join, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, token_counts
+from runlens.llm import decontamination, ngram_join, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, token_counts
 from runlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,10 +53,15 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(read(spark, sf_dir, "documents"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(document, item) pairs of documents that leak a benchmark item."""
+    return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_sentencepiece, op2_suffix_array_dedup, op3_token_counts, op4_ngram_jaccard_join, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_secret_scans]
+    found = [op1_sentencepiece, op2_suffix_array_dedup, op3_token_counts, op4_ngram_jaccard_join, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_secret_scans, op10_benchmark_decontamination]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_benchmark_decontamination": decontamination.duck_sql()}

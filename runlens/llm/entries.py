@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import decontamination, ngram_join, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, token_counts
+from runlens.llm import decontamination, ngram_join, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, token_counts, toxicity
 from runlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0-15 of documents under the law `rows`."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -59,7 +63,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_sentencepiece, op2_suffix_array_dedup, op3_token_counts, op4_ngram_jaccard_join, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_secret_scans, op10_benchmark_decontamination]
+    found = [op1_sentencepiece, op2_suffix_array_dedup, op3_token_counts, op4_ngram_jaccard_join, op5_toxicity, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_secret_scans, op10_benchmark_decontamination]
     return {f.__name__: f for f in found}
 
 

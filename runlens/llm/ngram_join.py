@@ -16,8 +16,12 @@ blocks of columns:
   again after the shuffle: a block that a third of all rows share sends one
   row from each batch.  The overlap of each tied pair is counted from the two
   rows of the matrix; pairs below the size-derived overlap are discarded.
-- Blocks whose rows end in several components have their pairs between
-  components counted as well, so no link between different rows is lost.
+- Rows that are tied, but end in several components of links, are multiplied
+  in full: sorted by component of ties and size, cut in blocks of rows, and
+  each two blocks that share such a component and whose sizes can meet are
+  multiplied column block by column block.  Counts accumulate in the product;
+  only links leave it, so no link between different rows is lost and no pair
+  is emitted in between.
 
 Components of the links are taken over classes, then spread to documents.
 Rows, n-grams and block contents are 64-bit hashes.
@@ -37,12 +41,16 @@ from pyspark.sql import functions as F
 
 from runlens.llm import arrays as A
 from runlens.llm.components import components
+from runlens.llm.sharding import numbered
 from runlens.llm.tables import id_and_text, map_batches, written
 
 # Entries that are tied at a time where they lie.
 ENTRIES = 1 << 20
 # Blocks are shuffled in so many groups for each shuffle partition.
 GROUPS = 4
+# Rows and columns of the dense blocks that are multiplied.
+BLOCK_ROWS = 256
+BLOCK_COLUMNS = 4096
 
 
 @dataclass(frozen=True)
@@ -192,7 +200,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
     """(a, b, linked) with the overlap of each pair counted in full."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in A.chunks(whole, "row_a")):
             out = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 small, large = sorted((len(x) // 8, len(y) // 8))
@@ -227,22 +235,71 @@ def _sets(classes: DataFrame, rows: DataFrame, docs: DataFrame, like: Similarity
     return map_batches(wanted.select("class", "text"), sets, "class long, row binary").dropDuplicates(["class"])
 
 
-def _cross_pairs(ties: DataFrame, sets: DataFrame, labels: DataFrame, seen: DataFrame, like: Similarity) -> DataFrame:
-    """Pairs not yet counted, of classes that share a block and lie in
-    different components."""
-
-    def label(df: DataFrame, node: str, name: str) -> DataFrame:
-        return df.join(labels.select(F.col("node").alias(node), F.col("label").alias(f"__{name}")), node, "left").withColumn(name, F.coalesce(f"__{name}", node)).drop(f"__{name}")
+def _members(labels: DataFrame, ties: DataFrame, sets: DataFrame) -> DataFrame:
+    """(tie, size, class, label, block) of the classes of those components of
+    ties that hold several components of links, in blocks of rows by size."""
+    tied = ties.withColumnRenamed("node", "class").withColumnRenamed("label", "tie")
+    linked = labels.withColumnRenamed("node", "class")
+    both = tied.join(linked, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    split = both.groupBy("tie").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("tie")
+    sized = both.join(split, "tie", "left_semi").join(sets.select("class", F.expr("length(row) div 8").alias("size")), "class")
+    rows, _ = numbered(sized.select("tie", "size", "class", "label"), "n")
+    return written(rows.withColumn("block", F.expr(f"n div {BLOCK_ROWS}")).drop("n"), "ngram-blocks")
+
+
+def _product(members: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+    """(u, v): links between components, by the product of each two blocks of
+    rows that share a component of ties and whose sizes can meet."""
+    spans = members.groupBy("tie", "block").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    x, y = (spans.select("tie", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "least", "most")]) for s in "xy")
+    near = (F.col("block_x") <= F.col("block_y")) & (100 * F.col("most_x") >= like.percent * F.col("least_y"))
+    pairs = x.join(y, "tie").where(near).select(F.col("block_x").alias("x"), F.col("block_y").alias("y")).distinct()
+    rows = members.join(sets, "class")
+    left = pairs.join(rows, F.col("x") == F.col("block")).select("x", "y", F.lit(0).alias("side"), "class", "tie", "label", "row")
+    right = pairs.where("x != y").join(rows, F.col("y") == F.col("block")).select("x", "y", F.lit(1).alias("side"), "class", "tie", "label", "row")
+
+    def links(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held).combine_chunks()
+        own, node, tie, label = (t.column(c).to_numpy() for c in ("side", "class", "tie", "label"))
+        sets_ = [np.frombuffer(r, dtype=np.uint64) for r in t.column("row").to_pylist()]
+        a = np.flatnonzero(own == 0)
+        b = np.flatnonzero(own == 1) if own.any() else a
+        sizes = np.array([len(r) for r in sets_], dtype=np.int64)
+        _, column = np.unique(np.concatenate(sets_), return_inverse=True)
+        row = np.repeat(np.arange(len(sets_)), sizes)
+        often = np.bincount(column) > 1  # the others add to no overlap
+        row, column = row[often[column]], (np.cumsum(often) - 1)[column[often[column]]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        overlap = np.zeros((len(a), len(b)), dtype=np.float32)
+        for low in range(0, int(often.sum()), BLOCK_COLUMNS):
+            i, j = np.searchsorted(column, (low, low + BLOCK_COLUMNS))
+            dense = np.zeros((len(sets_), BLOCK_COLUMNS), dtype=np.float32)
+            dense[row[i:j], column[i:j] - low] = 1
+            overlap += dense[a] @ dense[b].T
+        total = sizes[a][:, None] + sizes[b][None, :]
+        good = (100 * overlap >= like.percent * (total - overlap)) & (tie[a][:, None] == tie[b][None, :]) & (label[a][:, None] != label[b][None, :])
+        u, v = np.nonzero(good)
+        return pa.RecordBatch.from_arrays([pa.array(node[a][u]), pa.array(node[b][v])], names=["u", "v"])
 
-    split = label(label(ties, "a", "la"), "b", "lb").where("la != lb").select("key").distinct()
-    spread = ties.join(split, "key", "left_semi")
-    members = spread.select("key", F.col("a").alias("class")).union(spread.select("key", F.col("b").alias("class"))).distinct()
-    sized = members.join(sets.select("class", F.expr("length(row) div 8").alias("size")), "class")
-    member = label(sized, "class", "label")
-    x, y = (member.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("class", "label", "size")]) for s in "xy")
-    near = (F.col("label_x") != F.col("label_y")) & (F.col("class_x") < F.col("class_y")) & (100 * F.least("size_x", "size_y") >= like.percent * F.greatest("size_x", "size_y"))
-    pairs = x.join(y, "key").where(near).select(F.col("class_x").alias("a"), F.col("class_y").alias("b")).distinct()
-    return pairs.join(seen, ["a", "b"], "left_anti")
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            x, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            edges = np.flatnonzero((x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
+            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(x)], strict=True):
+                if j > i:
+                    if held and now != (x[i], y[i]):
+                        yield links(held)
+                        held = []
+                    now = (x[i], y[i])
+                    held.append(batch.slice(i, j - i))
+        if held:
+            yield links(held)
+
+    met = left.union(right).repartition("x", "y").sortWithinPartitions("x", "y")
+    return map_batches(met, meet, "u long, v long")
 
 
 def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,8 +319,8 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     counted = written(_linked(pairs, sets, like), "ngram-links")
     links = counted.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = components(links)
-    rest = _linked(_cross_pairs(ties, sets, labels, counted.select("a", "b"), like), sets, like)
-    rest = written(rest.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-rest")
+    members = _members(labels, components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), sets)
+    rest = written(_product(members, sets, like), "ngram-rest")
     if not rest.isEmpty():  # components found so far are stars, which new links join
         labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(rest))
     ids = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("__first"))

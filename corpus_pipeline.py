@@ -10,15 +10,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import quality, secret_scan, sentencepiece_codec
+from runlens.llm import decontamination, ngram_join, quality, secret_scan, sentencepiece_codec
 from runlens.llm.tables import read, written
 
 
+NEAR = ngram_join.Similarity(n=5, percent=80)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the quality rules reject."""
     return quality.keep_good(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates: those that links
+    of 5-word shingles with a Jaccard similarity of 0.8 or more reach."""
+    return ngram_join.one_of_each(docs, NEAR)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that leak an item of the benchmark."""
+    return decontamination.without_leaks(docs, read(spark, sf_dir, "benchmark"))
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets by a mask; no document goes."""
     return secret_scan.mask_secrets(docs)
@@ -31,6 +45,8 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("benchmark_decontamination", benchmark_decontamination),
     ("secret_scans", secret_scans),
     ("sentencepiece", sentencepiece),
 ]

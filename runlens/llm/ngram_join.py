@@ -304,7 +304,8 @@ def _product(members: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame
 
 def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id (the
-    smallest doc_id that links reach), and `class`, equal for equal sets.
+    smallest doc_id that links reach), `class`, equal for equal sets,
+    `component`, equal for linked sets, and `text_key`, a hash of the text.
 
     A null, empty or blank text has no n-grams, links with nothing and keeps
     its own id; rows whose doc_id is null have the component of their text,
@@ -326,6 +327,21 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     ids = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("__first"))
     ids = ids.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
     first = ids.groupBy("label").agg(F.min("__first").alias("component_id"))
-    of_class = ids.join(first, "label").select("class", "component_id")
-    out = rows.drop("keys", "text_key").join(of_class, "class", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "class")
+    of_class = ids.join(first, "label").select("class", "component_id", F.col("label").alias("component"))
+    out = rows.drop("keys").join(of_class, "class", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "class", "component", "text_key")
+
+
+def one_of_each(docs: DataFrame, like: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs with the smallest id of each component (a null id
+    counts as the largest), one row of those with equal id and text.  Texts
+    without words link with nothing and all stay."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    found = ngram_components(docs, like, id_col, text_col).where("component is not null")
+    kept = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("__one"))
+    kept = kept.select(F.col("__one.doc_id").alias("__kept_id"), F.col("__one.text_key").alias("__kept_key"))
+    has_words = text.rlike("[^\\x20\\x09-\\x0D]")
+    own = docs.where(has_words).withColumn("__key", F.xxhash64(text))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key"))
+    chosen = own.join(kept, same, "left_semi").dropDuplicates([id_col, "__key"]).drop("__key")
+    return chosen.union(docs.where(~has_words))

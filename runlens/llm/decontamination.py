@@ -104,17 +104,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, how: Template = Template(), id_
     items = id_and_text(benchmark, item_col, text_col).withColumnRenamed("doc_id", "item_id")
     theirs = materialize(item_windows(items, how))
     n, sizes = theirs.agg(F.count(F.lit(1)), F.collect_set("size")).first()
-    if n <= how.broadcast_rows:
-        theirs = F.broadcast(theirs)
     # one size for all but items that are shorter than a window
     ours = _tokens(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")).withColumn("keys", F.expr("flatten(array(" + ", ".join(_windows(s) for s in sorted(sizes) or [how.window]) + "))"))
     first = F.lit(0)
     place, size = F.col("place"), F.col("size")
     for s in sorted(sizes):  # where windows of the row's size begin among the keys
         first = first + F.when(F.lit(s) < size, F.greatest(F.lit(0), F.size("shape") - (s - 1))).otherwise(0)
-    found = ours.select("doc_id", "text_key", "words", "shape", F.posexplode("keys").alias("place", "key")).join(theirs, "key")
-    found = found.withColumn("begin", place - first + 1).where(F.expr("slice(shape, begin, size) = item_shape"))
-    slots = F.expr(f"filter(zip_with(item_words, slice(words, begin, size), (x, y) -> named_struct('a', x, 'b', y)), x -> substr(x.a, 1, 1) in ('{NAME}', '{NUMBER}', '{UNIT}'))")
+    each = ours.select("doc_id", "text_key", "words", "shape", F.posexplode("keys").alias("place", "key"))
+    # Rows leave the generated code with the words of a window alone, never
+    # with those of the text: the join streams through a broadcast table, or
+    # comes after the cut.  `inline` keeps the lambda below out of that code.
+    if n <= how.broadcast_rows:
+        joined = each.join(F.broadcast(theirs), "key").withColumn("begin", place - first + 1)
+        same = joined.where(F.expr("slice(shape, begin, size) = item_shape"))
+        found = same.select("doc_id", "text_key", "item_id", "n_windows", "at", "begin", "item_words", F.inline(F.array(F.struct(F.expr("slice(words, begin, size)").alias("own_words")))))
+    else:
+        by_size = [each.withColumn("size", F.lit(s)).withColumn("begin", place - first + 1).where(F.expr(f"begin between 1 and size(shape) - {s - 1}")) for s in sorted(sizes)]
+        cut = [x.select("doc_id", "text_key", "key", "size", "begin", F.expr("slice(words, begin, size)").alias("own_words"), F.expr("slice(shape, begin, size)").alias("own_shape")) for x in by_size]
+        found = reduce(DataFrame.union, cut).join(theirs, ["key", "size"]).where("own_shape = item_shape").select("doc_id", "text_key", "item_id", "n_windows", "at", "begin", "item_words", "own_words")
+    slots = F.expr(f"filter(zip_with(item_words, own_words, (x, y) -> named_struct('a', x, 'b', y)), x -> substr(x.a, 1, 1) in ('{NAME}', '{NUMBER}', '{UNIT}'))")
     hits = found.select("doc_id", "text_key", "item_id", "n_windows", "at", (F.col("begin") - F.col("at")).alias("shift"), slots.alias("slots"))
     along = hits.groupBy("doc_id", "text_key", "item_id", "n_windows", "shift").agg(F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs"))
     sound = along.where(F.expr("size(pairs) = size(array_distinct(transform(pairs, x -> x.a)))"))

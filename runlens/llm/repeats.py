@@ -13,8 +13,8 @@ bucket of an anchor, and anchors that occur once end the search early:
 5. marked stretches go back to their texts.
 
 Anchors with more than `HOT` places (a passage that a large share of all
-documents hold) are not gathered in a bucket: their windows are counted by
-hash with partial sums, as an exact way of any size.  Texts that occur more
+documents hold) are not gathered in a bucket: their windows are compared by
+hash where they lie, then one of each hash goes on, an exact way of any size.  Texts that occur more
 than once are handled once, and are repeats as a whole.  Texts, anchors and
 hot windows are told apart by 64-bit hashes.
 """
@@ -38,6 +38,10 @@ from runlens.llm.tables import id_and_text, map_batches, written
 HOT = 4096
 # Bytes of stretches that are compared at a time; a bucket isn't cut.
 BLOCK_BYTES = 2 << 20
+# Hot windows that are compared where they lie, and the groups that they are
+# sent in for each shuffle partition.
+ENTRIES = 1 << 20
+GROUPS = 4
 # Texts that a task remembers to have given.
 GIVEN = 1 << 20
 POSITION_BITS = np.uint64(31)  # a Spark string has fewer bytes
@@ -235,21 +239,91 @@ def _marked(shared: DataFrame, method: Method) -> DataFrame:
                 n += int(weight[-1] - (weight[at - 1] if at else 0))
         yield from done(held)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sent = map_batches(shared, send, "anchor long, tid long, begin long, size int, lead int, stretch binary")
+    met = map_batches(sent.repartition("anchor").sortWithinPartitions("anchor"), meet, "tid long, begin long, end long")
+    return met.union(_marked_hot(shared, method))
+
+
+def _starts(tid: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """(tid, begin, end) of the runs of single window starts."""
+    order = np.lexsort((begin, tid))
+    tid, begin = tid[order], begin[order]
+    new = np.ones(len(tid), dtype=bool)
+    new[1:] = (tid[1:] != tid[:-1]) | (begin[1:] != begin[:-1] + 1)
+    last = np.append(new[1:], True) if len(new) else new
+    return np.stack([tid[new], begin[new], begin[last] + 1], axis=1)
+
+
+def _marked_hot(shared: DataFrame, method: Method) -> DataFrame:
+    """The same for windows of hot anchors, of any number.  Where texts lie,
+    windows with the same hash are marked and one of them is sent; where the
+    hashes meet, those that were alone are marked if others have come.  So a
+    window sends one entry from each block of a task, however many hold it."""
+    groups = GROUPS * int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def packed(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["group", "kind", "packed"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        n = 0
+
+        def sent() -> pa.RecordBatch:
+            entries = np.concatenate(held)
+            entries = entries[np.argsort(entries[:, 0], kind="stable")]
+            new = np.ones(len(entries), dtype=bool)
+            new[1:] = entries[1:, 0] != entries[:-1, 0]
+            many = np.diff(np.append(np.flatnonzero(new), len(entries))) > 1
+            marked = many[np.cumsum(new) - 1]
+            first = entries[new]
+            first[:, 3] = many
+            group = (first[:, 0].view(np.uint64) % np.uint64(groups)).astype(np.int64)
+            first = first[np.argsort(group, kind="stable")]
+            at = np.searchsorted(np.sort(group), np.arange(groups + 1))
+            out = [(int(g), 0, first[at[g] : at[g + 1]].tobytes()) for g in np.flatnonzero(np.diff(at))]
+            if marked.any():
+                out.append((int(group[0]), 1, _starts(entries[marked, 1], entries[marked, 2]).tobytes()))
+            return packed(out)
+
         for batch in batches:
             for part in A.chunks(batch):
                 data, offsets, found = _picked(part, method, True)
                 sizes = found.end - found.begin
                 tid = np.repeat(part.column(0).to_numpy()[found.text], sizes)
-                at = np.repeat(found.begin, sizes) + A.expanded(sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(method.window_keys(data, offsets, found).view(np.int64)), pa.array(tid), pa.array(at)], names=["key", "tid", "begin"])
+                begin = np.repeat(found.begin, sizes) + A.expanded(sizes)
+                held.append(np.stack([method.window_keys(data, offsets, found).view(np.int64), tid, begin, np.zeros(len(tid), dtype=np.int64)], axis=1))
+                n += len(tid)
+                if n >= ENTRIES:
+                    yield sent()
+                    held, n = [], 0
+        if n:
+            yield sent()
 
-    sent = map_batches(shared, send, "anchor long, tid long, begin long, size int, lead int, stretch binary")
-    met = map_batches(sent.repartition("anchor").sortWithinPartitions("anchor"), meet, "tid long, begin long, end long")
-    hot = map_batches(shared.where("exists(places, x -> x % 2 = 1)"), windows, "key long, tid long, begin long")
-    place = F.xxhash64("tid", "begin")
-    twice = hot.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").select("key")
-    return met.union(hot.join(twice, "key", "left_semi").select("tid", "begin", (F.col("begin") + 1).alias("end")))
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(runs: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(runs[:, i])) for i in range(3)], names=["tid", "begin", "end"])
+
+        def done(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            if held:
+                entries = np.concatenate(held)
+                new = entries[A.repeated(entries[:, 0].view(np.uint64)) & (entries[:, 3] == 0)]
+                yield told(_starts(new[:, 1], new[:, 2]))
+
+        now, held = None, []
+        for batch in batches:
+            for group, kind, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group != now:
+                    yield from done(held)
+                    now, held = group, []
+                values = np.frombuffer(raw, dtype=np.int64)
+                if kind:
+                    yield told(values.reshape(-1, 3))
+                else:
+                    held.append(values.reshape(-1, 4))
+        yield from done(held)
+
+    sent = map_batches(shared.where("exists(places, x -> x % 2 = 1)"), send, "group int, kind int, packed binary")
+    return map_batches(sent.repartition("group").sortWithinPartitions("group"), meet, "tid long, begin long, end long")
 
 
 def _cleaned(shared: DataFrame, marked: DataFrame, method: Method) -> DataFrame:

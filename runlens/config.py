@@ -9,8 +9,9 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Config:
-    # reference time for every "last N days" filter and the load stamp
-    as_of: dt.datetime = dt.datetime(2024, 1, 31)
+    # reference time for every "last N days" filter and the load stamp; None
+    # only where no such time is needed (thresholds alone)
+    as_of: dt.datetime | None
     # keep only events with timestamp >= as_of - days_back (None/0: keep all)
     days_back: int | None = 90
     # runs not longer than this (minutes) are dropped as spurious
@@ -21,8 +22,6 @@ class Config:
     trend_min_minutes: float = 1.0
     # recent activity window, in days before as_of (inclusive)
     recent_days: int = 7
-    # number of messages kept in error_analysis.sample_error_messages
-    sample_messages: int = 10
     # drop events whose update_id is null before folding runs
     exclude_null_updates: bool = False
 
@@ -50,12 +49,22 @@ class Config:
     outlier_iqr_factor: float = 1.5
     projection_days: int = 7
 
+    @property
+    def time(self) -> dt.datetime:
+        if self.as_of is None:
+            raise ValueError("set Config.as_of: this result depends on the reference time")
+        return self.as_of
+
     @property
     def as_of_date(self) -> dt.date:
-        return self.as_of.date()
+        return self.time.date()
 
     @property
     def cutoff(self) -> dt.datetime | None:
         if not self.days_back:
             return None
-        return self.as_of - dt.timedelta(days=self.days_back)
+        return self.time - dt.timedelta(days=self.days_back)
+
+
+#: Thresholds without a reference time, for operators that need no more.
+THRESHOLDS = Config(None)

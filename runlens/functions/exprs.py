@@ -100,11 +100,6 @@ def earliest_non_null(value: str, ts: str = "timestamp") -> Column:
     return F.min(F.when(v.isNotNull(), F.struct(F.col(ts).alias("ts"), v.alias("v"))))
 
 
-def sorted_set_text(arr: str | Column, sep: str = "|") -> Column:
-    """Array of strings -> one string, sorted, for order-free comparison."""
-    a = F.col(arr) if isinstance(arr, str) else arr
-    return F.array_join(F.array_sort(a), sep)
-
 
 def error_signature(msg: str | Column) -> Column:
     """Message with each run of digits replaced by ``#``."""
@@ -123,13 +118,3 @@ def time_literal(value: dt.datetime, like: T.DataType) -> Column:
 
 def date_literal(value: dt.date) -> Column:
     return F.lit(value.isoformat()).cast(T.DateType())
-
-
-def round_doubles(df, places: int = 6):
-    """Round every double column (report form used by the oracle checks)."""
-    return df.select(
-        *[
-            F.round(F.col(f.name), places).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )

@@ -1,142 +1,74 @@
 """Mergeable state for error analysis, so a refresh can add a batch of
 events without re-reading every ERROR row ever logged.
 
-One long-form table per version, rows of three kinds per error group
-(pipeline_name, pipeline_id, event_type):
+One long-form table, rows of three kinds per error group (pipeline_name,
+pipeline_id, event_type):
 
 * ``g`` – one row: error count, first and last error time;
 * ``r`` – one row per distinct non-null update id (``affected_runs`` is
   their count; long form, so a group with many runs is not one array);
-* ``s`` – the ``sample_messages`` earliest non-null messages.
+* ``m`` – one row per distinct non-null message: how often, first and last
+  time.
 
-All three merge: counts add, times take min / max, run ids take a distinct
-union, and the N earliest of (old N earliest ∪ new N earliest) are the N
-earliest overall.  ``finalize_error_state`` gives the same table as
-``metrics.error_analysis`` over all events.
+All merge: counts add, times take min / max, ids take a distinct union.
+Nothing is cut off.  ``finalize_error_state`` gives the same table as
+``metrics.error_analysis`` over all events, ``error_messages`` every message.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from runlens import schema as S
-from runlens.config import Config
 from runlens.functions.exprs import level_is
-from runlens.session import materialize
 
 KEYS = ["pipeline_name", "pipeline_id", "event_type"]
+GROUP, RUN, MESSAGE = "g", "r", "m"
 
 
-def _rows(df: DataFrame, kind: str, ts_type: T.DataType, **cols: Column) -> DataFrame:
-    """Project onto the common long-form layout."""
-    layout = {
-        "error_count": T.LongType(),
-        "first_error": ts_type,
-        "last_error": ts_type,
-        "update_id": T.StringType(),
-        "sample_ts": ts_type,
-        "message": T.StringType(),
-    }
-    return df.select(
-        *KEYS,
-        F.lit(kind).alias("kind"),
-        *[(cols[c] if c in cols else F.lit(None)).cast(t).alias(c) for c, t in layout.items()],
+def error_state(enriched: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Error state of a set of enriched events: one pass, in which each ERROR
+    event counts for its group, its run and its message."""
+    errors = enriched.filter(level_is(S.LEVEL_ERROR))
+    rows = F.array(
+        F.struct(F.lit(GROUP).alias("kind"), F.lit(None).cast("string").alias("value")),
+        F.struct(F.lit(RUN).alias("kind"), F.col("update_id").alias("value")),
+        F.struct(F.lit(MESSAGE).alias("kind"), F.col("message").alias("value")),
     )
-
-
-def _top_samples(rows: DataFrame, n: int) -> DataFrame:
-    """The ``n`` earliest (time, then text) rows per group; planned as a
-    partial group limit before the shuffle."""
-    w = Window.partitionBy(*KEYS).orderBy(F.col("sample_ts").asc_nulls_last(), F.col("message").asc())
-    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
-
-
-def error_state(enriched: DataFrame, cfg: Config | None = None, checkpoint: bool = True) -> DataFrame:
-    """Error state of a set of enriched events."""
-    cfg = cfg or Config()
-    errors = enriched.filter(level_is(S.LEVEL_ERROR)).select(*KEYS, "update_id", "timestamp", "message")
-    if checkpoint:  # read by three branches: fold the events once
-        errors = materialize(errors)
-    ts_type = errors.schema["timestamp"].dataType
-    g = errors.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")
-    )
-    r = errors.filter(F.col("update_id").isNotNull()).select(*KEYS, "update_id").distinct()
-    s = errors.filter(F.col("message").isNotNull()).select(
-        *KEYS, F.col("timestamp").alias("sample_ts"), "message"
-    )
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _rows(g, "g", ts_type, error_count=F.col("n"), first_error=F.col("lo"), last_error=F.col("hi")),
-            _rows(r, "r", ts_type, update_id=F.col("update_id")),
-            _rows(
-                _top_samples(s, cfg.sample_messages), "s", ts_type,
-                sample_ts=F.col("sample_ts"), message=F.col("message"),
-            ),
-        ],
+    each = errors.select(*by, *KEYS, "timestamp", F.inline(rows)).filter((F.col("kind") == GROUP) | F.col("value").isNotNull())
+    return each.groupBy(*by, *KEYS, "kind", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time")
     )
 
 
-def merge_error_state(old: DataFrame, new: DataFrame, cfg: Config | None = None) -> DataFrame:
-    """Error state of the union of the events behind ``old`` and ``new``."""
-    cfg = cfg or Config()
-    u = old.unionByName(new)
-    ts_type = u.schema["first_error"].dataType
-    g = u.filter(F.col("kind") == "g").groupBy(*KEYS).agg(
-        F.sum("error_count").alias("n"), F.min("first_error").alias("lo"), F.max("last_error").alias("hi")
-    )
-    r = u.filter(F.col("kind") == "r").select(*KEYS, "update_id").distinct()
-    s = u.filter(F.col("kind") == "s").select(*KEYS, "sample_ts", "message")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _rows(g, "g", ts_type, error_count=F.col("n"), first_error=F.col("lo"), last_error=F.col("hi")),
-            _rows(r, "r", ts_type, update_id=F.col("update_id")),
-            _rows(
-                _top_samples(s, cfg.sample_messages), "s", ts_type,
-                sample_ts=F.col("sample_ts"), message=F.col("message"),
-            ),
-        ],
+def merge_error_state(*states: DataFrame) -> DataFrame:
+    """Error state of the union of the events behind ``states``."""
+    u = reduce(lambda a, b: a.unionByName(b), states)
+    return u.groupBy(*KEYS, "kind", "value").agg(
+        F.sum("n").alias("n"), F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time")
     )
 
 
-def _on(a: DataFrame, b: DataFrame) -> Column:
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[f"_{k}"]) for k in KEYS])
-
-
 def finalize_error_state(state: DataFrame) -> DataFrame:
-    """The error-analysis table from an error state (small joins on the
-    group keys; AQE broadcasts the smaller sides after measuring them)."""
-    g = state.filter(F.col("kind") == "g").select(
-        *KEYS, "error_count", "first_error", "last_error"
-    )
-    runs = (
-        state.filter(F.col("kind") == "r")
-        .groupBy(*KEYS)
-        .agg(F.count("update_id").alias("affected_runs"))
-        .select(*[F.col(k).alias(f"_{k}") for k in KEYS], "affected_runs")
+    """The error-analysis table: one partially aggregated pass."""
+    is_ = {k: F.col("kind") == k for k in (GROUP, RUN, MESSAGE)}
+    first = F.struct(F.col("first_time").isNull().alias("late"), "first_time", "value")
+    out = state.groupBy(*KEYS).agg(
+        F.max(F.when(is_[GROUP], F.col("n"))).alias("error_count"),
+        F.count_if(is_[RUN]).alias("affected_runs"),
+        F.max(F.when(is_[GROUP], F.col("first_time"))).alias("first_error"),
+        F.max(F.when(is_[GROUP], F.col("last_time"))).alias("last_error"),
+        F.min(F.when(is_[MESSAGE], first)).alias("_first"),
     )
-    w = Window.partitionBy(*KEYS).orderBy(F.col("sample_ts").asc_nulls_last(), F.col("message").asc())
-    samples = (
-        state.filter(F.col("kind") == "s")
-        .withColumn("_rn", F.row_number().over(w))  # at most N rows per group
-        .groupBy(*KEYS)
-        .agg(F.array_sort(F.collect_list(F.struct("_rn", "message"))).alias("_s"))
-        .select(*[F.col(k).alias(f"_{k}") for k in KEYS], F.col("_s.message").alias("sample_error_messages"))
-    )
-    j = g.join(runs, _on(g, runs), "left").drop(*[f"_{k}" for k in KEYS])
-    j = j.join(samples, _on(j, samples), "left")
-    return j.select(
-        *KEYS,
-        "error_count",
-        F.coalesce("affected_runs", F.lit(0).cast("long")).alias("affected_runs"),
-        "first_error",
-        "last_error",
-        F.coalesce("sample_error_messages", F.array().cast("array<string>")).alias("sample_error_messages"),
-        F.get(F.col("sample_error_messages"), 0).alias("sample_message"),
+    return out.withColumn("sample_message", F.col("_first.value")).drop("_first")
+
+
+def error_messages(state: DataFrame) -> DataFrame:
+    """Every message of every error group: how often, first and last time."""
+    return state.filter(F.col("kind") == MESSAGE).select(
+        *KEYS, F.col("value").alias("message"), F.col("n").alias("error_count"), F.col("first_time").alias("first_error"), F.col("last_time").alias("last_error")
     )

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens import schema as S
-from runlens.config import Config
+from runlens.config import THRESHOLDS, Config
 from runlens.functions.exprs import (
     count_where,
     date_literal,
@@ -25,7 +25,17 @@ from runlens.functions.exprs import (
     status_is,
     stddev_minutes,
 )
-from runlens.session import ensure_checkpoint_dir
+
+
+# The reading order of three tables; each is total.
+RECENT_ORDER = (("run_date", False), ("pipeline_name", True))
+TREND_ORDER = (("avg_minutes", False), ("pipeline_name", True))
+CLUSTER_ORDER = (("pipeline_name", True), ("runs_on_cluster", False), ("cluster_id", True))
+
+
+def ordered(order: tuple[tuple[str, bool], ...]) -> list[Column]:
+    """Sort columns: ascending with nulls first, descending with nulls last."""
+    return [F.col(c).asc_nulls_first() if up else F.col(c).desc_nulls_last() for c, up in order]
 
 
 def performance_metrics(runs: DataFrame) -> DataFrame:
@@ -54,65 +64,29 @@ def performance_metrics(runs: DataFrame) -> DataFrame:
     )
 
 
-def error_analysis(enriched: DataFrame, cfg: Config | None = None, materialize: bool = False) -> DataFrame:
+def error_analysis(enriched: DataFrame, cfg: Config | None = None) -> DataFrame:
     """ERROR events per (pipeline_name, pipeline_id, event_type).
 
     Starts from the events, so it also counts errors of runs dropped by the
-    duration floor.  ``sample_error_messages`` holds the ``cfg.sample_messages``
-    earliest non-null messages (ordered by time, then text) and
-    ``sample_message`` the first of them (null if every message is null).
-
-    The sample is a bounded top-N per group: ``row_number() <= N`` is planned
-    by Spark as a per-partition group limit *before* the shuffle, so even a
-    group holding a third of all errors moves at most N rows per map task.
-    The samples are then joined (null-safe, on the three keys) to the
-    counts; both sides are one row per group, so AQE broadcasts the smaller
-    when its measured size allows.
-
-    Counts and samples are two branches over the ERROR rows; with
-    ``materialize`` those rows (usually a small share of all events) are
-    checkpointed first, so the events are scanned once instead of twice.
-    """
-    cfg = cfg or Config()
-    keys = ["pipeline_name", "pipeline_id", "event_type"]
+    duration floor.  One partially aggregated pass; ``sample_message`` is the
+    earliest non-null message (by time, then text).  All messages of a group
+    are in ``errors.error_messages``, one row each."""
+    text = F.col("message")
     errors = enriched.filter(level_is(S.LEVEL_ERROR))
-    if materialize:
-        ensure_checkpoint_dir(enriched.sparkSession)
-        errors = errors.select(*keys, "update_id", "timestamp", "message").checkpoint(eager=True)
-    counts = errors.groupBy(*keys).agg(
+    out = errors.groupBy("pipeline_name", "pipeline_id", "event_type").agg(
         F.count(F.lit(1)).alias("error_count"),
         F.count_distinct("update_id").alias("affected_runs"),
         F.min("timestamp").alias("first_error"),
         F.max("timestamp").alias("last_error"),
+        F.min(F.when(text.isNotNull(), F.struct(F.col("timestamp").isNull().alias("late"), "timestamp", "message"))).alias("_first"),
     )
-    w = Window.partitionBy(*keys).orderBy(F.col("timestamp").asc_nulls_last(), F.col("message").asc())
-    samples = (
-        errors.filter(F.col("message").isNotNull())
-        .select(*keys, "timestamp", "message", F.row_number().over(w).alias("_rn"))
-        .filter(F.col("_rn") <= cfg.sample_messages)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("_rn", "message"))).alias("_s"))
-        .select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_s.message").alias("sample_error_messages"))
-    )
-    cond = [counts[k].eqNullSafe(samples[f"_{k}"]) for k in keys]
-    return (
-        counts.join(samples, cond, "left")
-        .select(
-            *keys,
-            "error_count",
-            "affected_runs",
-            "first_error",
-            "last_error",
-            F.coalesce("sample_error_messages", F.array().cast("array<string>")).alias("sample_error_messages"),
-            F.get(F.col("sample_error_messages"), 0).alias("sample_message"),
-        )
-    )
+    return out.withColumn("sample_message", F.col("_first.message")).drop("_first")
 
 
 def recent_activity(runs: DataFrame, cfg: Config | None = None, days: int | None = None) -> DataFrame:
     """Per (run_date, pipeline_name) over runs that started on or after
     ``as_of - days`` (inclusive: up to days+1 calendar dates)."""
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     days = cfg.recent_days if days is None else days
     since = date_literal(cfg.as_of_date - dt.timedelta(days=days))
     return (
@@ -126,13 +100,14 @@ def recent_activity(runs: DataFrame, cfg: Config | None = None, days: int | None
             F.sum("total_events").alias("total_events"),
         )
         .withColumn("success_rate_daily", ratio("successful_runs", "total_runs"))
+        .orderBy(*ordered(RECENT_ORDER))
     )
 
 
 def duration_trends(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
     """Per pipeline_name over runs longer than ``cfg.trend_min_minutes``.
     Median and P95 use ``percentile_approx`` (a bounded, mergeable sketch)."""
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     return (
         runs.filter(F.col("duration_minutes") > F.lit(cfg.trend_min_minutes))
         .groupBy("pipeline_name")
@@ -144,6 +119,7 @@ def duration_trends(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
             F.percentile_approx("duration_minutes", 0.5).alias("median_minutes"),
             F.percentile_approx("duration_minutes", 0.95).alias("p95_minutes"),
         )
+        .orderBy(*ordered(TREND_ORDER))
     )
 
 
@@ -157,4 +133,5 @@ def cluster_usage(runs: DataFrame) -> DataFrame:
             count_where(status_is(S.STATUS_SUCCESS)).alias("successful_runs"),
         )
         .withColumn("success_rate_cluster", ratio("successful_runs", "runs_on_cluster"))
+        .orderBy(*ordered(CLUSTER_ORDER))
     )

@@ -14,10 +14,13 @@ result is interpolated linearly, the same definition as Spark's
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from runlens.session import ensure_checkpoint_dir
+
 
 def _label(p: float) -> str:
     return "p" + f"{p:.4f}".rstrip("0").rstrip(".").replace("0.", "", 1).replace(".", "_")
@@ -38,15 +41,24 @@ def exact_percentiles(
         .groupBy(*g, value_col)
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
-    w = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wn = Window.partitionBy(*g)
-    cum = hist.select(
-        *g,
-        value_col,
-        (F.sum("_cnt").over(w) - F.col("_cnt")).alias("_lo"),
-        F.sum("_cnt").over(w).alias("_hi"),
-        F.sum("_cnt").over(wn).alias("n"),
+    # running counts by blocks: the histogram is sorted over all partitions,
+    # counted within each (partition, group) block, and each block starts at
+    # the sum of the group's earlier ones (one row per partition and group)
+    ensure_checkpoint_dir(df.sparkSession)
+    hist = hist.orderBy(*[F.col(c).asc_nulls_first() for c in g], value_col).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    sums = hist.groupBy("_pid", *g).agg(F.sum("_cnt").alias("_block"))
+    group = Window.partitionBy(*g)
+    earlier = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        F.col("_pid").alias("_b_pid"),
+        *[F.col(c).alias(f"_b_{c}") for c in g],
+        F.coalesce(F.sum("_block").over(earlier), F.lit(0)).alias("_off"),
+        F.sum("_block").over(group).alias("n"),
     )
+    same = reduce(lambda x, y: x & y, [hist[c].eqNullSafe(sums[f"_b_{c}"]) for c in g], hist["_pid"] == sums["_b_pid"])
+    within = Window.partitionBy("_pid", *g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.col("_off") + F.sum("_cnt").over(within)
+    cum = hist.join(sums, same).select(*g, value_col, (upto - F.col("_cnt")).alias("_lo"), upto.alias("_hi"), "n")
     picks = []
     for i, p in enumerate(probs):
         pos = (F.col("n") - 1) * F.lit(float(p))

@@ -13,9 +13,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens import schema as S
-from runlens.config import Config
+from runlens.config import THRESHOLDS, Config
 from runlens.functions.exprs import time_literal
 from runlens.operators.metrics import cluster_usage, performance_metrics
 from runlens.operators.sequence import number_within, trailing_stats
@@ -74,14 +75,16 @@ def failed_runs(runs: DataFrame, since: dt.datetime | None = None) -> DataFrame:
     if since is not None:
         ts_type = runs.schema["run_start"].dataType
         r = r.filter(F.col("run_start") >= time_literal(since, ts_type))
-    return r.select("pipeline_name", "run_start", "duration_minutes", "error_count").orderBy(
-        _desc("run_start"), _asc("pipeline_name")
+    return r.orderBy(_desc("run_start"), _asc("pipeline_name"), *[_asc(c) for c in S.RUN_KEYS if c != "pipeline_name"]).select(
+        "pipeline_name", "run_start", "duration_minutes", "error_count"
     )
 
 
 def latest_errors(events: DataFrame, n: int = 10) -> DataFrame:
-    """Last ``n`` ERROR events (all columns)."""
-    tie = [c for c in ("source_full_name", "id", "event_type", "message") if c in events.columns]
+    """Last ``n`` ERROR events (all columns); ties by all sortable columns."""
+    first = ("source_full_name", "id", "event_type", "message")
+    sortable = [f.name for f in events.schema.fields if not isinstance(f.dataType, T.MapType)]
+    tie = [c for c in first if c in sortable] + [c for c in sortable if c not in (*first, "timestamp")]
     return events.filter(F.col("level") == S.LEVEL_ERROR).orderBy(_desc("timestamp"), *[_asc(c) for c in tie]).limit(n)
 
 
@@ -125,29 +128,26 @@ def runs_by_name(runs: DataFrame, pipeline_name: str) -> DataFrame:
 # ------------------------------------------------------------- rankings
 
 
-def cluster_reliability_rank(runs: DataFrame) -> DataFrame:
-    """Most and least reliable cluster of each pipeline (by name).
-
-    Most reliable: highest success rate, then more runs, then the larger id;
-    least reliable: lowest success rate, then more runs, then the smaller id.
-    One partial-aggregatable ``max``/``min`` over structs per pipeline, so
-    no window has to hold all clusters of a pipeline in one task.
-    """
-    cu = cluster_usage(runs).filter(F.col("cluster_id").isNotNull())
-    agg = cu.groupBy("pipeline_name").agg(
-        F.count(F.lit(1)).alias("clusters"),
-        F.max(F.struct("success_rate_cluster", "runs_on_cluster", "cluster_id")).alias("_best"),
-        F.min(F.struct("success_rate_cluster", (-F.col("runs_on_cluster")).alias("neg_runs"), "cluster_id")).alias("_worst"),
-    )
-    return agg.select(
+def cluster_reliability_rank(runs: DataFrame, materialize: bool = True) -> DataFrame:
+    """Every (pipeline_name, cluster_id) with its place among the pipeline's
+    clusters, 1 the most reliable and 1 the least reliable one: by success
+    rate, then cluster id, nulls last in either direction.
+
+    Places come from ``number_within``, so no task holds all clusters of a
+    pipeline."""
+    cu = cluster_usage(runs)
+    if materialize:  # read by two numberings
+        cu = checkpoint(cu)
+    best = [F.col("success_rate_cluster").desc_nulls_last(), F.col("cluster_id").asc_nulls_last()]
+    worst = [F.col("success_rate_cluster").asc_nulls_last(), F.col("cluster_id").desc_nulls_last()]
+    both = number_within(number_within(cu, ["pipeline_name"], best, "_best"), ["pipeline_name"], worst, "_worst")
+    return both.select(
         "pipeline_name",
-        "clusters",
-        F.col("_best.cluster_id").alias("most_reliable_cluster"),
-        F.col("_best.success_rate_cluster").alias("most_reliable_success_rate"),
-        F.col("_best.runs_on_cluster").alias("most_reliable_runs"),
-        F.col("_worst.cluster_id").alias("least_reliable_cluster"),
-        F.col("_worst.success_rate_cluster").alias("least_reliable_success_rate"),
-        (-F.col("_worst.neg_runs")).alias("least_reliable_runs"),
+        "cluster_id",
+        "runs_on_cluster",
+        "success_rate_cluster",
+        (F.col("_best") + 1).alias("most_reliable_rank"),
+        (F.col("_worst") + 1).alias("least_reliable_rank"),
     )
 
 
@@ -160,7 +160,7 @@ def duration_spikes(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
     """Runs longer than ``spike_factor`` x the mean duration of the
     ``spike_window_runs`` preceding runs of the same pipeline_id (ordered by
     start, then the run key).  Compared in whole seconds, so exact."""
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     base = runs.select(
         *S.RUN_KEYS,
         "run_start",
@@ -185,7 +185,7 @@ def duration_spikes(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
 
 
 def failure_rate_alerts(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     perf = performance_metrics(runs)
     ts_type = runs.schema["run_start"].dataType
     return perf.filter(F.col("failure_rate") > F.lit(cfg.failure_rate_limit)).select(
@@ -203,7 +203,7 @@ def failure_rate_alerts(runs: DataFrame, cfg: Config | None = None) -> DataFrame
 def error_bursts(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
     """Runs with more than ``error_burst_factor`` x the mean error count of
     their pipeline_id (compared as integers: count * n > factor * sum)."""
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     per = runs.groupBy("pipeline_id").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("error_count").alias("_sum")
     ).withColumnRenamed("pipeline_id", "_p")
@@ -227,10 +227,10 @@ def alert_candidates(runs: DataFrame, cfg: Config | None = None, materialize: bo
     """One row per alert: duration spikes, high failure rates, error bursts.
 
     The three kinds read ``runs`` in four branches; with ``materialize`` the
-    runs (without their array columns) are checkpointed once, so the fold
-    behind them is not recomputed per branch."""
-    cfg = cfg or Config()
+    runs are checkpointed once, so the fold behind them is not recomputed per
+    branch."""
+    cfg = cfg or THRESHOLDS
     if materialize:
-        runs = checkpoint(runs.drop(*[c for c in ("error_messages", "error_datasets") if c in runs.columns]))
+        runs = checkpoint(runs)
     alerts = duration_spikes(runs, cfg).unionByName(failure_rate_alerts(runs, cfg)).unionByName(error_bursts(runs, cfg))
     return alerts.select(*ALERT_COLUMNS)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens import schema as S
-from runlens.config import Config
+from runlens.config import THRESHOLDS, Config
 from runlens.functions.exprs import (
     count_where,
     date_literal,
@@ -21,7 +21,7 @@ from runlens.functions.exprs import (
     status_is,
 )
 from runlens.operators.quantiles import exact_percentiles
-from runlens.operators.runs import finalize_runs
+from runlens.operators.runs import with_error_detail
 from runlens.session import materialize as checkpoint
 
 
@@ -30,7 +30,7 @@ def stage_counts(consolidated: DataFrame, cfg: Config | None = None) -> DataFram
     from one pass: events are folded by run key *before* dropping those
     without a pipeline id, so the dropped events form their own groups and
     every count is a sum over one small aggregate."""
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     pid = F.col("origin.pipeline_id")
     groups = consolidated.groupBy(
         pid.alias("pipeline_id"),
@@ -157,7 +157,7 @@ def duration_slope(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
     """Linear trend of run duration per pipeline: x = days from ``as_of``
     to the run date, so the intercept is the fitted value at ``as_of`` and
     the projection is the value ``projection_days`` later."""
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     x = F.datediff(F.col("run_date"), date_literal(cfg.as_of_date))
     slope, intercept = linear_fit_minutes(x)
     return (
@@ -174,17 +174,10 @@ def duration_slope(runs: DataFrame, cfg: Config | None = None) -> DataFrame:
     )
 
 
-def failed_run_detail(state: DataFrame, cfg: Config | None = None) -> DataFrame:
+def failed_run_detail(runs: DataFrame, facts: DataFrame) -> DataFrame:
     """Failed runs with their error messages and the datasets (flows) hit."""
-    runs = finalize_runs(state, cfg, detail=True)
-    return runs.filter(status_is(S.STATUS_FAILED)).select(
-        *S.RUN_KEYS,
-        "run_start",
-        "duration_minutes",
-        "error_count",
-        "error_messages",
-        "error_datasets",
-    )
+    failed = runs.filter(status_is(S.STATUS_FAILED)).select(*S.RUN_KEYS, "run_start", "duration_minutes", "error_count", "info_count")
+    return with_error_detail(failed, facts, datasets=True).drop("info_count")
 
 
 def duration_outliers(runs: DataFrame, cfg: Config | None = None, materialize: bool = True) -> DataFrame:
@@ -192,7 +185,7 @@ def duration_outliers(runs: DataFrame, cfg: Config | None = None, materialize: b
     exact interpolated quartiles per pipeline_id).  ``runs`` feeds both the
     quartiles and the comparison; with ``materialize`` the needed columns
     are checkpointed once."""
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     if materialize:
         runs = checkpoint(runs.select(*S.RUN_KEYS, "run_start", "duration_minutes"))
     q = exact_percentiles(runs, ["pipeline_id"], "duration_minutes", [0.25, 0.75], ["q1_minutes", "q3_minutes"])

@@ -12,8 +12,9 @@ from __future__ import annotations
 import datetime as dt
 
 from runlens.config import Config
+from runlens.sources.fixture import fixture_config
 
-CFG = Config()
+CFG = fixture_config()
 
 
 def _ts(x: dt.datetime) -> str:
@@ -176,15 +177,12 @@ PERFORMANCE_METRICS = with_runs(f"SELECT {PERF_COLUMNS} FROM perf", extra=PERF_C
 
 
 def _errs_cte(cfg: Config = CFG) -> str:
-    n = cfg.sample_messages
-    return f"""errs AS (
+    return """errs AS (
   SELECT pipeline_name, pipeline_id, event_type,
     count(*) AS error_count,
     count(DISTINCT update_id) AS affected_runs,
     min("timestamp") AS first_error,
     max("timestamp") AS last_error,
-    coalesce(array_to_string(list_slice(list(message ORDER BY "timestamp" ASC NULLS LAST, message)
-                                        FILTER (WHERE message IS NOT NULL), 1, {n}), '|'), '') AS sample_error_messages,
     (list(message ORDER BY "timestamp" ASC NULLS LAST, message) FILTER (WHERE message IS NOT NULL))[1] AS sample_message
   FROM enriched
   WHERE level = 'ERROR'
@@ -254,7 +252,7 @@ FROM cluster""",
 
 # ------------------------------------------------------------ sources
 
-_RAW = Config(days_back=None)
+_RAW = fixture_config(days_back=None)
 
 FLAT_COLUMNS = (
     'id, "timestamp", level, event_type, message, details, pipeline_id, pipeline_name, pipeline_type, '
@@ -283,7 +281,7 @@ GROUP BY source_catalog, source_schema, source_table, source_full_name"""
 
 ENRICHED_EVENTS = with_events(f"SELECT {FLAT_COLUMNS}, {_stamp()} FROM enriched")
 
-RECENT_EVENTS_CFG = Config(days_back=7)
+RECENT_EVENTS_CFG = fixture_config(days_back=7)
 RECENT_EVENTS = with_events(f"SELECT {FLAT_COLUMNS}, {_stamp()} FROM enriched", RECENT_EVENTS_CFG)
 
 SCAN_LOG = with_events(
@@ -474,26 +472,17 @@ LEFT JOIN (
 WHERE r.status = 'FAILED'"""
 )
 
+# SURVEY 2.13, W1: success rate desc (nulls last), then cluster id (nulls
+# last); reverse for the least reliable
 CLUSTER_RELIABILITY_RANK = with_runs(
     """
-SELECT b.pipeline_name, b.clusters,
-  b.cluster_id AS most_reliable_cluster, round(b.success_rate_cluster, 6) AS most_reliable_success_rate,
-  b.runs_on_cluster AS most_reliable_runs,
-  w.cluster_id AS least_reliable_cluster, round(w.success_rate_cluster, 6) AS least_reliable_success_rate,
-  w.runs_on_cluster AS least_reliable_runs
-FROM ranked b JOIN ranked w ON b.pipeline_name = w.pipeline_name AND w.worst = 1
-WHERE b.best = 1""",
-    extra=CLUSTER_CTE
-    + """,
-ranked AS (
-  SELECT *,
-    row_number() OVER (PARTITION BY pipeline_name
-                       ORDER BY success_rate_cluster DESC, runs_on_cluster DESC, cluster_id DESC) AS best,
-    row_number() OVER (PARTITION BY pipeline_name
-                       ORDER BY success_rate_cluster ASC, runs_on_cluster DESC, cluster_id ASC) AS worst,
-    count(*) OVER (PARTITION BY pipeline_name) AS clusters
-  FROM cluster WHERE cluster_id IS NOT NULL
-)""",
+SELECT pipeline_name, cluster_id, runs_on_cluster, round(success_rate_cluster, 6) AS success_rate_cluster,
+  row_number() OVER (PARTITION BY pipeline_name
+                     ORDER BY success_rate_cluster DESC NULLS LAST, cluster_id ASC NULLS LAST) AS most_reliable_rank,
+  row_number() OVER (PARTITION BY pipeline_name
+                     ORDER BY success_rate_cluster ASC NULLS LAST, cluster_id DESC NULLS LAST) AS least_reliable_rank
+FROM cluster""",
+    extra=CLUSTER_CTE,
 )
 
 DURATION_OUTLIERS = with_runs(
@@ -619,3 +608,53 @@ ORDER BY "timestamp" DESC NULLS LAST, source_full_name ASC NULLS FIRST, id ASC N
          event_type ASC NULLS FIRST, message ASC NULLS FIRST
 LIMIT 10"""
 )
+
+
+# ------------------------------------------------------ whole results, in order
+
+ERROR_MESSAGES = with_events(
+    """
+SELECT pipeline_name, pipeline_id, event_type, message, count(*) AS error_count,
+       min("timestamp") AS first_error, max("timestamp") AS last_error
+FROM enriched WHERE level = 'ERROR' AND message IS NOT NULL
+GROUP BY ALL"""
+)
+
+STREAMING_EVENTS = with_events(f"SELECT {FLAT_COLUMNS}, {_stamp()}, CAST(\"timestamp\" AS DATE) AS event_date FROM logs")
+
+SLIDING_CFG = fixture_config(days_back=10)
+INCREMENTAL_SLIDING = with_runs(PIPELINE_RUNS[PIPELINE_RUNS.rindex("\nSELECT") :], SLIDING_CFG)
+
+
+def in_order(sql: str, order: str) -> str:
+    """The rows of ``sql`` with their place in the order, from 1."""
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql})"
+
+
+RECENT_ACTIVITY_REPORT = in_order(RECENT_ACTIVITY, "run_date DESC NULLS LAST, pipeline_name ASC NULLS FIRST")
+DURATION_TRENDS_REPORT = in_order(DURATION_TRENDS, "avg_minutes DESC NULLS LAST, pipeline_name ASC NULLS FIRST")
+CLUSTER_USAGE_REPORT = in_order(CLUSTER_USAGE, "pipeline_name ASC NULLS FIRST, runs_on_cluster DESC NULLS LAST, cluster_id ASC NULLS FIRST")
+
+CONSOLIDATED_MIXED = with_events(
+    f"""
+SELECT {FLAT_COLUMNS}, {_stamp()},
+  CASE source_table WHEN 'event_log_2' THEN NULL ELSE id % 8 / 2.0 END AS weight
+FROM logs"""
+)
+
+PUBLISHED_TABLES = with_runs(
+    """
+SELECT 'consolidated_events' AS table_name, count(*) AS row_count FROM logs
+UNION ALL SELECT 'pipeline_runs', count(*) FROM runs
+UNION ALL SELECT 'performance_metrics', count(*) FROM perf
+UNION ALL SELECT 'error_analysis', count(*) FROM errs
+UNION ALL SELECT 'error_messages', count(*) FROM (SELECT DISTINCT pipeline_name, pipeline_id, event_type, message FROM enriched WHERE level = 'ERROR' AND message IS NOT NULL)
+UNION ALL SELECT 'recent_activity', count(*) FROM (SELECT DISTINCT run_date, pipeline_name FROM runs WHERE run_date >= """
+    + _d(CFG.as_of_date - dt.timedelta(days=CFG.recent_days))
+    + """)
+UNION ALL SELECT 'duration_trends', count(*) FROM (SELECT DISTINCT pipeline_name FROM runs WHERE duration_minutes > """
+    + str(CFG.trend_min_minutes)
+    + """)
+UNION ALL SELECT 'cluster_usage', count(*) FROM cluster""",
+    extra=PERF_CTE + "," + CLUSTER_CTE + "," + _errs_cte(),
+)

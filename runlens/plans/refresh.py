@@ -1,260 +1,310 @@
 """Refresh plans: every result table from one fold of the logs.
 
-The reference recomputes the whole union of logs for each of its ~18
-actions (counts, previews, seven writes).  Here:
-
-* ``build_results`` (lazy, for views and benchmarks) folds the logs once
-  into the run state, checkpoints it to the shared checkpoint folder (lineage
-  cut, survives executor loss), and derives every run-based table from that
-  checkpoint.
-* ``refresh`` (publishing) scans each source log exactly once: the
-  consolidated table is written first, partitioned by event date, and
-  everything else is derived from that written table (column-pruned reads)
-  and from the stored run state.
-* ``incremental_refresh`` / ``apply_events`` add one batch of new events
-  exactly once per (source, batch id): the batch gets its own partitions of
-  the consolidated table, only its events are folded into the stored run
-  state (touched keys) and error state, a commit log records the batch, and
-  the small tables are re-derived from the states.  State versions are separate tables behind a view, so the
-  state being read is never the one being written.  The streaming monitor
-  calls ``apply_events`` from ``foreachBatch``.
+``build_results`` (lazy) reads each log once: events are staged to the shared
+folder column-pruned, and every table is derived from that.
+
+Publishing keeps an append-only store in the database, one *generation* per
+rebuild, under the prefix of the configuration:
+
+* ``events_g<n>`` – consolidated events, partitioned by event date, with the
+  tag of the attempt that wrote them;
+* ``run_partials_g<n>``, ``fact_partials_g<n>``, ``error_partials_g<n>`` –
+  what each batch adds to the mergeable states, per event date;
+* ``refresh_log`` – one row per committed batch: generation, source, batch id,
+  tag.  Rows of the store count only if their tag is in the log, so a batch
+  becomes visible by one appended row, and what a failed attempt wrote is
+  never seen;
+* ``covered_files`` – files that a rebuild has read, which a monitor skips.
+
+A batch costs what it holds: it appends its events and partials and reads
+neither old events nor old states.  ``publish_tables`` derives the published
+tables at the configuration's ``as_of``, from the partials in its window, and
+folds anew only the events of the day that the cutoff cuts.  Published tables
+are versions behind views, swapped when all are written.  A rebuild writes a
+new generation and drops the old one when it is published, so a failure on
+the way leaves everything as it was.  Single writer per database.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.config import Config
+from runlens.functions.exprs import date_literal, time_literal
 from runlens.operators import metrics as M
 from runlens.operators.enrich import enrich
-from runlens.operators.errors import error_state, finalize_error_state, merge_error_state
-from runlens.operators.runs import finalize_runs, run_state
-from runlens.plans.pipeline import Pipeline
-from runlens.session import ensure_checkpoint_dir
-from runlens.sources.logs import LogSource, align, consolidate, quote
+from runlens.operators.errors import error_messages, error_state, finalize_error_state, merge_error_state
+from runlens.operators.runs import finalize_runs, merge_run_facts, merge_run_state, run_facts, run_state, with_error_detail
+from runlens.session import materialize, new_scratch
+from runlens.sources.logs import LogSource, align, conforming_schema, consolidate, quote
 from runlens.sources.sinks import ensure_schema, register_views, table_name, write_table
-from runlens.streaming.incremental import refresh_state
 
-STATE_KEY = "run_state"
-ERROR_KEY = "error_state"
 LOG_KEY = "refresh_log"
-PARTITION_COLUMN = "event_date"
-BATCH_COLUMN = "ingest_batch"
+COVERED_KEY = "covered_files"
+EVENTS, RUNS, FACTS, ERRORS = "events", "run_partials", "fact_partials", "error_partials"
+DATE_COLUMN = "event_date"
+TAG_COLUMN = "ingest_tag"
+LOG_SCHEMA = "generation int, source string, batch_id long, tag string, as_of timestamp_ntz"
+COVERED_SCHEMA = "generation int, source_full_name string, file string"
 
 
-def derive_tables(state: DataFrame, enriched: DataFrame, cfg: Config, materialize: bool = True) -> dict[str, DataFrame]:
-    """The six analysis tables from a run state and the enriched events."""
+def derive_tables(state: DataFrame, facts: DataFrame, errors: DataFrame, cfg: Config) -> dict[str, DataFrame]:
+    """The analysis tables from the three states."""
     runs = finalize_runs(state, cfg)
     return {
-        "pipeline_runs": runs,
+        "pipeline_runs": with_error_detail(runs, facts),
         "performance_metrics": M.performance_metrics(runs),
-        "error_analysis": M.error_analysis(enriched, cfg, materialize=materialize),
+        "error_analysis": finalize_error_state(errors),
+        "error_messages": error_messages(errors),
         "recent_activity": M.recent_activity(runs, cfg),
         "duration_trends": M.duration_trends(runs, cfg),
         "cluster_usage": M.cluster_usage(runs),
     }
 
 
-def build_results(spark: SparkSession, logs: list[LogSource], cfg: Config | None = None, materialize: bool = True) -> dict[str, DataFrame]:
-    cfg = cfg or Config()
-    p = Pipeline(logs, cfg)
-    state = p.state
-    if materialize:
-        ensure_checkpoint_dir(spark)
-        state = state.checkpoint(eager=True)
-    return {"consolidated_events": p.consolidated, **derive_tables(state, p.enriched, cfg, materialize)}
-
-
-def _with_partition(df: DataFrame, files: int | None = None) -> DataFrame:
-    """Add the date partition column; optionally range-partition by time so
-    the partitioned write makes about ``files`` files of similar size (range
-    bounds come from a sample, so a busy day is split over many tasks)."""
-    out = df.withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
-    if files:
-        out = out.repartitionByRange(files, F.col(PARTITION_COLUMN), F.col("timestamp"))
-    return out
-
-
-def _state_versions(spark: SparkSession, database: str, prefix: str, key: str = STATE_KEY) -> list[int]:
-    pat = re.compile(rf"^{re.escape(prefix + key)}_v(\d+)$")
-    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {quote(database)}").collect()]
-    return sorted(int(m.group(1)) for n in names if (m := pat.match(n)))
-
-
-def _batch_tag(source: str, batch_id: int) -> str:
-    return re.sub(r"[^a-z0-9_]+", "_", source.lower()) + f"-{int(batch_id)}"
-
-
-def _log_status(spark: SparkSession, log: str, source: str, batch_id: int) -> tuple[bool, int]:
-    """(is this batch committed?, latest committed state version)."""
-    if not spark.catalog.tableExists(log):
-        return False, 0
-    row = spark.table(log).agg(
-        F.count_if((F.col("source") == source) & (F.col("batch_id") == int(batch_id))).alias("done"),
-        F.max("state_version").alias("latest"),
-    ).first()
-    return row["done"] > 0, int(row["latest"] or 0)
-
-
-def _conform(events: DataFrame, table: DataFrame) -> DataFrame:
-    """Align a batch to the consolidated table's data columns (missing ones
-    as typed nulls).  Columns the table lacks need a full refresh."""
-    data = table.drop(PARTITION_COLUMN, BATCH_COLUMN).schema
-    extra = sorted(set(events.columns) - set(table.columns))
-    have_origin = set(data["origin"].dataType.fieldNames())
-    extra += sorted(f"origin.{f}" for f in events.schema["origin"].dataType.fieldNames() if f not in have_origin)
-    if extra:
-        raise ValueError(f"new logs add column(s) {extra}; run a full refresh to evolve the schema")
-    return align(events, data)
-
-
-def _overwrite_partitions(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic partition
-    overwrite; the session setting is restored afterwards)."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic")
-    try:
-        df.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
-
-
-def _stage(events: DataFrame, tag: str, cfg: Config) -> DataFrame:
-    return _with_partition(events, cfg.consolidated_files).withColumn(BATCH_COLUMN, F.lit(tag))
-
-
-def _finish(spark: SparkSession, database: str, cfg: Config, views: bool) -> dict[str, str]:
-    """Point the state views at the latest committed versions and re-derive
-    the published tables from the states (all idempotent; no event is
-    re-read)."""
-    t = lambda key: table_name(database, cfg.table_prefix, key)
-    _, latest = _log_status(spark, t(LOG_KEY), "", -1)
-    for key in (STATE_KEY, ERROR_KEY):
-        spark.sql(f"CREATE OR REPLACE VIEW {t(key)} AS SELECT * FROM {t(f'{key}_v{latest}')}")
-        for old in _state_versions(spark, database, cfg.table_prefix, key):
-            if old < latest - 1:  # keep the previous version for readers mid-swap
-                spark.sql(f"DROP TABLE IF EXISTS {t(f'{key}_v{old}')}")
-    names = {"consolidated_events": t("consolidated_events"), STATE_KEY: t(STATE_KEY), ERROR_KEY: t(ERROR_KEY)}
-    runs = finalize_runs(spark.table(t(STATE_KEY)), cfg)
-    tables = {
-        "pipeline_runs": runs,
-        "performance_metrics": M.performance_metrics(runs),
-        "error_analysis": finalize_error_state(spark.table(t(ERROR_KEY))),
-        "recent_activity": M.recent_activity(runs, cfg),
-        "duration_trends": M.duration_trends(runs, cfg),
-        "cluster_usage": M.cluster_usage(runs),
-    }
-    for key in tables:
-        names[key] = t(key)
-    # independent small writes: submit them together so their jobs share
-    # the executors instead of running one after another
+def build_results(spark: SparkSession, logs: list[LogSource], cfg: Config, materialize_states: bool = True) -> dict[str, DataFrame]:
+    """All tables without publishing.  With ``materialize_states`` the logs
+    are read once, into a staged copy with the columns that the states need,
+    and the run and error states are checkpointed."""
+    consolidated = consolidate(logs, cfg)
+    enriched = enrich(consolidated)
+    if materialize_states:
+        path = new_scratch(spark, "staged")
+        needed = ["timestamp", "event_type", "level", "message", "source_full_name", "pipeline_id", "pipeline_name", "pipeline_type", "update_id", "flow_name", "cluster_id"]
+        enriched.select(*needed).write.parquet(path)
+        enriched = spark.read.parquet(path)
+    state, facts, errors = run_state(enriched, cfg), run_facts(enriched, cfg), error_state(enriched)
+    if materialize_states:
+        state, errors = materialize(state), materialize(errors)
+    return {"consolidated_events": consolidated, **derive_tables(state, facts, errors, cfg)}
+
+
+# ------------------------------------------------------------------- the store
+
+
+class Store:
+    """Names and committed contents of one database's tables."""
+
+    def __init__(self, spark: SparkSession, database: str, cfg: Config):
+        self.spark, self.database, self.cfg = spark, database, cfg
+
+    def name(self, key: str, generation: int | None = None) -> str:
+        return table_name(self.database, self.cfg.table_prefix, key if generation is None else f"{key}_g{generation}")
+
+    def exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(name)
+
+    def table(self, name: str) -> DataFrame:
+        # another session may have appended: forget this one's file listing
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name)
+
+    def log(self) -> DataFrame:
+        name = self.name(LOG_KEY)
+        return self.table(name) if self.exists(name) else self.spark.createDataFrame([], LOG_SCHEMA)
+
+    def reread(self) -> None:
+        """Make this session see what others have written to the store."""
+        _, generation = self.status()
+        for name in (self.name(EVENTS, generation), self.name("consolidated_events")):
+            if self.exists(name):
+                self.spark.catalog.refreshTable(name)
+
+    def status(self, source: str = "", batch_id: int = -1) -> tuple[bool, int]:
+        """(is this batch committed, in any generation?, latest generation)"""
+        row = self.log().agg(F.count_if((F.col("source") == source) & (F.col("batch_id") == int(batch_id))).alias("done"), F.max("generation").alias("latest")).first()
+        return row["done"] > 0, int(row["latest"] or 0)
+
+    def committed(self, key: str, generation: int) -> DataFrame:
+        """Rows of committed batches, without their tag."""
+        rows = self.table(self.name(key, generation))
+        tags = self.log().filter(F.col("generation") == generation).select(F.col("tag").alias(TAG_COLUMN))
+        return rows.join(tags, TAG_COLUMN, "left_semi").drop(TAG_COLUMN)
+
+    def append(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
+        if not self.exists(name):
+            write_table(df, name, self.cfg.output_format, partition_by)
+            return
+        w = df.write.mode("append").format(self.cfg.output_format)
+        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
+
+    def numbered(self, pattern: str) -> list[tuple[str, int]]:
+        """(table, number) of tables of the prefix whose key fits the pattern."""
+        pat = re.compile(rf"^{re.escape(self.cfg.table_prefix)}{pattern}$")
+        names = [r["tableName"] for r in self.spark.sql(f"SHOW TABLES IN {quote(self.database)}").collect()]
+        return sorted((n, int(m.group(1))) for n in names if (m := pat.match(n)))
+
+    def drop(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {quote(self.database)}.{quote(table)}")
+
+
+def _fit(store: Store, events: DataFrame, generation: int) -> DataFrame:
+    """The batch in the columns of the generation's events table; columns that
+    the table lacks are added to it, null in older rows."""
+    name = store.name(EVENTS, generation)
+    if not store.exists(name):
+        return events
+    have = store.spark.table(name).drop(DATE_COLUMN, TAG_COLUMN).schema
+    target, new = conforming_schema(have, events.schema)
+    if new:
+        store.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{quote(f.name)} {f.dataType.simpleString()}' for f in new)})")
+    return align(events, target)
+
+
+def apply_events(spark: SparkSession, events: DataFrame, database: str, cfg: Config, source: str = "manual", batch_id: int = 0, generation: int | None = None) -> int:
+    """Add one batch of consolidated events to the store, exactly once per
+    (source, batch_id), and return its generation.
+
+    1. The events are appended under a tag of this attempt.
+    2. They are read back by tag and date, and folded into partials per event
+       date, appended under the same tag.
+    3. One row in the refresh log commits the tag.
+
+    A retry starts over under a new tag; rows of attempts without a commit are
+    never seen, whatever dates they hold."""
+    store = Store(spark, database, cfg)
+    done, latest = store.status(source, batch_id)
+    if generation is None:
+        if done:
+            return latest
+        generation = max(latest, 1)
+    tag = f"{re.sub(r'[^a-z0-9_]+', '_', source.lower())}-{int(batch_id)}-{uuid.uuid4().hex[:12]}"
+    staged = _fit(store, events, generation).withColumn(DATE_COLUMN, F.to_date("timestamp"))
+    if cfg.consolidated_files:
+        # range bounds come from a sample, so a busy day spreads over tasks
+        staged = staged.repartitionByRange(cfg.consolidated_files, DATE_COLUMN, "timestamp")
+    store.append(staged.withColumn(TAG_COLUMN, F.lit(tag)), store.name(EVENTS, generation), [DATE_COLUMN])
+    batch = enrich(spark.table(store.name(EVENTS, generation)).filter(F.col(TAG_COLUMN) == tag))
+    by = [DATE_COLUMN]
+    partials = {RUNS: run_state(batch, cfg, by), FACTS: run_facts(batch, cfg, by), ERRORS: error_state(batch, by)}
+    with ThreadPoolExecutor(max_workers=len(partials)) as pool:
+        for f in [pool.submit(store.append, df.withColumn(TAG_COLUMN, F.lit(tag)), store.name(key, generation)) for key, df in partials.items()]:
+            f.result()
+    store.append(spark.createDataFrame([(generation, source, int(batch_id), tag, cfg.as_of)], LOG_SCHEMA), store.name(LOG_KEY))
+    return generation
+
+
+def _window(rows: DataFrame, cutoff: dt.datetime | None, whole_days: bool) -> DataFrame:
+    """Partials of the days in the window; the day that the cutoff cuts is in
+    it only if it is whole."""
+    if cutoff is None:
+        return rows
+    day = date_literal(cutoff.date())
+    return rows.filter(F.col(DATE_COLUMN) >= day if whole_days else F.col(DATE_COLUMN) > day)
+
+
+def current_states(spark: SparkSession, database: str, cfg: Config) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Run state, run facts and error state of the events at or after the
+    cutoff.  A merged minimum can't be taken apart again, so partials are kept
+    per day; events of a day that the cutoff cuts are folded anew."""
+    store = Store(spark, database, cfg)
+    _, generation = store.status()
+    cutoff = cfg.cutoff
+    whole = cutoff is None or cutoff.time() == dt.time()
+    parts = {key: [_window(store.committed(key, generation), cutoff, whole).drop(DATE_COLUMN)] for key in (RUNS, FACTS, ERRORS)}
+    if not whole:
+        events = store.committed(EVENTS, generation).filter(F.col(DATE_COLUMN) == date_literal(cutoff.date()))
+        rest = enrich(events.filter(F.col("timestamp") >= time_literal(cutoff, events.schema["timestamp"].dataType)))
+        parts[RUNS].append(run_state(rest, cfg))
+        parts[FACTS].append(run_facts(rest, cfg))
+        parts[ERRORS].append(error_state(rest))
+    return merge_run_state(*parts[RUNS]), merge_run_facts(*parts[FACTS]), merge_error_state(*parts[ERRORS])
+
+
+def current_results(spark: SparkSession, database: str, cfg: Config) -> dict[str, DataFrame]:
+    """The tables of the store at ``cfg.as_of``, not published."""
+    return derive_tables(*current_states(spark, database, cfg), cfg)
+
+
+def _events_view(store: Store, generation: int) -> str:
+    name = store.name(EVENTS, generation)
+    cols = [quote(c) for c in store.spark.table(name).columns if c not in (TAG_COLUMN, DATE_COLUMN)] + [DATE_COLUMN]
+    where = f"{TAG_COLUMN} IN (SELECT tag FROM {store.name(LOG_KEY)} WHERE generation = {generation})"
+    if store.cfg.cutoff is not None:
+        kind = store.spark.table(name).schema["timestamp"].dataType.simpleString()
+        where += f" AND {DATE_COLUMN} >= DATE'{store.cfg.cutoff:%Y-%m-%d}' AND timestamp >= CAST('{store.cfg.cutoff:%Y-%m-%d %H:%M:%S.%f}' AS {kind})"
+    return f"SELECT {', '.join(cols)} FROM {name} WHERE {where}"
+
+
+def publish_tables(spark: SparkSession, database: str, cfg: Config, views: bool = False) -> dict[str, str]:
+    """Derive and publish all tables at ``cfg.as_of``; returns key -> name.
+    New versions are written first, then all views are pointed at them, then
+    versions before the last and generations before this one are dropped."""
+    store = Store(spark, database, cfg)
+    _, generation = store.status()
+    state, facts, errors = current_states(spark, database, cfg)
+    tables = derive_tables(materialize(state), facts, materialize(errors), cfg)
+    version = max([n for _, n in store.numbered(r"\w+_v(\d+)")], default=0) + 1
+    target = {key: store.name(f"{key}_v{version}") for key in tables}
+    # small independent writes: their jobs share the executors
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        futures = [pool.submit(write_table, df, names[key], cfg.output_format) for key, df in tables.items()]
-        for f in futures:
+        for f in [pool.submit(write_table, df, target[key], cfg.output_format) for key, df in tables.items()]:
             f.result()
+    names = {"consolidated_events": store.name("consolidated_events")}
+    spark.sql(f"CREATE OR REPLACE VIEW {names['consolidated_events']} AS {_events_view(store, generation)}")
+    for key in tables:
+        names[key] = store.name(key)
+        spark.sql(f"CREATE OR REPLACE VIEW {names[key]} AS SELECT * FROM {target[key]}")
+    for table, n in store.numbered(r"\w+_v(\d+)"):
+        if n < version - 1:  # readers may still hold the version before
+            store.drop(table)
+    for table, n in store.numbered(r"\w+_g(\d+)"):
+        if n < generation:
+            store.drop(table)
     if views:
         register_views({k: spark.table(v) for k, v in names.items()}, cfg.table_prefix)
     return names
 
 
-def apply_events(
-    spark: SparkSession,
-    events: DataFrame,
-    database: str,
-    cfg: Config | None = None,
-    source: str = "manual",
-    batch_id: int = 0,
-    views: bool = False,
-) -> dict[str, str]:
-    """Add one batch of consolidated events to the published tables,
-    exactly once per (source, batch_id).
-
-    1. The batch's events go to their own partitions
-       (``event_date``, ``ingest_batch``) of the consolidated table; a retry
-       overwrites exactly those partitions.
-    2. Only this batch is read back (partition pruning) and folded into the
-       last *committed* run state and error state, written as the next
-       versions, which nobody reads yet.
-    3. A row (source, batch_id, version) appended to the refresh log commits
-       the batch.
-    4. The state view is pointed at the latest committed version and the
-       small tables are re-derived.
-
-    A retry after a failure at any step recomputes from the last committed
-    version, so the batch is counted once.  Single writer per database."""
-    cfg = cfg or Config()
-    t = lambda key: table_name(database, cfg.table_prefix, key)
-    cons, log = t("consolidated_events"), t(LOG_KEY)
-    done, base = _log_status(spark, log, source, batch_id)
-    if not done:
-        tag = _batch_tag(source, batch_id)
-        if spark.catalog.tableExists(cons):
-            table = spark.table(cons)
-            staged = _stage(_conform(events, table), tag, cfg).select(*table.columns)  # insertInto is positional
-            _overwrite_partitions(spark, staged, cons)
-        else:
-            write_table(_stage(events, tag, cfg), cons, cfg.output_format, [PARTITION_COLUMN, BATCH_COLUMN])
-        batch = enrich(spark.table(cons).filter(F.col(BATCH_COLUMN) == tag))
-        if base == 0:
-            new_state = run_state(batch, cfg)
-            new_errors = error_state(batch, cfg)
-        else:
-            new_state = refresh_state(spark.table(t(f"{STATE_KEY}_v{base}")), batch, cfg)
-            new_errors = merge_error_state(spark.table(t(f"{ERROR_KEY}_v{base}")), error_state(batch, cfg), cfg)
-        write_table(new_state, t(f"{STATE_KEY}_v{base + 1}"), cfg.output_format)
-        write_table(new_errors, t(f"{ERROR_KEY}_v{base + 1}"), cfg.output_format)
-        spark.createDataFrame(
-            [(source, int(batch_id), base + 1)], "source string, batch_id long, state_version long"
-        ).write.mode("append").format(cfg.output_format).saveAsTable(log)
-    return _finish(spark, database, cfg, views)
-
-
-def _drop_published(spark: SparkSession, database: str, cfg: Config) -> None:
-    t = lambda key: table_name(database, cfg.table_prefix, key)
-    for key in (STATE_KEY, ERROR_KEY):
-        spark.sql(f"DROP VIEW IF EXISTS {t(key)}")
-        for v in _state_versions(spark, database, cfg.table_prefix, key):
-            spark.sql(f"DROP TABLE IF EXISTS {t(f'{key}_v{v}')}")
-    for key in ("consolidated_events", LOG_KEY):
-        spark.sql(f"DROP TABLE IF EXISTS {t(key)}")
-
-
-def refresh(
-    spark: SparkSession,
-    logs: list[LogSource],
-    database: str,
-    cfg: Config | None = None,
-    location: str | None = None,
-    views: bool = True,
-) -> dict[str, str]:
-    """Full refresh (rebuild); returns key -> published table name.  Each
-    source log is scanned once, to write the consolidated table; the state
-    and the small tables are derived from that table."""
-    cfg = cfg or Config()
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def uncovered(batch: DataFrame, database: str, cfg: Config, path_column: str) -> DataFrame:
+    """Events of a batch whose file no rebuild has read, without the path."""
+    store = Store(batch.sparkSession, database, cfg)
+    name = store.name(COVERED_KEY)
+    if store.exists(name):
+        seen = store.table(name).select(F.col("file").alias(path_column)).distinct()
+        batch = batch.withColumn(path_column, _plain(F.col(path_column))).join(seen, path_column, "left_anti")
+    return batch.drop(path_column)
+
+
+def refresh(spark: SparkSession, logs: list[LogSource], database: str, cfg: Config, location: str | None = None, views: bool = True) -> dict[str, str]:
+    """Full rebuild; returns key -> published name.  Each source log is
+    scanned once, into a new generation; the published tables and the old
+    generation stay until the new one is published."""
     ensure_schema(spark, database, location)
-    _drop_published(spark, database, cfg)
-    return apply_events(spark, consolidate(logs, cfg), database, cfg, source="full", batch_id=0, views=views)
+    store = Store(spark, database, cfg)
+    generation = max([store.status()[1], *[n for _, n in store.numbered(r"\w+_g(\d+)")]]) + 1
+    files = [(generation, log.full_name, f) for log in logs for f in log.df.inputFiles()]
+    apply_events(spark, consolidate(logs, cfg), database, cfg, source="full", batch_id=generation, generation=generation)
+    if files:
+        covered = spark.createDataFrame(files, COVERED_SCHEMA)
+        store.append(covered.withColumn("file", _plain(F.col("file"))), store.name(COVERED_KEY))
+    return publish_tables(spark, database, cfg, views)
 
 
 def incremental_refresh(
     spark: SparkSession,
     new_logs: list[LogSource],
     database: str,
-    cfg: Config | None = None,
+    cfg: Config,
     *,
     batch_id: int,
     source: str = "manual",
     views: bool = True,
 ) -> dict[str, str]:
-    """Add ``new_logs`` (events not seen before) to a published refresh,
-    exactly once per (source, batch_id): calling it again with the same
-    batch id after a failure or a success changes nothing twice.  On an
-    empty database the first batch builds every table."""
-    cfg = cfg or Config()
+    """Add ``new_logs`` (events not seen before) and publish, exactly once per
+    (source, batch_id): calling it again with the same batch id after a
+    failure or a success changes nothing twice.  On an empty database the
+    first batch builds every table."""
     ensure_schema(spark, database)
-    return apply_events(spark, consolidate(new_logs, cfg), database, cfg, source, batch_id, views)
+    apply_events(spark, consolidate(new_logs, cfg), database, cfg, source, batch_id)
+    return publish_tables(spark, database, cfg, views)

@@ -12,6 +12,8 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,21 +21,22 @@ from pyspark.sql import types as T
 
 from runlens import schema as S
 from runlens.config import Config
+from runlens.sources.fixture import fixture_config
 from runlens.functions.exprs import time_literal
 from runlens.operators import metrics as M
 from runlens.operators import ranking as R
 from runlens.operators import reports as X
 from runlens.operators.enrich import flatten_origin
-from runlens.operators.runs import run_state
+from runlens.operators.errors import error_messages
+from runlens.operators.sequence import number_within
 from runlens.plans import oracle as O
 from runlens.plans.pipeline import Pipeline
-from runlens.plans.refresh import build_results, refresh
-from runlens.session import materialize, new_scratch
+from runlens.plans.refresh import apply_events, build_results, current_results, publish_tables, refresh
+from runlens.session import new_scratch
 from runlens.sources.fixture import FIXTURE_SCHEMA_PREFIX, fixture_logs, register_fixture_tables
 from runlens.sources.inventory import discover, inventory_by_catalog, inventory_with_counts, log_row_counts
-from runlens.sources.logs import read_log
-from runlens.sources.sinks import register_views
-from runlens.streaming.incremental import incremental_runs
+from runlens.sources.logs import LogSource, consolidate, read_log
+from runlens.sources.sinks import ensure_schema, register_views
 from runlens.streaming.monitor import StreamLog, monitored_runs, start_run_monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,7 +78,7 @@ def fixture(spark: SparkSession, sf_dir: str, cfg: Config | None = None) -> Pipe
 
 @register("pipeline_runs", O.PIPELINE_RUNS)
 def q_pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(fixture(spark, sf_dir).runs, sets=("error_messages",))
+    return report(fixture(spark, sf_dir).run_report, sets=("error_messages",))
 
 
 @register("performance_metrics", O.PERFORMANCE_METRICS)
@@ -86,7 +89,7 @@ def q_performance_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("error_analysis", O.ERROR_ANALYSIS)
 def q_error_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fixture(spark, sf_dir)
-    return report(M.error_analysis(p.enriched, p.cfg, materialize=True))
+    return report(M.error_analysis(p.enriched, p.cfg))
 
 
 @register("recent_activity", O.RECENT_ACTIVITY)
@@ -153,7 +156,7 @@ def q_log_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discovery over the session catalog with row counts: the three logs;
     the temp view and the non-matching table are skipped."""
     register_fixture_tables(spark, sf_dir)
-    cfg = Config(target_catalogs=("spark_catalog",), schema_filter=re.escape(FIXTURE_SCHEMA_PREFIX))
+    cfg = fixture_config(target_catalogs=("spark_catalog",), schema_filter=re.escape(FIXTURE_SCHEMA_PREFIX))
     return inventory_with_counts(spark, discover(spark, cfg)).orderBy("catalog", "schema", "table")
 
 
@@ -169,18 +172,15 @@ def q_inventory_by_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("publish_roundtrip", O.PERFORMANCE_METRICS)
 def q_publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish all seven tables, read performance metrics back by name."""
-    import hashlib
-
-    db = "runlens_pub_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
-    names = refresh(spark, fixture_logs(spark, sf_dir), db, Config(), location=new_scratch(spark, "publish"), views=False)
+    """Publish all tables, read performance metrics back by name."""
+    names = refresh(spark, fixture_logs(spark, sf_dir), _store(spark, "roundtrip"), fixture_config(), views=False)
     return report(spark.table(names["performance_metrics"]))
 
 
 @register("sql_over_views", O.SQL_OVER_VIEWS)
 def q_sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = Config()
-    register_views(build_results(spark, fixture_logs(spark, sf_dir), cfg, materialize=False), cfg.table_prefix)
+    cfg = fixture_config()
+    register_views(build_results(spark, fixture_logs(spark, sf_dir), cfg, materialize_states=False), cfg.table_prefix)
     return report(
         spark.sql(
             f"SELECT pipeline_name, total_runs, success_rate, avg_duration_minutes "
@@ -210,7 +210,7 @@ def q_pipeline_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("runs_by_name", O.RUNS_BY_NAME)
 def q_runs_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(R.runs_by_name(fixture(spark, sf_dir).runs, O.RUNS_BY_NAME_VALUE), sets=("error_messages",))
+    return report(R.runs_by_name(fixture(spark, sf_dir).run_report, O.RUNS_BY_NAME_VALUE), sets=("error_messages",))
 
 
 @register("status_breakdown", O.STATUS_BREAKDOWN)
@@ -274,7 +274,7 @@ def q_duration_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("failed_run_detail", O.FAILED_RUN_DETAIL)
 def q_failed_run_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fixture(spark, sf_dir)
-    return report(X.failed_run_detail(p.state, p.cfg), sets=("error_messages", "error_datasets"))
+    return report(X.failed_run_detail(p.runs, p.facts), sets=("error_messages", "error_datasets"))
 
 
 @register("cluster_reliability_rank", O.CLUSTER_RELIABILITY_RANK)
@@ -335,13 +335,13 @@ def q_pipeline_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("top_errors", O.TOP_ERRORS)
 def q_top_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fixture(spark, sf_dir)
-    return report(R.top_errors(M.error_analysis(p.enriched, p.cfg, materialize=True)))
+    return report(R.top_errors(M.error_analysis(p.enriched, p.cfg)))
 
 
 @register("common_errors", O.COMMON_ERRORS)
 def q_common_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fixture(spark, sf_dir)
-    return report(R.common_errors(M.error_analysis(p.enriched, p.cfg, materialize=True)))
+    return report(R.common_errors(M.error_analysis(p.enriched, p.cfg)))
 
 
 @register("latest_errors", O.LATEST_ERRORS)
@@ -352,36 +352,142 @@ def q_latest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------ incremental & streaming
 
 
-@register("incremental_runs", O.PIPELINE_RUNS)
-def q_incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Old state = events before as_of - 10 days; the rest arrives as a new
-    batch (runs straddling the split receive late events).  Must equal the
-    full rebuild."""
-    p = fixture(spark, sf_dir)
-    split = time_literal(p.cfg.as_of - dt.timedelta(days=10), p.enriched.schema["timestamp"].dataType)
-    old = p.enriched.filter(F.col("timestamp") < split)
-    new = p.enriched.filter(~(F.col("timestamp") < split) | F.col("timestamp").isNull())
-    stored = materialize(run_state(old, p.cfg))  # stands in for the stored state table
-    return report(incremental_runs(stored, new, p.cfg), sets=("error_messages",))
+def _split(logs: list[LogSource], at: dt.datetime) -> tuple[list[LogSource], list[LogSource]]:
+    """The logs before and from a time on (null times come later)."""
+    early, late = [], []
+    for log in logs:
+        before = F.col("timestamp") < time_literal(at, log.df.schema["timestamp"].dataType)
+        early.append(replace(log, df=log.df.filter(before)))
+        late.append(replace(log, df=log.df.filter(~before | F.col("timestamp").isNull())))
+    return early, late
 
 
-@register("streaming_runs", O.PIPELINE_RUNS)
-def q_streaming_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Structured Streaming over the fixture logs written as daily files;
-    the published runs table after the stream must equal the batch fold."""
+def _store(spark: SparkSession, name: str) -> str:
+    """A fresh database under the shared folder."""
+    root = new_scratch(spark, name)
+    database = f"runlens_{name}_" + root.rsplit("-", 1)[-1]
+    ensure_schema(spark, database, f"{root}/tables")
+    return database
+
+
+@register("incremental_runs", O.PIPELINE_RUNS)
+def q_incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events before as_of - 10 days are stored first; the rest arrives as a
+    second batch (runs straddling the split receive late events).  Must equal
+    the full rebuild."""
+    cfg = fixture_config()
+    database = _store(spark, "incremental")
+    for i, part in enumerate(_split(fixture_logs(spark, sf_dir), cfg.time - dt.timedelta(days=10))):
+        apply_events(spark, consolidate(part, cfg), database, cfg, "query", i)
+    return report(current_results(spark, database, cfg)["pipeline_runs"], sets=("error_messages",))
+
+
+@register("incremental_sliding", O.INCREMENTAL_SLIDING)
+def q_incremental_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A 10-day window that moves: events up to 20 January are stored and
+    published with the window that ends there, then the rest arrives and the
+    window ends on the 31st.  Runs that straddle the new cutoff lose their
+    early events, older runs go."""
+    cfg = O.SLIDING_CFG
+    before = replace(cfg, as_of=dt.datetime(2024, 1, 20))
+    database = _store(spark, "sliding")
+    early, late = _split(fixture_logs(spark, sf_dir), before.time)
+    apply_events(spark, consolidate(early, before), database, before, "query", 0)
+    publish_tables(spark, database, before)
+    apply_events(spark, consolidate(late, cfg), database, cfg, "query", 1)
+    names = publish_tables(spark, database, cfg)
+    return report(spark.table(names["pipeline_runs"]), sets=("error_messages",))
+
+
+def _streamed(spark: SparkSession, sf_dir: str, publish_every: int = 1) -> str:
+    """Database after a stream over the fixture logs, written as daily files."""
     root = new_scratch(spark, "stream")
     logs = []
     for log in fixture_logs(spark, sf_dir):
         path = f"{root}/input/{log.schema}/{log.table}"
         log.df.withColumn("event_day", F.to_date("timestamp")).write.partitionBy("event_day").parquet(path)
         schema = spark.read.parquet(path).schema
-        logs.append(StreamLog(log.catalog, log.schema, log.table, path, schema))
+        logs.append(StreamLog(log.catalog, log.schema, log.table, path, T.StructType([f for f in schema.fields if f.name != "event_day"])))
     database = "runlens_stream_" + root.rsplit("-", 1)[-1]
-    query = start_run_monitor(
-        spark, logs, database, f"{root}/checkpoint", Config(), location=f"{root}/tables", max_files_per_trigger=15
-    )
+    cfg = fixture_config()
+    query = start_run_monitor(spark, logs, database, f"{root}/checkpoint", cfg, location=f"{root}/tables", max_files_per_trigger=15, publish_every=publish_every)
     query.awaitTermination()
-    return report(monitored_runs(spark, database, Config()), sets=("error_messages",))
+    return database
+
+
+@register("streaming_runs", O.PIPELINE_RUNS)
+def q_streaming_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs that the monitor keeps must equal the batch fold."""
+    return report(monitored_runs(spark, _streamed(spark, sf_dir, publish_every=1000), fixture_config()), sets=("error_messages",))
+
+
+@register("streaming_events", O.STREAMING_EVENTS)
+def q_streaming_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the published events table after several micro-batches."""
+    database = _streamed(spark, sf_dir)
+    return report(_flat(spark.table(f"{database}.evlog_consolidated_events")).drop("event_day"))
+
+
+# ------------------------------------------------------ whole results, in order
+
+
+@register("error_messages", O.ERROR_MESSAGES)
+def q_error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message of every error group."""
+    return error_messages(fixture(spark, sf_dir).errors)
+
+
+def _in_order(df: DataFrame, order: tuple[tuple[str, bool], ...]) -> DataFrame:
+    """``df`` with each row's place in the order, from 1, so that a check sees
+    the order too."""
+    placed = number_within(df.withColumn("_all", F.lit(0)), ["_all"], M.ordered(order), "position")
+    return placed.withColumn("position", F.col("position") + 1).drop("_all")
+
+
+@register("recent_activity_report", O.RECENT_ACTIVITY_REPORT)
+def q_recent_activity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    return _in_order(report(M.recent_activity(p.runs, p.cfg)), M.RECENT_ORDER)
+
+
+@register("duration_trends_report", O.DURATION_TRENDS_REPORT)
+def q_duration_trends_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir)
+    return _in_order(report(M.duration_trends(p.runs, p.cfg)), M.TREND_ORDER)
+
+
+@register("cluster_usage_report", O.CLUSTER_USAGE_REPORT)
+def q_cluster_usage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_order(report(M.cluster_usage(fixture(spark, sf_dir).runs)), M.CLUSTER_ORDER)
+
+
+@register("consolidated_mixed", O.CONSOLIDATED_MIXED)
+def q_consolidated_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs whose columns differ in case and width: ``id`` int in one and
+    ``ID`` bigint in another, ``weight`` float in one, double in the next and
+    absent in the last."""
+    logs = fixture_logs(spark, sf_dir)
+    weight = F.col("id") % 8 / F.lit(2)
+    narrow = replace(logs[0], df=logs[0].df.withColumn("weight", weight.cast("float")).withColumn("id", F.col("id").cast("int")))
+    upper = replace(logs[1], df=logs[1].df.withColumn("Weight", weight.cast("double")).withColumnRenamed("id", "ID"))
+    return report(_flat(consolidate([narrow, upper, logs[2]], fixture_config())))
+
+
+@register("published_tables", O.PUBLISHED_TABLES)
+def q_published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each published table, read back by name."""
+    names = refresh(spark, fixture_logs(spark, sf_dir), _store(spark, "published"), fixture_config(), views=False)
+    counts = [spark.table(name).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(key).alias("table_name"), "row_count") for key, name in names.items()]
+    return reduce(DataFrame.union, counts)
+
+
+@register("log_inventory_listed", O.LOG_INVENTORY)
+def q_log_inventory_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discovery without given catalogs: they are listed, system ones left
+    out, and filtered by a pattern."""
+    register_fixture_tables(spark, sf_dir)
+    cfg = fixture_config(catalog_filter="spark_cat.*", schema_filter=re.escape(FIXTURE_SCHEMA_PREFIX))
+    return inventory_with_counts(spark, discover(spark, cfg)).orderBy("catalog", "schema", "table")
 
 
 def queries() -> dict[str, Query]:

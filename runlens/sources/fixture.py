@@ -11,10 +11,21 @@ Log 1 lacks ``origin.batch_id`` and log 2 carries an extra top-level
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
+from runlens.config import Config
 from runlens.sources.logs import LogSource
 
+# The day after the last event of the test data.
+FIXTURE_AS_OF = dt.datetime(2024, 1, 31)
+
+
+def fixture_config(as_of: dt.datetime = FIXTURE_AS_OF, **settings) -> Config:
+    return Config(as_of, **settings)
+
+
 # Fixed values of the fixture rule (FIXTURES.md §2).
 N_PIPES = 12          # p = user_id % 12
 RUN_BUCKET = 96       # b = floor(event_id / 96)
@@ -74,7 +85,7 @@ def event_logs(events: DataFrame) -> list[LogSource]:
     logs = []
     for k in range(N_LOGS):
         catalog, schema, table = log_names(k)
-        df = events.where(f"user_id % {N_PIPES} % {N_LOGS} = {k}").selectExpr(*_log_exprs(k))
+        df = events.where(f"coalesce(user_id % {N_PIPES} % {N_LOGS}, 0) = {k}").selectExpr(*_log_exprs(k))
         logs.append(LogSource(catalog, schema, table, df))
     return logs
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens import schema as S
-from runlens.config import Config
+from runlens.config import THRESHOLDS, Config
 from runlens.sources.logs import LogSource, quote
 
 INVENTORY_SCHEMA = T.StructType(
@@ -80,14 +80,14 @@ def list_tables(spark: SparkSession, catalog: str, schema: str) -> list[str]:
 def discover(spark: SparkSession, cfg: Config | None = None) -> DataFrame:
     """Inventory of event-log tables: catalog, schema, table, full_name,
     status ('ok' / 'error'), reason."""
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     pattern = cfg.log_name_pattern.lower()
     rows = []
     for catalog in list_catalogs(spark, cfg):
         try:
             schemas = list_schemas(spark, catalog)
         except Exception as e:  # noqa: BLE001 - reported as a row
-            rows.append((catalog, "", "", catalog, "error", f"cannot list schemas: {str(e)[:200]}"))
+            rows.append((catalog, "", "", catalog, "error", f"cannot list schemas: {str(e)}"))
             continue
         for schema in schemas:
             if not _match(cfg.schema_filter, schema):
@@ -95,7 +95,7 @@ def discover(spark: SparkSession, cfg: Config | None = None) -> DataFrame:
             try:
                 tables = list_tables(spark, catalog, schema)
             except Exception as e:  # noqa: BLE001
-                rows.append((catalog, schema, "", f"{catalog}.{schema}", "error", f"cannot list tables: {str(e)[:200]}"))
+                rows.append((catalog, schema, "", f"{catalog}.{schema}", "error", f"cannot list tables: {str(e)}"))
                 continue
             for table in tables:
                 if pattern not in table.lower():
@@ -105,7 +105,7 @@ def discover(spark: SparkSession, cfg: Config | None = None) -> DataFrame:
                     spark.table(".".join(quote(p) for p in (catalog, schema, table))).schema  # analysis only
                     rows.append((catalog, schema, table, full, "ok", None))
                 except Exception as e:  # noqa: BLE001
-                    rows.append((catalog, schema, table, full, "error", str(e)[:200]))
+                    rows.append((catalog, schema, table, full, "error", str(e)))
     return spark.createDataFrame(rows, INVENTORY_SCHEMA)
 
 
@@ -119,18 +119,15 @@ def readable_logs(spark: SparkSession, inventory: DataFrame) -> list[LogSource]:
 
 
 def log_row_counts(logs: list[LogSource]) -> DataFrame:
-    """Row count of every log in one job (a union of global counts)."""
-    parts = [
-        log.df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(log.catalog).alias("catalog"),
-            F.lit(log.schema).alias("schema"),
-            F.lit(log.table).alias("table"),
-            F.lit(log.full_name).alias("full_name"),
-            "row_count",
-        )
-        for log in logs
-    ]
-    return reduce(DataFrame.union, parts)
+    """Row count of every log, empty ones included, in one job with one
+    exchange: a tagged union under one ``groupBy``."""
+    names = "catalog string, schema string, `table` string, full_name string"
+    spark = logs[0].df.sparkSession
+    known = spark.createDataFrame([(i, x.catalog, x.schema, x.table, x.full_name) for i, x in enumerate(logs)], f"_log int, {names}")
+    tagged = reduce(DataFrame.union, [x.df.select(F.lit(i).alias("_log"), F.lit(1).alias("_n")) for i, x in enumerate(logs)])
+    zeros = known.select("_log", F.lit(0).alias("_n"))
+    counts = tagged.union(zeros).groupBy("_log").agg(F.sum("_n").cast("long").alias("row_count"))
+    return known.join(counts, "_log").drop("_log")
 
 
 def inventory_with_counts(spark: SparkSession, inventory: DataFrame) -> DataFrame:

@@ -9,9 +9,11 @@ all its fields.  The union is then a plain n-ary ``Union`` of identically
 typed branches, so Catalyst pushes the time filter and the
 ``origin.pipeline_id IS NOT NULL`` filter into every log's scan.
 
-A type clash (e.g. ``id`` bigint in one log and string in another, or
-``origin`` a struct in one and a string in another) is raised up front as
-``SchemaClashError`` naming the logs, instead of failing mid-job.
+Columns are matched without regard to case, and types are widened where that
+loses nothing (int to bigint, float to double, decimals).  Any other clash
+(e.g. ``id`` bigint in one log and string in another, or ``origin`` a struct
+in one and a string in another) is raised up front as ``SchemaClashError``
+naming the logs, instead of failing mid-job.
 """
 
 from __future__ import annotations
@@ -54,99 +56,137 @@ def read_log(spark: SparkSession, catalog: str, schema: str, table: str) -> LogS
     return LogSource(catalog, schema, table, spark.table(name))
 
 
-def _same(a: T.DataType, b: T.DataType) -> bool:
-    return a == b or isinstance(a, T.NullType) or isinstance(b, T.NullType)
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def widened(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that holds all values of both without loss, or None."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    kinds = (type(a), type(b))
+    if all(k in _WHOLE for k in kinds):
+        return max((a, b), key=lambda t: _WHOLE.index(type(t)))
+    if set(kinds) == {T.FloatType, T.DoubleType}:
+        return T.DoubleType()
+    if set(kinds) <= {T.DateType, T.TimestampNTZType}:
+        return T.TimestampNTZType()
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    if T.DecimalType in kinds and all(k is T.DecimalType or k in digits for k in kinds):
+        whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else digits[type(t)] for t in (a, b))
+        scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in (a, b))
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+    if all(k in (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType) for k in kinds):
+        return T.DoubleType()  # 32 bits fit a double
+    return None
+
+
+class _Columns:
+    """Columns seen so far, in first-seen order; names without regard to case."""
+
+    def __init__(self, what: str):
+        self.what = what
+        self.seen: dict[str, tuple[str, T.DataType, str]] = {}
+
+    def add(self, name: str, kind: T.DataType, where: str) -> None:
+        key = name.lower()
+        if key not in self.seen:
+            self.seen[key] = (name, kind, where)
+            return
+        first, have, origin = self.seen[key]
+        wide = widened(have, kind)
+        if wide is None:
+            raise S.SchemaClashError(f"{self.what}{first} is {have.simpleString()} in {origin} but {kind.simpleString()} in {where}")
+        self.seen[key] = (first, wide, where if isinstance(have, T.NullType) else origin)
+
+    def fields(self) -> list[T.StructField]:
+        return [T.StructField(n, t, True) for n, t, _ in self.seen.values()]
 
 
 def common_schema(logs: list[LogSource]) -> T.StructType:
-    """Union of all columns (first-seen order); ``origin`` widened by field."""
-    top: dict[str, tuple[T.DataType, str]] = {}
-    origin: dict[str, tuple[T.DataType, str]] = {f: (T.StringType(), "declared") for f in S.ORIGIN_FIELDS}
+    """Union of all columns (first-seen order), types widened without loss;
+    ``origin`` widened field by field."""
+    top, origin = _Columns("column "), _Columns("origin.")
+    for f in S.ORIGIN_FIELDS:
+        origin.add(f, T.StringType(), "declared")
+    order: list[str] = []
     for log in logs:
         for fld in log.df.schema.fields:
-            if fld.name == "origin":
-                if not isinstance(fld.dataType, T.StructType):
-                    raise S.SchemaClashError(
-                        f"column origin is {fld.dataType.simpleString()} in {log.full_name}; a struct is required"
-                    )
-                for sub in fld.dataType.fields:
-                    if sub.name in S.ORIGIN_FIELDS:
-                        if isinstance(sub.dataType, (T.StructType, T.ArrayType, T.MapType)):
-                            raise S.SchemaClashError(
-                                f"origin.{sub.name} is {sub.dataType.simpleString()} in {log.full_name}; expected a scalar"
-                            )
-                        continue  # declared fields are read as strings
-                    seen = origin.get(sub.name)
-                    if seen is None or isinstance(seen[0], T.NullType):
-                        origin[sub.name] = (sub.dataType, log.full_name)
-                    elif not _same(seen[0], sub.dataType):
-                        raise S.SchemaClashError(
-                            f"origin.{sub.name} is {seen[0].simpleString()} in {seen[1]} "
-                            f"but {sub.dataType.simpleString()} in {log.full_name}"
-                        )
+            if fld.name.lower() not in order:
+                order.append(fld.name.lower())
+            if fld.name.lower() != "origin":
+                top.add(fld.name, fld.dataType, log.full_name)
                 continue
-            seen = top.get(fld.name)
-            if seen is None or isinstance(seen[0], T.NullType):
-                top[fld.name] = (fld.dataType, log.full_name)
-            elif not _same(seen[0], fld.dataType):
-                raise S.SchemaClashError(
-                    f"column {fld.name} is {seen[0].simpleString()} in {seen[1]} "
-                    f"but {fld.dataType.simpleString()} in {log.full_name}"
-                )
-    missing = [c for c in S.REQUIRED_COLUMNS if c != "origin" and c not in top]
+            if not isinstance(fld.dataType, T.StructType):
+                raise S.SchemaClashError(f"column origin is {fld.dataType.simpleString()} in {log.full_name}; a struct is required")
+            for sub in fld.dataType.fields:
+                if sub.name.lower() not in S.ORIGIN_FIELDS:
+                    origin.add(sub.name, sub.dataType, log.full_name)
+                elif isinstance(sub.dataType, (T.StructType, T.ArrayType, T.MapType)):  # declared fields are read as strings
+                    raise S.SchemaClashError(f"origin.{sub.name} is {sub.dataType.simpleString()} in {log.full_name}; expected a scalar")
+    missing = [c for c in S.REQUIRED_COLUMNS if c != "origin" and c not in top.seen]
     if missing:
         raise S.SchemaClashError(f"no log provides required column(s) {missing}")
     for name, allowed in S.REQUIRED_COLUMNS.items():
-        if name in top and not isinstance(top[name][0], (*allowed, T.NullType)):
-            raise S.SchemaClashError(
-                f"column {name} is {top[name][0].simpleString()} in {top[name][1]}; "
-                f"expected {' or '.join(a.typeName() for a in allowed)}"
-            )
-    fields = []
-    for name, (dtype, _) in top.items():
-        fields.append(T.StructField(name, dtype, True))
-    origin_type = T.StructType([T.StructField(n, t, True) for n, (t, _) in origin.items()])
-    # origin keeps its position if a log had it first, else goes last
-    names = [f.name for f in fields]
-    first_with_origin = next((i for i, log in enumerate(logs) if "origin" in log.df.columns), None)
-    if first_with_origin is not None:
-        pos = logs[first_with_origin].df.columns.index("origin")
-        before = [c for c in logs[first_with_origin].df.columns[:pos] if c in names]
-        at = max((names.index(c) + 1 for c in before), default=0)
-    else:
-        at = len(fields)
-    fields.insert(at, T.StructField("origin", origin_type, True))
-    return T.StructType(fields)
+        if name in top.seen and not isinstance(top.seen[name][1], (*allowed, T.NullType)):
+            _, kind, where = top.seen[name]
+            raise S.SchemaClashError(f"column {name} is {kind.simpleString()} in {where}; expected {' or '.join(a.typeName() for a in allowed)}")
+    fields = {f.name.lower(): f for f in top.fields()}
+    fields["origin"] = T.StructField("origin", T.StructType(origin.fields()), True)
+    # required columns go by their declared names
+    named = [T.StructField(key if key in S.REQUIRED_COLUMNS else f.name, f.dataType, True) for key, f in ((k, fields[k]) for k in [*order, *(["origin"] if "origin" not in order else [])])]
+    return T.StructType(named)
+
+
+def conforming_schema(table: T.StructType, batch: T.StructType) -> tuple[T.StructType, list[T.StructField]]:
+    """The table's schema with the batch's new columns, and these.  The batch
+    may have narrower types; wider ones, and new fields of ``origin``, would
+    change stored columns and need a full refresh."""
+    have = {f.name.lower(): f for f in table.fields}
+    new = []
+    for fld in batch.fields:
+        old = have.get(fld.name.lower())
+        if old is None:
+            new.append(fld)
+        elif fld.name.lower() == "origin":
+            extra = sorted({f.name.lower() for f in fld.dataType.fields} - {f.name.lower() for f in old.dataType.fields})
+            if extra:
+                raise ValueError(f"new logs add origin field(s) {extra}; run a full refresh to evolve the schema")
+        elif widened(old.dataType, fld.dataType) != old.dataType:
+            raise ValueError(f"column {old.name} is {old.dataType.simpleString()} in the table but {fld.dataType.simpleString()} in the new logs; run a full refresh")
+    return T.StructType([*table.fields, *new]), new
 
 
 def align(df: DataFrame, target: T.StructType) -> DataFrame:
-    """Project ``df`` onto ``target``: same order, missing columns and missing
-    ``origin`` fields as typed nulls, declared origin fields cast to string.
+    """Project ``df`` onto ``target``: same order and names, missing columns and
+    missing ``origin`` fields as typed nulls, others cast to the target's type.
     Written as one SQL select list, so building it costs one call."""
-    have = {f.name: f.dataType for f in df.schema.fields}
+    have = {f.name.lower(): f for f in df.schema.fields}
     exprs: list[str] = []
     for fld in target.fields:
-        q = quote(fld.name)
-        t = fld.dataType.simpleString()
+        q, t = quote(fld.name), fld.dataType.simpleString()
+        own = have.get(fld.name.lower())
         if fld.name == "origin":
-            sub_have = {f.name: f.dataType for f in have["origin"].fields} if "origin" in have else {}
+            sub_have = {f.name.lower(): f for f in own.dataType.fields} if own else {}
             parts = []
             for sub in fld.dataType.fields:
                 st = sub.dataType.simpleString()
-                if sub.name not in sub_have:
+                mine = sub_have.get(sub.name.lower())
+                if mine is None:
                     v = f"CAST(NULL AS {st})"
-                elif sub_have[sub.name] == sub.dataType:
-                    v = f"origin.{quote(sub.name)}"
                 else:
-                    v = f"CAST(origin.{quote(sub.name)} AS {st})"
-                parts.append(f"'{sub.name}', {v}")
+                    v = f"{quote(own.name)}.{quote(mine.name)}"
+                    v = v if mine.dataType == sub.dataType else f"CAST({v} AS {st})"
+                name = sub.name.replace("\\", "\\\\").replace("'", "\\'")
+                parts.append(f"'{name}', {v}")
             exprs.append(f"named_struct({', '.join(parts)}) AS origin")
-        elif fld.name not in have:
+        elif own is None:
             exprs.append(f"CAST(NULL AS {t}) AS {q}")
-        elif have[fld.name] != fld.dataType:
-            exprs.append(f"CAST({q} AS {t}) AS {q}")
+        elif own.dataType != fld.dataType:
+            exprs.append(f"CAST({quote(own.name)} AS {t}) AS {q}")
         else:
-            exprs.append(q)
+            exprs.append(f"{quote(own.name)} AS {q}")
     return df.selectExpr(*exprs)
 
 
@@ -174,7 +214,7 @@ def consolidate(logs: list[LogSource], cfg: Config) -> DataFrame:
         raise ValueError("no event logs to consolidate")
     target = common_schema(logs)
     ts_type = target["timestamp"].dataType
-    stamp = time_literal(cfg.as_of, T.TimestampNTZType())
+    stamp = time_literal(cfg.time, T.TimestampNTZType())
     parts = []
     for log in logs:
         df = with_source(log, align(log.df, target))

@@ -1,15 +1,9 @@
-"""Publishing results: tables (full overwrite, schema replaced) and views.
-
-``publish`` writes each result once.  The consolidated events table is
-partitioned by event date so later reads with a time filter prune whole
-folders.  The format is a parameter (a table format with MERGE needs its package on the
-classpath; parquet is the default here).
-"""
+"""Writing result tables (full overwrite, schema replaced) and temp views.
+The format is a parameter; parquet is the default."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from runlens.sources.logs import quote
 
@@ -30,28 +24,6 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: li
     w.saveAsTable(name)
 
 
-def publish(
-    spark: SparkSession,
-    results: dict[str, DataFrame],
-    database: str,
-    prefix: str = "evlog_",
-    fmt: str = "parquet",
-    location: str | None = None,
-) -> dict[str, str]:
-    """Write every result as ``database.{prefix}{key}``; returns key -> table."""
-    ensure_schema(spark, database, location)
-    names = {}
-    for key, df in results.items():
-        name = table_name(database, prefix, key)
-        part = None
-        if key == "consolidated_events" and "timestamp" in df.columns:
-            df = df.withColumn("event_date", F.to_date("timestamp"))
-            part = ["event_date"]
-        write_table(df, name, fmt, part)
-        names[key] = name
-    return names
-
-
 def register_views(results: dict[str, DataFrame], prefix: str = "evlog_") -> list[str]:
     """Temp views ``{prefix}{key}`` for SQL access; returns the view names."""
     names = []

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from runlens import schema as S
-from runlens.config import Config
+from runlens.config import THRESHOLDS, Config
 from runlens.operators.runs import finalize_runs, merge_run_state, run_state
 from runlens.session import materialize as checkpoint
 
@@ -41,7 +41,7 @@ def refresh_state(
     partials feed the touched keys of both joins and the merge; with
     ``materialize`` they are checkpointed once (one row per touched run), so
     the new events are folded once."""
-    cfg = cfg or Config()
+    cfg = cfg or THRESHOLDS
     fresh = run_state(new_enriched, cfg)
     if materialize:
         fresh = checkpoint(fresh)
@@ -54,5 +54,6 @@ def refresh_state(
 def incremental_runs(
     state: DataFrame, new_enriched: DataFrame, cfg: Config | None = None, materialize: bool = True
 ) -> DataFrame:
-    """Runs table after an incremental refresh (equals a full rebuild)."""
+    """Runs table (without arrays) after an incremental refresh; equals that
+    of a full rebuild."""
     return finalize_runs(refresh_state(state, new_enriched, cfg, materialize), cfg)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from runlens.config import Config
+from runlens.sources.fixture import fixture_config
 from runlens.session import new_scratch
 from runlens.sources.inventory import discover, inventory_by_catalog, log_row_counts, readable_logs
 from tests.conftest import make_log, run_of
@@ -29,7 +29,7 @@ def catalog(spark):
 
 
 def _inv(spark, **kw):
-    cfg = Config(target_catalogs=("spark_catalog",), schema_filter="invt", **kw)
+    cfg = fixture_config(target_catalogs=("spark_catalog",), schema_filter="invt", **kw)
     return {(r["schema"], r["table"]): r for r in discover(spark, cfg).collect()}
 
 
@@ -51,14 +51,14 @@ def test_unreadable_log_is_reported_not_dropped(spark, catalog):
 
 def test_schema_regex_is_start_anchored(spark, catalog):
     # Re.match semantics
-    cfg = Config(target_catalogs=("spark_catalog",), schema_filter="nvt")
+    cfg = fixture_config(target_catalogs=("spark_catalog",), schema_filter="nvt")
     assert discover(spark, cfg).count() == 0
-    cfg = Config(target_catalogs=("spark_catalog",), schema_filter="invt_b")
+    cfg = fixture_config(target_catalogs=("spark_catalog",), schema_filter="invt_b")
     assert {r["table"] for r in discover(spark, cfg).collect()} == {"pipeline_event_log_b"}
 
 
 def test_row_counts_in_one_job(spark, catalog):
-    inv = discover(spark, Config(target_catalogs=("spark_catalog",), schema_filter="invt"))
+    inv = discover(spark, fixture_config(target_catalogs=("spark_catalog",), schema_filter="invt"))
     logs = readable_logs(spark, inv)
     counts = log_row_counts(logs)
     assert {r["table"]: r["row_count"] for r in counts.collect()} == {
@@ -76,7 +76,7 @@ def test_row_counts_in_one_job(spark, catalog):
 def test_inventory_with_counts(spark, catalog):
     from runlens.sources.inventory import inventory_with_counts
 
-    inv = inventory_with_counts(spark, discover(spark, Config(target_catalogs=("spark_catalog",), schema_filter="invt")))
+    inv = inventory_with_counts(spark, discover(spark, fixture_config(target_catalogs=("spark_catalog",), schema_filter="invt")))
     got = {r["table"]: (r["status"], r["row_count"]) for r in inv.collect()}
     assert got["event_log_a"] == ("ok", 3)
     assert got["event_log_broken"] == ("error", None)
@@ -85,9 +85,9 @@ def test_inventory_with_counts(spark, catalog):
 def test_catalog_listing_excludes_system_catalogs(spark):
     from runlens.sources.inventory import list_catalogs
 
-    cats = list_catalogs(spark, Config())
+    cats = list_catalogs(spark, fixture_config())
     assert "spark_catalog" in cats and "system" not in cats
-    assert list_catalogs(spark, Config(catalog_filter="nomatch")) == []
+    assert list_catalogs(spark, fixture_config(catalog_filter="nomatch")) == []
 
 
 def test_identifiers_are_back_quoted():

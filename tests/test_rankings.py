@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from runlens.config import Config
+from runlens.sources.fixture import fixture_config
 from runlens.operators import ranking as R
 from runlens.operators import reports as X
 from runlens.operators.enrich import enrich
@@ -13,7 +13,7 @@ from runlens.operators.runs import pipeline_runs
 from runlens.sources.logs import consolidate
 from tests.conftest import T0, ev, make_log
 
-CFG = Config(as_of=dt.datetime(2024, 1, 31), days_back=None)
+CFG = fixture_config(as_of=dt.datetime(2024, 1, 31), days_back=None)
 
 
 def run_events(spark, specs):
@@ -39,15 +39,13 @@ def test_cluster_reliability_tie_breaks(spark):
         for _ in range(failed):
             specs.append((f"u{n}", n * 1000, 600, cluster, 1, "p1")); n += 1
 
-    add("c1", 2, 0)   # rate 1.0, 2 runs
-    add("c2", 3, 0)   # rate 1.0, 3 runs -> most reliable (more runs)
-    add("c3", 1, 1)   # rate 0.5, 2 runs
-    add("c4", 2, 2)   # rate 0.5, 4 runs -> least reliable (more runs)
-    add(None, 0, 5)   # no cluster: not ranked
-    r = R.cluster_reliability_rank(run_events(spark, specs)).collect()[0]
-    assert r["clusters"] == 4
-    assert (r["most_reliable_cluster"], r["most_reliable_runs"]) == ("c2", 3)
-    assert (r["least_reliable_cluster"], r["least_reliable_runs"]) == ("c4", 4)
+    add("c1", 2, 0)   # rate 1.0
+    add("c2", 3, 0)   # rate 1.0: after c1, by id
+    add("c3", 1, 1)   # rate 0.5
+    add("c4", 2, 2)   # rate 0.5
+    add(None, 0, 5)   # no cluster: rate 0, ranked too
+    got = {r["cluster_id"]: (r["most_reliable_rank"], r["least_reliable_rank"], r["runs_on_cluster"]) for r in R.cluster_reliability_rank(run_events(spark, specs)).collect()}
+    assert got == {"c1": (1, 5, 2), "c2": (2, 4, 3), "c3": (3, 3, 2), "c4": (4, 2, 4), None: (5, 1, 5)}
 
 
 def test_tukey_outliers(spark):

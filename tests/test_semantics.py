@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens import schema as S
-from runlens.config import Config
+from runlens.sources.fixture import fixture_config
 from runlens.operators import metrics as M
 from runlens.operators.enrich import enrich
+from runlens.operators.errors import error_messages, error_state
 from runlens.operators.runs import pipeline_runs
 from runlens.sources.logs import LogSource, consolidate
 from tests.conftest import LOG_T, ev, make_log, run_of
 
-CFG = Config(as_of=dt.datetime(2024, 1, 31), days_back=None)
+CFG = fixture_config(as_of=dt.datetime(2024, 1, 31), days_back=None)
 
 
 def runs_of(spark, *logs, cfg=CFG):
@@ -99,7 +100,7 @@ def test_all_null_error_messages(spark):
     runs = runs_of(spark, log).collect()
     assert runs[0]["error_messages"] == []
     ea = M.error_analysis(enrich(consolidate([log], CFG)), CFG).collect()[0]
-    assert ea["error_count"] == 3 and ea["sample_message"] is None and ea["sample_error_messages"] == []
+    assert ea["error_count"] == 3 and ea["sample_message"] is None
 
 
 def test_single_run_stddev_is_null(spark):
@@ -121,11 +122,11 @@ def test_cutoff_straddle(spark):
     ]
     rows[3] = rows[3][:1] + (None,) + rows[3][2:]
     log = make_log(spark, rows)
-    on = consolidate([log], Config(as_of=as_of, days_back=10))
+    on = consolidate([log], fixture_config(as_of=as_of, days_back=10))
     assert on.count() == 2
     for off in (0, None):
-        assert consolidate([log], Config(as_of=as_of, days_back=off)).count() == 4
-    run = pipeline_runs(enrich(on), Config(as_of=as_of, days_back=10)).collect()[0]
+        assert consolidate([log], fixture_config(as_of=as_of, days_back=off)).count() == 4
+    run = pipeline_runs(enrich(on), fixture_config(as_of=as_of, days_back=10)).collect()[0]
     assert run["run_start"] == cut
 
 
@@ -136,7 +137,7 @@ def test_recent_activity_day_edge(spark):
     d8 = dt.datetime(2024, 1, 23, 8)
     rows = [ev(0, 0, ts=d7, update_id="a"), ev(1, 0, ts=d7 + dt.timedelta(minutes=5), update_id="a")]
     rows += [ev(2, 0, ts=d8, update_id="b"), ev(3, 0, ts=d8 + dt.timedelta(minutes=5), update_id="b")]
-    cfg = Config(as_of=as_of, days_back=None)
+    cfg = fixture_config(as_of=as_of, days_back=None)
     ra = M.recent_activity(runs_of(spark, make_log(spark, rows), cfg=cfg), cfg).collect()
     assert [r["run_date"] for r in ra] == [dt.date(2024, 1, 24)]
 
@@ -197,20 +198,31 @@ def test_wrong_type_of_a_required_column_is_a_clear_error(spark):
         consolidate([log], CFG)
 
 
-def test_sample_messages_are_bounded_and_ordered(spark):
-    # at most N earliest messages per group, in time order
-    rows = [ev(i, 100 - i, level="ERROR", message=f"m{i:03d}") for i in range(30)]
-    cfg = Config(as_of=CFG.as_of, days_back=None, sample_messages=5)
-    ea = M.error_analysis(enrich(consolidate([make_log(spark, rows)], cfg)), cfg).collect()[0]
-    assert ea["sample_error_messages"] == ["m029", "m028", "m027", "m026", "m025"]
-    assert ea["sample_message"] == "m029" and ea["error_count"] == 30
+def test_every_message_is_kept(spark):
+    # all messages of a group, however many, with counts and times
+    rows = [ev(i, 100 - i, level="ERROR", message=f"m{i % 20:03d}") for i in range(30)]
+    enriched = enrich(consolidate([make_log(spark, rows)], CFG))
+    ea = M.error_analysis(enriched).collect()[0]
+    assert ea["sample_message"] == "m009" and ea["error_count"] == 30
+    got = {r["message"]: (r["error_count"], r["first_error"] <= r["last_error"]) for r in error_messages(error_state(enriched)).collect()}
+    assert got == {f"m{i:03d}": (2 if i < 10 else 1, True) for i in range(20)}
+
+
+def test_by_name_union_widens_and_ignores_case(spark):
+    wide = T.StructType([T.StructField("ID", T.LongType()) if f.name == "id" else T.StructField(f.name.upper(), f.dataType) if f.name == "level" else f for f in LOG_T.fields])
+    narrow = T.StructType([T.StructField("id", T.IntegerType()) if f.name == "id" else f for f in LOG_T.fields])
+    a = LogSource("c", "s", "a", spark.createDataFrame(run_of([0, 10]), narrow))
+    b = LogSource("c", "s", "b", spark.createDataFrame([(2**40, *ev(0, 5)[1:])], wide))
+    df = consolidate([a, b], CFG)
+    assert [c.lower() for c in df.columns].count("id") == 1 and df.schema["id"].dataType == T.LongType() and "level" in df.columns
+    assert sorted(r["id"] for r in df.collect()) == [0, 1, 2**40]
 
 
 def test_exclude_null_updates_drops_only_that_run(spark):
     rows = [ev(i, i * 10, update_id=None) for i in range(3)] + [ev(10 + i, i * 10, update_id="u1") for i in range(3)]
     log = make_log(spark, rows)
     keep = runs_of(spark, log).collect()
-    cfg = Config(as_of=CFG.as_of, days_back=None, exclude_null_updates=True)
+    cfg = fixture_config(as_of=CFG.as_of, days_back=None, exclude_null_updates=True)
     drop = runs_of(spark, log, cfg=cfg).collect()
     assert sorted(r["update_id"] or "" for r in keep) == ["", "u1"]
     assert [r["update_id"] for r in drop] == ["u1"]

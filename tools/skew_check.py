@@ -24,7 +24,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from pyspark.sql import functions as F
 
-    from runlens.config import Config
+    from runlens.sources.fixture import fixture_config
     from runlens.operators import metrics as M
     from runlens.operators import ranking as R
     from runlens.plans.pipeline import Pipeline
@@ -64,13 +64,13 @@ def main() -> None:
         )
         for l in fixture_logs(spark, sf_dir)
     ]
-    cfg = Config()
+    cfg = fixture_config()
     p = Pipeline(logs, cfg)
     total = p.consolidated.count()
     hot_events = p.enriched.filter(F.col("pipeline_id") == "p_hot").count()
     for name, df in (
         ("run_fold", p.runs),
-        ("error_analysis", M.error_analysis(p.enriched, cfg, materialize=True)),
+        ("error_analysis", M.error_analysis(p.enriched, cfg)),
         ("alerts", R.alert_candidates(p.runs, cfg)),
     ):
         spark.sparkContext.setJobDescription(name)

@@ -157,7 +157,10 @@ def _shared_texts(docs: DataFrame, rows: DataFrame, hot: int) -> DataFrame:
     places = _places(rows)
     place = F.xxhash64("tid", "at")
     twice = places.groupBy("anchor").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count(F.lit(1)).alias("n")).where("low != high")
-    found = places.join(twice.select("anchor", (F.col("n") > hot).cast("int").alias("hot")), "anchor")
+    # written, so that both sides of the join come from shuffles of their own
+    # and Spark can split the partition of a hot anchor
+    twice = written(twice.select("anchor", (F.col("n") > hot).cast("int").alias("hot")), "repeat-anchors")
+    found = places.join(twice, "anchor")
     of_text = found.groupBy("tid").agg(F.collect_set((2 * F.col("at").cast("long") + F.col("hot"))).alias("places"))
     once = docs.select(F.xxhash64("text").alias("tid"), "text").groupBy("tid").agg(F.first("text").alias("text"))
     return once.join(of_text, "tid")

@@ -16,8 +16,12 @@ blocks of columns:
   again after the shuffle: a block that a third of all rows share sends one
   row from each batch.  The overlap of each tied pair is counted from the two
   rows of the matrix; pairs below the size-derived overlap are discarded.
+- At lower thresholds blocks would be small, and small blocks agree by chance.
+  There the keys are a row's rarest n-grams, by counters over all documents: as
+  many that two rows which reach t must share one of them.  Passages that many
+  documents share stay out of the keys of all but those made of them.
 - Rows that are tied, but end in several components of links, are multiplied
-  in full: sorted by component of ties and size, cut in blocks of rows, and
+  in full: sorted by component of ties (with rare keys: by key) and size, cut in blocks of rows, and
   each two blocks that share such a component and whose sizes can meet are
   multiplied column block by column block.  Counts accumulate in the product;
   only links leave it, so no link between different rows is lost and no pair
@@ -48,6 +52,10 @@ from runlens.llm.tables import id_and_text, map_batches, written
 ENTRIES = 1 << 20
 # Blocks are shuffled in so many groups for each shuffle partition.
 GROUPS = 4
+# Blocks must hold so many n-grams on average; else rare n-grams are the keys.
+BLOCK_NGRAMS = 8
+# Counters of n-grams (4 bytes each): 2 ** SKETCH_BITS, sent in parts.
+SKETCH_BITS, SKETCH_PARTS = 20, 64
 # Rows and columns of the dense blocks that are multiplied.
 BLOCK_ROWS = 256
 BLOCK_COLUMNS = 4096
@@ -58,6 +66,11 @@ class Similarity:
     n: int = 3  # words in an n-gram
     percent: int = 90  # of the union that two documents must share
 
+    @property
+    def in_blocks(self) -> bool:
+        """Whether blocks hold enough n-grams to tell rows apart."""
+        return (100 + self.percent) / (2 * (100 - self.percent)) >= BLOCK_NGRAMS if self.percent < 100 else True
+
 
 @lru_cache(maxsize=8)
 def _levels(percent: int, most: int) -> tuple[tuple[int, int], ...]:
@@ -102,10 +115,52 @@ def block_keys(row: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+def rare_keys(row: np.ndarray, percent: int, counts: np.ndarray) -> np.ndarray:
+    """The row's n-grams with the lowest counts (ties by hash), as many that
+    two rows which reach the threshold must share one: both hold the share of
+    the longer, so neither can leave out more than the rest."""
+    n = len(row)
+    order = np.lexsort((row, counts[row >> np.uint64(64 - SKETCH_BITS)]))
+    return row[order[: n - -(-percent * n // 100) + 1]]
+
+
+def _counts(docs: DataFrame, like: Similarity) -> np.ndarray:
+    """How many rows hold n-grams of each of 2 ** SKETCH_BITS hash ranges.
+    Only the order of keys follows from it, never a result."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+        for batch in batches:
+            for part in A.chunks(batch):
+                sets = [x for x in ngram_sets(part.column(0), like.n) if len(x)]
+                if sets:
+                    at, n = np.unique(np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS), return_counts=True)
+                    local[at.astype(np.int64)] += n.astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([x.tobytes() for x in np.split(local, SKETCH_PARTS)], pa.binary())], names=["part", "packed"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                values = np.frombuffer(packed, dtype=np.uint32)
+                total[part] = total[part] + values if part in total else values
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "packed"])
+
+    local = map_batches(docs.select("text"), count, "part int, packed binary")
+    summed = map_batches(local.repartition("part"), add, "part int, packed binary").collect()  # 4 bytes a counter
+    out = {r["part"]: np.frombuffer(r["packed"], dtype=np.uint32) for r in summed}
+    empty = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, dtype=np.uint32)
+    return np.concatenate([out.get(i, empty) for i in range(SKETCH_PARTS)])
+
+
 def _class_rows(docs: DataFrame, like: Similarity) -> DataFrame:
     """doc_id, a hash of the text, n_shingles, class (null without words) and its block keys
     (null where the task has given those of the class already)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    counts = None if like.in_blocks else _counts(docs, like)
+
+    def keys_of(row: np.ndarray) -> bytes:
+        return (block_keys(row, like.percent) if counts is None else rare_keys(row, like.percent, counts)).tobytes()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
@@ -116,7 +171,7 @@ def _class_rows(docs: DataFrame, like: Similarity) -> DataFrame:
                 for x in sets:
                     c = int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) if len(x) else None
                     classes.append(c)
-                    keys.append(None if c is None or c in given else block_keys(x, like.percent).tobytes())
+                    keys.append(None if c is None or c in given else keys_of(x))
                     given.add(c)
                 if len(given) > ENTRIES:
                     given.clear()
@@ -247,6 +302,20 @@ def _members(labels: DataFrame, ties: DataFrame, sets: DataFrame) -> DataFrame:
     return written(rows.withColumn("block", F.expr(f"n div {BLOCK_ROWS}")).drop("n"), "ngram-blocks")
 
 
+def _members_by_key(labels: DataFrame, ties: DataFrame, sets: DataFrame) -> DataFrame:
+    """The same by rare n-gram: rows that share it are compared with each
+    other alone.  N-grams of two rows have been counted already; of those that
+    the same rows share, one stands for all."""
+    both = ties.select("key", F.inline(F.array(F.struct(F.col("a").alias("class")), F.struct(F.col("b").alias("class"))))).distinct()
+    linked = labels.withColumnRenamed("node", "class")
+    labelled = both.join(linked, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    of_key = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
+    split = of_key.where("n > 2 and low != high").groupBy("n", "rows").agg(F.min("key").alias("key"))
+    sized = labelled.join(split.select("key"), "key").join(sets.select("class", F.expr("length(row) div 8").alias("size")), "class")
+    rows, _ = numbered(sized.select(F.col("key").alias("tie"), "size", "class", "label"), "n")
+    return written(rows.withColumn("block", F.expr(f"n div {BLOCK_ROWS}")).drop("n"), "ngram-blocks")
+
+
 def _product(members: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
     """(u, v): links between components, by the product of each two blocks of
     rows that share a component of ties and whose sizes can meet."""
@@ -320,7 +389,10 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     counted = written(_linked(pairs, sets, like), "ngram-links")
     links = counted.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = components(links)
-    members = _members(labels, components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), sets)
+    if like.in_blocks:
+        members = _members(labels, components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), sets)
+    else:
+        members = _members_by_key(labels, ties, sets)
     rest = written(_product(members, sets, like), "ngram-rest")
     if not rest.isEmpty():  # components found so far are stars, which new links join
         labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(rest))

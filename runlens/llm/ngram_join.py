@@ -153,11 +153,24 @@ def _counts(docs: DataFrame, like: Similarity) -> np.ndarray:
     return np.concatenate([out.get(i, empty) for i in range(SKETCH_PARTS)])
 
 
-def _class_rows(docs: DataFrame, like: Similarity) -> DataFrame:
+def _may_reach(shared, sizes: tuple, prefixes: tuple, lasts: tuple, percent: int):
+    """Whether rows whose rarest n-grams share so many can reach the threshold.
+    The row whose prefix ends first has no shared n-gram in it beyond these,
+    so the overlap is at most those and the rest of that row."""
+    rest = [n - p for n, p in zip(sizes, prefixes, strict=True)]
+    most = np.where(lasts[0] < lasts[1], rest[0], np.where(lasts[1] < lasts[0], rest[1], np.maximum(*rest)))
+    return (100 + percent) * (shared + most) >= percent * (sizes[0] + sizes[1])
+
+
+def _last(row: np.ndarray, counts: np.ndarray) -> int:
+    """Place of a prefix's last n-gram in the order of keys."""
+    return int(counts[row[-1] >> np.uint64(64 - SKETCH_BITS)]) << 32 | int(row[-1] >> np.uint64(32))
+
+
+def _class_rows(docs: DataFrame, like: Similarity, counts: np.ndarray | None) -> DataFrame:
     """doc_id, a hash of the text, n_shingles, class (null without words) and its block keys
     (null where the task has given those of the class already)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    counts = None if like.in_blocks else _counts(docs, like)
 
     def keys_of(row: np.ndarray) -> bytes:
         return (block_keys(row, like.percent) if counts is None else rare_keys(row, like.percent, counts)).tobytes()
@@ -272,6 +285,26 @@ def _linked(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
     return map_batches(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "row_a", "row_b"), rows, "a long, b long, linked boolean")
 
 
+def _bounded(pairs: DataFrame, prefixes: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame:
+    """The pairs whose rarest n-grams leave the threshold within reach."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in A.chunks(whole, "row_a")):
+            keep = []
+            for x, y, n, m in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
+                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                both = np.sort(np.concatenate([x, y]))
+                shared = int((both[1:] == both[:-1]).sum())
+                fits = 100 * min(n, m) >= like.percent * max(n, m)
+                keep.append(fits and bool(_may_reach(shared, (n, m), (len(x), len(y)), (_last(x, counts), _last(y, counts)), like.percent)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = prefixes.select(F.col("class").alias("a"), F.col("row").alias("row_a"), F.col("size").alias("size_a"))
+    right = prefixes.select(F.col("class").alias("b"), F.col("row").alias("row_b"), F.col("size").alias("size_b"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "row_a", "row_b", "size_a", "size_b")
+    return map_batches(joined, rows, "a long, b long")
+
+
 def _sets(classes: DataFrame, rows: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
     """(class, row): the n-grams of the given classes, from one document of
     each.  Ids may repeat or be null, so each text's class is taken anew."""
@@ -302,7 +335,7 @@ def _members(labels: DataFrame, ties: DataFrame, sets: DataFrame) -> DataFrame:
     return written(rows.withColumn("block", F.expr(f"n div {BLOCK_ROWS}")).drop("n"), "ngram-blocks")
 
 
-def _members_by_key(labels: DataFrame, ties: DataFrame, sets: DataFrame) -> DataFrame:
+def _members_by_key(labels: DataFrame, ties: DataFrame, prefixes: DataFrame) -> DataFrame:
     """The same by rare n-gram: rows that share it are compared with each
     other alone.  N-grams of two rows have been counted already; of those that
     the same rows share, one stands for all."""
@@ -311,21 +344,22 @@ def _members_by_key(labels: DataFrame, ties: DataFrame, sets: DataFrame) -> Data
     labelled = both.join(linked, "class", "left").withColumn("label", F.coalesce("label", "class"))
     of_key = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
     split = of_key.where("n > 2 and low != high").groupBy("n", "rows").agg(F.min("key").alias("key"))
-    sized = labelled.join(split.select("key"), "key").join(sets.select("class", F.expr("length(row) div 8").alias("size")), "class")
+    sized = labelled.join(split.select("key"), "key").join(prefixes.select("class", "size"), "class")
     rows, _ = numbered(sized.select(F.col("key").alias("tie"), "size", "class", "label"), "n")
     return written(rows.withColumn("block", F.expr(f"n div {BLOCK_ROWS}")).drop("n"), "ngram-blocks")
 
 
-def _product(members: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+def _product(members: DataFrame, sets: DataFrame, like: Similarity, counts: np.ndarray | None = None) -> DataFrame:
     """(u, v): links between components, by the product of each two blocks of
-    rows that share a component of ties and whose sizes can meet."""
+    rows that share a component of ties and whose sizes can meet.  With counts
+    the rows are prefixes of rare n-grams, and the pairs those that may link."""
     spans = members.groupBy("tie", "block").agg(F.min("size").alias("least"), F.max("size").alias("most"))
     x, y = (spans.select("tie", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "least", "most")]) for s in "xy")
     near = (F.col("block_x") <= F.col("block_y")) & (100 * F.col("most_x") >= like.percent * F.col("least_y"))
     pairs = x.join(y, "tie").where(near).select(F.col("block_x").alias("x"), F.col("block_y").alias("y")).distinct()
     rows = members.join(sets, "class")
-    left = pairs.join(rows, F.col("x") == F.col("block")).select("x", "y", F.lit(0).alias("side"), "class", "tie", "label", "row")
-    right = pairs.where("x != y").join(rows, F.col("y") == F.col("block")).select("x", "y", F.lit(1).alias("side"), "class", "tie", "label", "row")
+    left = pairs.join(rows, F.col("x") == F.col("block")).select("x", "y", F.lit(0).alias("side"), "class", "tie", "label", "size", "row")
+    right = pairs.where("x != y").join(rows, F.col("y") == F.col("block")).select("x", "y", F.lit(1).alias("side"), "class", "tie", "label", "size", "row")
 
     def links(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held).combine_chunks()
@@ -346,8 +380,13 @@ def _product(members: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame
             dense = np.zeros((len(sets_), BLOCK_COLUMNS), dtype=np.float32)
             dense[row[i:j], column[i:j] - low] = 1
             overlap += dense[a] @ dense[b].T
-        total = sizes[a][:, None] + sizes[b][None, :]
-        good = (100 * overlap >= like.percent * (total - overlap)) & (tie[a][:, None] == tie[b][None, :]) & (label[a][:, None] != label[b][None, :])
+        if counts is None:
+            reach = 100 * overlap >= like.percent * (sizes[a][:, None] + sizes[b][None, :] - overlap)
+        else:
+            full = t.column("size").to_numpy().astype(np.int64)
+            last = np.array([_last(r, counts) for r in sets_], dtype=np.int64)
+            reach = _may_reach(overlap, (full[a][:, None], full[b][None, :]), (sizes[a][:, None], sizes[b][None, :]), (last[a][:, None], last[b][None, :]), like.percent)
+        good = reach & (tie[a][:, None] == tie[b][None, :]) & (label[a][:, None] != label[b][None, :]) & (node[a][:, None] != node[b][None, :])
         u, v = np.nonzero(good)
         return pa.RecordBatch.from_arrays([pa.array(node[a][u]), pa.array(node[b][v])], names=["u", "v"])
 
@@ -381,19 +420,31 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     which is null if no row in it has an id.
     """
     docs = id_and_text(docs, id_col, text_col)
-    rows = written(_class_rows(docs, like), "ngram-rows")
+    counts = None if like.in_blocks else _counts(docs, like)
+    rows = written(_class_rows(docs, like, counts), "ngram-rows")
     ties = written(_ties(rows), "ngram-ties")
     pairs = ties.select("a", "b").distinct()
-    classes = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    sets = written(_sets(classes, rows, docs, like), "ngram-sets")
-    counted = written(_linked(pairs, sets, like), "ngram-links")
-    links = counted.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    labels = components(links)
+
+    def linked(of: DataFrame, sets: DataFrame) -> DataFrame:
+        return written(_linked(of, sets, like).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-links")
+
+    def rows_of(of: DataFrame) -> DataFrame:
+        classes = of.select(F.col("a").alias("class")).union(of.select(F.col("b").alias("class"))).distinct()
+        return written(_sets(classes, rows, docs, like), "ngram-sets")
+
     if like.in_blocks:
+        sets = rows_of(pairs)
+        labels = components(linked(pairs, sets))
         members = _members(labels, components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), sets)
+        rest = written(_product(members, sets, like), "ngram-rest")
     else:
-        members = _members_by_key(labels, ties, sets)
-    rest = written(_product(members, sets, like), "ngram-rest")
+        own = rows.where("length(keys) > 0").select("class", F.col("keys").alias("row"), F.col("n_shingles").alias("size"))
+        prefixes = written(own.dropDuplicates(["class"]), "ngram-prefixes")
+        pairs = written(_bounded(pairs, prefixes, like, counts), "ngram-pairs")
+        labels = components(linked(pairs, rows_of(pairs)))
+        members = _members_by_key(labels, ties, prefixes)
+        pairs = written(_product(members, prefixes.drop("size"), like, counts).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "ngram-pairs")
+        rest = linked(pairs, rows_of(pairs))
     if not rest.isEmpty():  # components found so far are stars, which new links join
         labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(rest))
     ids = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("__first"))

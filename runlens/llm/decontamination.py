@@ -7,12 +7,17 @@ of `window` template tokens are hash-joined, so an item is found however its
 numbers and names are changed.  Joined windows are compared in full, and their
 slots are checked along each alignment: a value of the item must have the same
 counterpart wherever it comes up, else the alignment is no re-parameterised
-copy and is dropped.
+copy and is dropped.  Windows with fewer than `literals` plain tokens say too
+little and are no templates; an item of fewer than `window` tokens is one
+window of its own length.
+
+What is a name depends on case and spacing, and a copy may keep some values and
+change others, so windows are also hash-joined by their plain words, with no
+slots and no case.
 
 A document leaks an item if it holds `share_percent` of the item's windows, or
-`run` tokens' worth of them.  Windows with fewer than `literals` plain tokens
-say too little and are not used; an item of fewer than `window` tokens is one
-window of its own length.
+`run` tokens' worth of them, by templates alone (`duck_sql` has these rows) or
+else by windows of either kind.  Figures are those of the way that told.
 """
 
 from __future__ import annotations
@@ -49,6 +54,7 @@ AFTER = [
     (f"[^\\p{{L}}0-9{NAME}-{POINT}]+", " "),
 ]
 SLOT = (f"([{NAME}-{UNIT}])[^ ]+", "$1")
+MARKS = f"('{NAME}', '{NUMBER}', '{UNIT}')"
 
 
 @dataclass(frozen=True)
@@ -78,18 +84,45 @@ def _tokens(rows: DataFrame) -> DataFrame:
     return with_marks.select(*kept, F.inline(F.array(both)))
 
 
-def _windows(size: int) -> str:
-    return f"if(size(shape) >= {size}, transform(sequence(1, size(shape) - {size - 1}), i -> xxhash64(slice(shape, i, {size}))), array())"
+def plain(words: Column) -> Column:
+    """Marked tokens without marks, as any case of the text gives them."""
+    return F.replace(F.translate(words, f"ς{NAME}{NUMBER}{UNIT}", "σ"), F.lit("ß"), F.lit("ss"))
+
+
+def _hash(token: Column) -> Column:
+    return F.xxhash64(token)
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    """_tokens, with the hash of each token's shape and of its plain word."""
+    tokens = _tokens(rows)
+    plain_words = F.split(plain(F.array_join("words", " ")), " ")
+    hashes = F.struct(F.transform("shape", _hash).alias("shape_hash"), F.transform(plain_words, _hash).alias("plain_hash"))
+    return tokens.select(*tokens.columns, F.inline(F.array(hashes)))
+
+
+def _windows(size: int, by_shape: bool) -> str:
+    """Keys of all windows of the size: by plain words, or by shape, null
+    where that says the same (no slots)."""
+    key = f"xxhash64(slice(plain_hash, i, {size}))"
+    if by_shape:
+        key = f"if(slice(shape_hash, i, {size}) = slice(plain_hash, i, {size}), null, xxhash64(slice(shape_hash, i, {size})))"
+    return f"if(size(shape) >= {size}, transform(sequence(1, size(shape) - {size - 1}), i -> {key}), array())"
 
 
 def item_windows(items: DataFrame, how: Template) -> DataFrame:
-    """(key, item_id, at, size, n_windows, item_words, item_shape)."""
+    """(key, by_shape, item_id, at, size, telling, n_telling, n_windows,
+    item_words, item_shape, item_plain): windows by their plain words, and
+    those that are templates with slots by their shape too."""
     own = _tokens(items.select("item_id", "text").distinct()).withColumn("size", F.least(F.lit(how.window), F.size("shape")))
     each = own.select("item_id", "size", "words", "shape", F.explode(F.expr("sequence(1, size(shape) - size + 1)")).alias("at"))
     cut = each.select("item_id", "at", "size", F.expr("slice(words, at, size)").alias("item_words"), F.expr("slice(shape, at, size)").alias("item_shape"))
-    telling = cut.where(F.expr(f"size(filter(item_shape, x -> x != '' and x not in ('{NAME}', '{NUMBER}', '{UNIT}'))) >= least({how.literals}, size)"))
-    counts = telling.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
-    return telling.join(counts, "item_id").withColumn("key", F.expr("xxhash64(item_shape)"))
+    telling = F.expr(f"size(filter(item_shape, x -> x != '' and x not in {MARKS})) >= least({how.literals}, size)")
+    full = cut.where("item_shape != array('')").withColumns({"telling": telling, "item_plain": plain(F.array_join("item_words", " "))}).where("telling")
+    counts = full.groupBy("item_id").agg(F.count_distinct(F.when(F.col("telling"), F.col("at"))).alias("n_telling"), F.count_distinct("at").alias("n_windows"))
+    ways = full.join(counts, "item_id").withColumn("by_shape", F.explode(F.array(F.lit(False), F.lit(True))))
+    of = F.when(F.col("by_shape"), F.col("item_shape")).otherwise(F.split("item_plain", " "))
+    return ways.where("not by_shape or telling and array_join(item_shape, ' ') != item_plain").withColumn("key", F.xxhash64(F.transform(of, _hash)))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, how: Template = Template(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
@@ -105,34 +138,57 @@ def leaks(docs: DataFrame, benchmark: DataFrame, how: Template = Template(), id_
     theirs = materialize(item_windows(items, how))
     n, sizes = theirs.agg(F.count(F.lit(1)), F.collect_set("size")).first()
     # one size for all but items that are shorter than a window
-    ours = _tokens(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")).withColumn("keys", F.expr("flatten(array(" + ", ".join(_windows(s) for s in sorted(sizes) or [how.window]) + "))"))
-    first = F.lit(0)
-    place, size = F.col("place"), F.col("size")
-    for s in sorted(sizes):  # where windows of the row's size begin among the keys
-        first = first + F.when(F.lit(s) < size, F.greatest(F.lit(0), F.size("shape") - (s - 1))).otherwise(0)
-    each = ours.select("doc_id", "text_key", "words", "shape", F.posexplode("keys").alias("place", "key"))
+    parts = [(s, by_shape) for by_shape in (False, True) for s in sorted(sizes) or [how.window]]
+    ours = _hashed(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")).withColumn("keys", F.expr("flatten(array(" + ", ".join(_windows(*x) for x in parts) + "))"))
+    first, starts = F.lit(0), []
+    for s, _ in parts:  # where windows of each kind begin among the keys
+        starts.append(first)
+        first = first + F.greatest(F.lit(0), F.size("shape") - (s - 1))
+    each = ours.select("doc_id", "text_key", "words", "shape", F.posexplode("keys").alias("place", "key")).where("key is not null")
+    of_pair = ["doc_id", "text_key", "item_id", "n_telling", "n_windows"]
     # Rows leave the generated code with the words of a window alone, never
     # with those of the text: the join streams through a broadcast table, or
-    # comes after the cut.  `inline` keeps the lambda below out of that code.
+    # comes after the cut.  `inline` keeps the lambdas below out of that code.
+    own = [F.expr(f"slice({c}, begin, size)").alias(f"own_{c}") for c in ("words", "shape")]
     if n <= how.broadcast_rows:
-        joined = each.join(F.broadcast(theirs), "key").withColumn("begin", place - first + 1)
-        same = joined.where(F.expr("slice(shape, begin, size) = item_shape"))
-        found = same.select("doc_id", "text_key", "item_id", "n_windows", "at", "begin", "item_words", F.inline(F.array(F.struct(F.expr("slice(words, begin, size)").alias("own_words")))))
+        start = F.coalesce(*(F.when((F.col("size") == s) & (F.col("by_shape") == by_shape), at) for (s, by_shape), at in zip(parts, starts, strict=True)))
+        joined = each.join(F.broadcast(theirs), "key").withColumn("begin", F.col("place") - start + 1)
+        found = joined.select(*of_pair, "at", "begin", "telling", "item_words", "item_shape", "item_plain", F.inline(F.array(F.struct(*own))))
     else:
-        by_size = [each.withColumn("size", F.lit(s)).withColumn("begin", place - first + 1).where(F.expr(f"begin between 1 and size(shape) - {s - 1}")) for s in sorted(sizes)]
-        cut = [x.select("doc_id", "text_key", "key", "size", "begin", F.expr("slice(words, begin, size)").alias("own_words"), F.expr("slice(shape, begin, size)").alias("own_shape")) for x in by_size]
-        found = reduce(DataFrame.union, cut).join(theirs, ["key", "size"]).where("own_shape = item_shape").select("doc_id", "text_key", "item_id", "n_windows", "at", "begin", "item_words", "own_words")
-    slots = F.expr(f"filter(zip_with(item_words, own_words, (x, y) -> named_struct('a', x, 'b', y)), x -> substr(x.a, 1, 1) in ('{NAME}', '{NUMBER}', '{UNIT}'))")
-    hits = found.select("doc_id", "text_key", "item_id", "n_windows", "at", (F.col("begin") - F.col("at")).alias("shift"), slots.alias("slots"))
-    along = hits.groupBy("doc_id", "text_key", "item_id", "n_windows", "shift").agg(F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs"))
-    sound = along.where(F.expr("size(pairs) = size(array_distinct(transform(pairs, x -> x.a)))"))
-    of_pair = sound.groupBy("doc_id", "text_key", "item_id", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).cast("long").alias("n_matched"),
-        F.sum(F.size("pairs")).alias("n_slots"),
-        F.sum(F.expr("size(filter(pairs, x -> x.a != x.b))")).alias("n_changed"),
+        by_part = [each.withColumns({"size": F.lit(s), "by_shape": F.lit(by_shape), "begin": F.col("place") - at + 1}).where(F.expr(f"begin between 1 and size(shape) - {s - 1}")) for (s, by_shape), at in zip(parts, starts, strict=True)]
+        cut = [x.select("doc_id", "text_key", "key", "size", "by_shape", "begin", *own) for x in by_part]
+        found = reduce(DataFrame.union, cut).join(theirs, ["key", "size", "by_shape"])
+    literal = plain(F.array_join("own_words", " ")) == F.col("item_plain")
+    slots = F.expr(f"filter(zip_with(item_words, own_words, (x, y) -> named_struct('a', x, 'b', y)), x -> substr(x.a, 1, 1) in {MARKS})")
+    hits = found.select(*of_pair, "at", (F.col("begin") - F.col("at")).alias("shift"), slots.alias("slots"), literal.alias("literal"), F.expr("telling and own_shape = item_shape").alias("template"))
+    kinds = {"template": F.col("template"), "literal": F.col("literal"), "changed": F.col("template") & ~F.col("literal")}
+    along = hits.groupBy(*of_pair, "shift").agg(*(f for k, v in kinds.items() for f in (F.collect_set(F.when(v, F.col("at"))).alias(f"{k}_ats"), F.array_distinct(F.flatten(F.collect_set(F.when(v, F.col("slots"))))).alias(f"{k}_pairs"))))
+    sound = {k: F.expr(f"size({k}_pairs) = size(array_distinct(transform({k}_pairs, x -> x.a)))") for k in ("template", "changed")}
+    same = F.expr("array_distinct(transform(literal_pairs, x -> named_struct('a', x.a, 'b', x.a)))")
+    both_pairs = F.array_union(same, F.col("changed_pairs"))
+    sound_either = F.size(both_pairs) == F.size(F.array_distinct(F.transform(both_pairs, lambda x: x["a"])))
+    ways = along.select(
+        *of_pair,
+        *(F.when(sound["template"], F.col(f"template_{x}")).otherwise(F.slice(f"template_{x}", 1, 0)).alias(f"template_{x}") for x in ("ats", "pairs")),
+        *(F.when(sound_either, F.array_union(y, F.col(f"changed_{x}"))).otherwise(F.slice(y, 1, 0)).alias(f"either_{x}") for x, y in (("ats", F.col("literal_ats")), ("pairs", same))),
+    )
+    counts = ways.groupBy(*of_pair).agg(
+        *(
+            F.struct(
+                F.size(F.array_distinct(F.flatten(F.collect_list(f"{k}_ats")))).cast("long").alias("n_matched"),
+                F.sum(F.size(f"{k}_pairs")).alias("n_slots"),
+                F.sum(F.expr(f"size(filter({k}_pairs, x -> x.a != x.b))")).alias("n_changed"),
+            ).alias(k)
+            for k in ("template", "either")
+        )
     )
-    enough = (100 * F.col("n_matched") >= how.share_percent * F.col("n_windows")) | (F.col("n_matched") >= how.run - how.window + 1)
-    return of_pair.where(enough).withColumn("kind", F.when(F.col("n_changed") > 0, "template").otherwise("verbatim"))
+    enough = []
+    for k, n in (("template", "n_telling"), ("either", "n_windows")):
+        m = F.col(f"{k}.n_matched")
+        figures = F.struct(F.col(n).alias("n_windows"), *(F.col(f"{k}.{x}").alias(x) for x in ("n_matched", "n_slots", "n_changed")))
+        enough.append(F.when((m > 0) & ((100 * m >= how.share_percent * F.col(n)) | (m >= how.run - how.window + 1)), figures))
+    leaked = counts.select("doc_id", "text_key", "item_id", F.coalesce(*enough).alias("told")).where("told is not null").select("doc_id", "text_key", "item_id", "told.*")
+    return leaked.withColumn("kind", F.when(F.col("n_changed") > 0, "template").otherwise("verbatim"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, how: Template = Template(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,7 +13,7 @@ window of its own length.
 
 What is a name depends on case and spacing, and a copy may keep some values and
 change others, so windows are also hash-joined by their plain words, with no
-slots and no case.
+slots and no case.  A window that agrees word for word counts however little it says.
 
 A document leaks an item if it holds `share_percent` of the item's windows, or
 `run` tokens' worth of them, by templates alone (`duck_sql` has these rows) or
@@ -118,7 +118,7 @@ def item_windows(items: DataFrame, how: Template) -> DataFrame:
     each = own.select("item_id", "size", "words", "shape", F.explode(F.expr("sequence(1, size(shape) - size + 1)")).alias("at"))
     cut = each.select("item_id", "at", "size", F.expr("slice(words, at, size)").alias("item_words"), F.expr("slice(shape, at, size)").alias("item_shape"))
     telling = F.expr(f"size(filter(item_shape, x -> x != '' and x not in {MARKS})) >= least({how.literals}, size)")
-    full = cut.where("item_shape != array('')").withColumns({"telling": telling, "item_plain": plain(F.array_join("item_words", " "))}).where("telling")
+    full = cut.where("item_shape != array('')").withColumns({"telling": telling, "item_plain": plain(F.array_join("item_words", " "))})
     counts = full.groupBy("item_id").agg(F.count_distinct(F.when(F.col("telling"), F.col("at"))).alias("n_telling"), F.count_distinct("at").alias("n_windows"))
     ways = full.join(counts, "item_id").withColumn("by_shape", F.explode(F.array(F.lit(False), F.lit(True))))
     of = F.when(F.col("by_shape"), F.col("item_shape")).otherwise(F.split("item_plain", " "))

@@ -26,3 +26,13 @@ def test_other_case_and_line_breaks(spark, how):
     assert set(rows) == {(i, i // 4 % 2) for i in range(len(copies))}
     assert all((r.kind, r.n_changed) == ("verbatim", 0) for r in rows.values())
     assert rows[0, 0].n_matched == rows[0, 0].n_windows == 16
+
+
+@pytest.mark.parametrize("how", [Template(), Template(broadcast_rows=0)])
+def test_items_of_few_words(spark, how):
+    items = ["What is 12 plus 7?", "Evaluate 12 + 7 * 3.", "Compute 14 * 23 - 5 + 18 / 6 - 2 * 9.", "", None, "?!"]
+    docs = [f"Then they ask: {x} Nobody knows." for x in items[:3]]
+    others = [x.replace("12", "13").replace("14", "15") for x in docs]
+    rows = found(spark, [*docs, *others, "", None], items, how)
+    assert set(rows) == {(0, 0), (1, 1), (2, 2)}
+    assert all((r.kind, r.n_windows, r.n_matched) == ("verbatim", 1, 1) for r in rows.values())

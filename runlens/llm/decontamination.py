@@ -13,7 +13,9 @@ window of its own length.
 
 What is a name depends on case and spacing, and a copy may keep some values and
 change others, so windows are also hash-joined by their plain words, with no
-slots and no case.  A window that agrees word for word counts however little it says.
+slots and no case.  A window that agrees word for word needs no template: it
+counts however little it says, and whatever becomes of its alignment, where the
+check of slots is then for windows with changed slots alone.
 
 A document leaks an item if it holds `share_percent` of the item's windows, or
 `run` tokens' worth of them, by templates alone (`duck_sql` has these rows) or
@@ -165,12 +167,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, how: Template = Template(), id_
     along = hits.groupBy(*of_pair, "shift").agg(*(f for k, v in kinds.items() for f in (F.collect_set(F.when(v, F.col("at"))).alias(f"{k}_ats"), F.array_distinct(F.flatten(F.collect_set(F.when(v, F.col("slots"))))).alias(f"{k}_pairs"))))
     sound = {k: F.expr(f"size({k}_pairs) = size(array_distinct(transform({k}_pairs, x -> x.a)))") for k in ("template", "changed")}
     same = F.expr("array_distinct(transform(literal_pairs, x -> named_struct('a', x.a, 'b', x.a)))")
-    both_pairs = F.array_union(same, F.col("changed_pairs"))
-    sound_either = F.size(both_pairs) == F.size(F.array_distinct(F.transform(both_pairs, lambda x: x["a"])))
     ways = along.select(
         *of_pair,
         *(F.when(sound["template"], F.col(f"template_{x}")).otherwise(F.slice(f"template_{x}", 1, 0)).alias(f"template_{x}") for x in ("ats", "pairs")),
-        *(F.when(sound_either, F.array_union(y, F.col(f"changed_{x}"))).otherwise(F.slice(y, 1, 0)).alias(f"either_{x}") for x, y in (("ats", F.col("literal_ats")), ("pairs", same))),
+        *(F.when(sound["changed"], F.array_union(y, F.col(f"changed_{x}"))).otherwise(y).alias(f"either_{x}") for x, y in (("ats", F.col("literal_ats")), ("pairs", same))),
     )
     counts = ways.groupBy(*of_pair).agg(
         *(

@@ -36,3 +36,18 @@ def test_items_of_few_words(spark, how):
     rows = found(spark, [*docs, *others, "", None], items, how)
     assert set(rows) == {(0, 0), (1, 1), (2, 2)}
     assert all((r.kind, r.n_windows, r.n_matched) == ("verbatim", 1, 1) for r in rows.values())
+
+
+@pytest.mark.parametrize("how", [Template(), Template(broadcast_rows=0)])
+def test_one_of_two_equal_values_changed(spark, how):
+    item = "a train leaves the old station with 12 cars and it goes over the long bridge past the mill and the farms until it stops in the next town where 12 people get off"
+    changed = item.replace("12 people", "15 people")
+    both = item.replace("12", "15")
+    mixed = "they pay 12 for bread and 12 for milk today"
+    rows = found(spark, [f"Once {changed} again", f"Once {both} again", f"Once {mixed.replace('12 for milk', '15 for milk')} again"], [item, mixed], how)
+    # the windows of the changed place agree among themselves; no window has both
+    assert set(rows) == {(0, 0), (1, 0)}
+    assert all((r.kind, r.n_matched, r.n_windows) == ("template", 27, 27) for r in rows.values())
+    short = "on Monday they pay 12 for bread and 12 for milk and then all of them go home by the same road as before"
+    rows = found(spark, [short.replace("12 for milk", "15 for milk")], [short], how)
+    assert [(r.n_matched, r.n_windows, r.kind) for r in rows.values()] == [(9, 17, "verbatim")]

@@ -4,6 +4,8 @@ Large stars link each node's larger neighbours to its smallest one, small
 stars its smaller neighbours; repeated until the edges stay the same, each
 node is linked to the smallest of its component.  Every round shuffles edges
 by one end with partial minima; nothing but two numbers reaches the driver.
+The minima are written before they are joined, so that both sides of the join
+have a shuffle of their own and Spark can split a node with very many edges.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from runlens.llm.tables import written
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+    return written(edges.groupBy("u").agg(F.min("v").alias("m")), "minima")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import decontamination, line_dedup, ngram_join, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, token_counts, toxicity
+from runlens.llm import decontamination, line_dedup, ngram_join, periodic_runs, quality, resampling, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, token_counts, toxicity
 from runlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,15 +62,25 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by their likeness to the benchmark."""
+    return resampling.resampling_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the documents, some of which are put into cycles first."""
+    return periodic_runs.run_report(periodic_runs.with_cycles(read(spark, sf_dir, "documents")))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten documents or more hold."""
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_sentencepiece, op2_suffix_array_dedup, op3_token_counts, op4_ngram_jaccard_join, op5_toxicity, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_secret_scans, op10_benchmark_decontamination, op13_line_dedup]
+    found = [op1_sentencepiece, op2_suffix_array_dedup, op3_token_counts, op4_ngram_jaccard_join, op5_toxicity, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_secret_scans, op10_benchmark_decontamination, op11_importance_resampling, op12_periodic_runs, op13_line_dedup]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_benchmark_decontamination": decontamination.duck_sql(), "op13_line_dedup": line_dedup.duck_sql()}
+    return {"op10_benchmark_decontamination": decontamination.duck_sql(), "op11_importance_resampling": resampling.duck_sql(), "op13_line_dedup": line_dedup.duck_sql()}

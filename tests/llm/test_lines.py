@@ -6,11 +6,12 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 
 from runlens.llm import entries
 from runlens.llm.line_dedup import Repeats, _blocks, _documents, line_places, line_report, lost_lines, without_lines
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 from tests.llm.conftest import ODD
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -108,3 +109,9 @@ def test_query_on_whole_table(spark):
 def test_no_python_on_the_path(spark):
     plan = line_report(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF01}/documents.parquet')")
+    assert sorted(map(tuple, entries.op13_line_dedup(spark, SF01).collect())) == sorted(con.execute(entries.oracle_sql()["op13_line_dedup"]).fetchall())

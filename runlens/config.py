@@ -41,6 +41,10 @@ class Config:
     # each task writes one or two date folders and files are about equal.
     consolidated_files: int | None = None
 
+    # so many segments of a level of the store are merged into one of the next
+    # (None: never)
+    merge_fanout: int | None = 8
+
     # alert thresholds (documented wishes of the reference, ours to fix)
     spike_factor: float = 2.0
     spike_window_runs: int = 7

@@ -45,10 +45,10 @@ def error_state(enriched: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def merge_error_state(*states: DataFrame) -> DataFrame:
+def merge_error_state(*states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Error state of the union of the events behind ``states``."""
     u = reduce(lambda a, b: a.unionByName(b), states)
-    return u.groupBy(*KEYS, "kind", "value").agg(
+    return u.groupBy(*by, *KEYS, "kind", "value").agg(
         F.sum("n").alias("n"), F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time")
     )
 

@@ -68,10 +68,10 @@ def run_facts(enriched: DataFrame, cfg: Config | None = None, by: Sequence[str]
     return errors.select(*by, *S.RUN_KEYS, F.inline(both)).filter(F.col("value").isNotNull()).distinct()
 
 
-def merge_run_state(*states: DataFrame) -> DataFrame:
+def merge_run_state(*states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """State of the union of the inputs of ``states``."""
     u = reduce(lambda a, b: a.unionByName(b), states)
-    return u.groupBy(*S.RUN_KEYS).agg(
+    return u.groupBy(*by, *S.RUN_KEYS).agg(
         F.min("run_start").alias("run_start"),
         F.max("run_end").alias("run_end"),
         F.sum("total_events").alias("total_events"),
@@ -85,9 +85,22 @@ def merge_run_state(*states: DataFrame) -> DataFrame:
     )
 
 
-def merge_run_facts(*facts: DataFrame) -> DataFrame:
+def merge_run_facts(*facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     u = reduce(lambda a, b: a.unionByName(b), facts)
-    return u.select(*S.RUN_KEYS, "kind", "value").distinct()
+    return u.select(*by, *S.RUN_KEYS, "kind", "value").distinct()
+
+
+def fact_counts(facts: DataFrame) -> DataFrame:
+    """Per run, how many messages and flows its facts have."""
+    return facts.groupBy(*S.RUN_KEYS).agg(count_where(F.col("kind") == MESSAGE).alias("n_messages"), count_where(F.col("kind") == FLOW).alias("n_flows"))
+
+
+def with_fact_counts(runs: DataFrame, facts: DataFrame) -> DataFrame:
+    """``runs`` with the numbers of their messages and flows: rows of bounded
+    size, however many facts a run has."""
+    counts = fact_counts(facts).select(*[F.col(k).alias(f"_f_{k}") for k in S.RUN_KEYS], "n_messages", "n_flows")
+    none = F.lit(0).cast("long")
+    return runs.join(counts, _same_run(runs, counts), "left").select(*runs.columns, F.coalesce("n_messages", none).alias("n_messages"), F.coalesce("n_flows", none).alias("n_flows"))
 
 
 def finalize_runs(state: DataFrame, cfg: Config | None = None, keep_all: bool = False) -> DataFrame:

@@ -64,6 +64,28 @@ def number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     )
 
 
+def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str], value_cols: Sequence[str], prefix: str = "run_") -> DataFrame:
+    """``df`` plus, for each value column, the sum over the rows of the group
+    up to this one.  As in ``number_within`` a block holds the group's rows of
+    one partition; blocks are summed on their own and start from the totals of
+    the blocks before."""
+    ensure_checkpoint_dir(df.sparkSession)
+    g = list(group_cols)
+    order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in [*g, *order_cols]]
+    tagged = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
+    inside = Window.partitionBy("_pid", *g).orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = tagged.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in value_cols])
+    before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = tagged.groupBy("_pid", *g).agg(*[F.sum(c).alias(f"_sum_{c}") for c in value_cols])
+    blocks = blocks.select(
+        F.col("_pid").alias("_b_pid"),
+        *[F.col(c).alias(f"_b_{c}") for c in g],
+        *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in value_cols],
+    )
+    cond = (summed["_pid"] == blocks["_b_pid"]) & _null_safe_on(summed, blocks, g, "_b_")
+    return summed.join(blocks, cond).select(*[F.col(f"`{c}`") for c in df.columns], *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"{prefix}{c}") for c in value_cols])
+
+
 def trailing_stats(
     numbered: DataFrame,
     group_cols: Sequence[str],

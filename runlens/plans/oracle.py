@@ -434,6 +434,32 @@ FROM enriched
 GROUP BY pipeline_id, pipeline_name, update_id, source_full_name, flow_name"""
 )
 
+# from the seconds between neighbouring ends, each with the flows that cover it
+RUN_TIME_SPLIT = with_events(
+    f"""
+, flows AS (
+  SELECT dense_rank() OVER (ORDER BY pipeline_id, pipeline_name, update_id, source_full_name) AS run,
+    pipeline_id, pipeline_name, update_id, source_full_name, flow_name,
+    {_secs('min("timestamp")')} AS a, {_secs('max("timestamp")')} AS b
+  FROM enriched GROUP BY pipeline_id, pipeline_name, update_id, source_full_name, flow_name
+  HAVING min("timestamp") IS NOT NULL
+), ends AS (
+  SELECT DISTINCT run, a AS t FROM flows UNION SELECT run, b FROM flows
+), parts AS (
+  SELECT run, t, lead(t) OVER (PARTITION BY run ORDER BY t) AS u FROM ends
+), covered AS (
+  SELECT p.run, p.t, p.u, count(f.run) AS n, min(f.flow_name) AS flow_name
+  FROM parts p LEFT JOIN flows f ON f.run = p.run AND f.a <= p.t AND f.b >= p.u
+  WHERE p.u IS NOT NULL GROUP BY p.run, p.t, p.u
+), split AS (
+  SELECT run, CASE WHEN n > 1 THEN 'shared' WHEN n = 1 THEN 'alone' ELSE 'idle' END AS kind,
+    CASE WHEN n = 1 THEN flow_name END AS flow_name, CAST(sum(u - t) AS BIGINT) AS seconds
+  FROM covered GROUP BY 1, 2, 3
+)
+SELECT r.pipeline_id, r.pipeline_name, r.update_id, r.source_full_name, s.kind, s.flow_name, s.seconds
+FROM split s JOIN (SELECT DISTINCT run, pipeline_id, pipeline_name, update_id, source_full_name FROM flows) r USING (run)"""
+)
+
 _X = f"CAST(datediff('day', {_d(CFG.as_of_date)}, run_date) AS HUGEINT)"
 _FIT_DEN = f"(CAST(count(dur_s) AS HUGEINT) * sum({_X} * {_X}) - sum({_X}) * sum({_X}))"
 

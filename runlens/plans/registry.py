@@ -263,6 +263,11 @@ def q_run_flow_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(X.run_flow_breakdown(fixture(spark, sf_dir).enriched))
 
 
+@register("run_time_split", O.RUN_TIME_SPLIT)
+def q_run_time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(X.run_time_split(fixture(spark, sf_dir).enriched))
+
+
 @register("duration_slope", O.DURATION_SLOPE)
 def q_duration_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fixture(spark, sf_dir)
@@ -399,15 +404,21 @@ def q_incremental_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(spark.table(names["pipeline_runs"]), sets=("error_messages",))
 
 
-def _streamed(spark: SparkSession, sf_dir: str, publish_every: int = 1) -> str:
-    """Database after a stream over the fixture logs, written as daily files."""
-    root = new_scratch(spark, "stream")
+def _daily_files(spark: SparkSession, sf_dir: str, root: str) -> list[StreamLog]:
+    """The fixture logs, written as daily files."""
     logs = []
     for log in fixture_logs(spark, sf_dir):
         path = f"{root}/input/{log.schema}/{log.table}"
         log.df.withColumn("event_day", F.to_date("timestamp")).write.partitionBy("event_day").parquet(path)
         schema = spark.read.parquet(path).schema
         logs.append(StreamLog(log.catalog, log.schema, log.table, path, T.StructType([f for f in schema.fields if f.name != "event_day"])))
+    return logs
+
+
+def _streamed(spark: SparkSession, sf_dir: str, publish_every: int = 1) -> str:
+    """Database after a stream over the fixture logs, written as daily files."""
+    root = new_scratch(spark, "stream")
+    logs = _daily_files(spark, sf_dir, root)
     database = "runlens_stream_" + root.rsplit("-", 1)[-1]
     cfg = fixture_config()
     query = start_run_monitor(spark, logs, database, f"{root}/checkpoint", cfg, location=f"{root}/tables", max_files_per_trigger=15, publish_every=publish_every)
@@ -428,6 +439,20 @@ def q_streaming_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(_flat(spark.table(f"{database}.evlog_consolidated_events")).drop("event_day"))
 
 
+@register("streaming_after_rebuild", O.STREAMING_EVENTS)
+def q_streaming_after_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rebuild over three logs, rebuild over two of them, monitor over all
+    three: the files of the third count as unread, those of the two as read."""
+    root = new_scratch(spark, "rebuild")
+    database, cfg = _store(spark, "rebuild"), fixture_config()
+    streams = _daily_files(spark, sf_dir, root)
+    logs = [LogSource(s.catalog, s.schema, s.table, spark.read.parquet(s.path).drop("event_day")) for s in streams]
+    refresh(spark, logs, database, cfg, views=False)
+    names = refresh(spark, logs[:2], database, cfg, views=False)
+    start_run_monitor(spark, streams, database, f"{root}/checkpoint", cfg, max_files_per_trigger=30).awaitTermination()
+    return report(_flat(spark.table(names["consolidated_events"])).drop("event_day"))
+
+
 # ------------------------------------------------------ whole results, in order
 
 

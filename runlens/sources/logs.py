@@ -139,30 +139,11 @@ def common_schema(logs: list[LogSource]) -> T.StructType:
     return T.StructType(named)
 
 
-def conforming_schema(table: T.StructType, batch: T.StructType) -> tuple[T.StructType, list[T.StructField]]:
-    """The table's schema with the batch's new columns, and these.  The batch
-    may have narrower types; wider ones, and new fields of ``origin``, would
-    change stored columns and need a full refresh."""
-    have = {f.name.lower(): f for f in table.fields}
-    new = []
-    for fld in batch.fields:
-        old = have.get(fld.name.lower())
-        if old is None:
-            new.append(fld)
-        elif fld.name.lower() == "origin":
-            extra = sorted({f.name.lower() for f in fld.dataType.fields} - {f.name.lower() for f in old.dataType.fields})
-            if extra:
-                raise ValueError(f"new logs add origin field(s) {extra}; run a full refresh to evolve the schema")
-        elif widened(old.dataType, fld.dataType) != old.dataType:
-            raise ValueError(f"column {old.name} is {old.dataType.simpleString()} in the table but {fld.dataType.simpleString()} in the new logs; run a full refresh")
-    return T.StructType([*table.fields, *new]), new
-
-
-def align(df: DataFrame, target: T.StructType) -> DataFrame:
-    """Project ``df`` onto ``target``: same order and names, missing columns and
-    missing ``origin`` fields as typed nulls, others cast to the target's type.
-    Written as one SQL select list, so building it costs one call."""
-    have = {f.name.lower(): f for f in df.schema.fields}
+def aligned_columns(schema: T.StructType, target: T.StructType) -> list[str]:
+    """SQL select list that turns columns of ``schema`` into those of ``target``:
+    same order and names, missing columns and missing ``origin`` fields as typed
+    nulls, others cast to the target's type."""
+    have = {f.name.lower(): f for f in schema.fields}
     exprs: list[str] = []
     for fld in target.fields:
         q, t = quote(fld.name), fld.dataType.simpleString()
@@ -187,7 +168,13 @@ def align(df: DataFrame, target: T.StructType) -> DataFrame:
             exprs.append(f"CAST({quote(own.name)} AS {t}) AS {q}")
         else:
             exprs.append(f"{quote(own.name)} AS {q}")
-    return df.selectExpr(*exprs)
+    return exprs
+
+
+def align(df: DataFrame, target: T.StructType) -> DataFrame:
+    """Project ``df`` onto ``target`` (one select list, so that building it
+    costs one call)."""
+    return df.selectExpr(*aligned_columns(df.schema, target))
 
 
 def with_source(log: LogSource, df: DataFrame) -> DataFrame:

@@ -2,9 +2,9 @@
 
 Event-log files are read with ``readStream``; each micro-batch is aligned
 and stamped with its source, then handed to ``plans.refresh.apply_events``
-from ``foreachBatch``, which appends its events and partials and commits them
-by one log row: exactly once per micro-batch id, since the stream's checkpoint
-replays an unfinished batch after a failure and the refresh log makes the
+from ``foreachBatch``, which writes them as a segment and commits it by one row
+of the manifest: exactly once per micro-batch id, since the stream's checkpoint
+replays an unfinished batch after a failure and the manifest makes the
 replay a no-op if the batch had already committed.  A micro-batch costs what
 it holds; the published tables are derived every ``publish_every`` batches.
 
@@ -32,12 +32,11 @@ from pyspark.sql import types as T
 from runlens import schema as S
 from runlens.config import Config
 from runlens.functions.exprs import time_literal
-from runlens.plans.refresh import Store, apply_events, current_results, publish_tables, uncovered
+from runlens.plans.refresh import apply_events, current_results, publish_tables, uncovered
+from runlens.plans.store import FILE_COLUMN, Store
 from runlens.sources.logs import LogSource, consolidate
 from runlens.sources.sinks import ensure_schema
 
-PATH_COLUMN = "__file_path"
-
 
 @dataclass(frozen=True)
 class StreamLog:
@@ -75,7 +74,7 @@ def start_run_monitor(
     def stream(log: StreamLog) -> LogSource:
         reader = spark.readStream.schema(log.schema_type).option("maxFilesPerTrigger", max_files_per_trigger)
         df = reader.format(log.fmt).load(log.path)
-        return LogSource(log.catalog, log.schema, log.table, df.select("*", F.col("_metadata.file_path").alias(PATH_COLUMN)))
+        return LogSource(log.catalog, log.schema, log.table, df.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN)))
 
     # no cutoff here: the window moves, and is applied when tables are derived
     events = consolidate([stream(log) for log in logs], replace(cfg, days_back=None))
@@ -85,7 +84,7 @@ def start_run_monitor(
         now = replace(cfg, as_of=clock()) if clock else cfg
         own = batch.sparkSession
         stamped = batch.withColumn(S.LOAD_STAMP, time_literal(now.time, T.TimestampNTZType()))
-        apply_events(own, uncovered(stamped, database, now, PATH_COLUMN), database, now, source, int(batch_id))
+        apply_events(own, uncovered(stamped, database, now, FILE_COLUMN), database, now, source, int(batch_id))
         if (int(batch_id) + 1) % publish_every == 0:
             publish_tables(own, database, now)
         Store(spark, database, now).reread()  # for readers in the caller's session

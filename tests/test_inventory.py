@@ -98,3 +98,71 @@ def test_identifiers_are_back_quoted():
     assert quote("my-logs") == "`my-logs`"
     assert quote("a`b") == "`a``b`"
     assert LogSource("c-1", "s-2", "event_log", None).quoted_name == "`c-1`.`s-2`.`event_log`"
+
+
+class OtherCatalog:
+    """The session, with a catalog service that doesn't list schemas and that
+    has system catalogs."""
+
+    def __init__(self, spark, fail: str):
+        self._spark, self._fail, self.asked = spark, fail, []
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+    def sql(self, text):
+        self.asked.append(text)
+        if text.startswith(self._fail):
+            raise RuntimeError("not supported by this catalog")
+        return self._spark.sql(text)
+
+    @property
+    def catalog(self):
+        outer = self
+
+        class Names:
+            def __getattr__(self, name):
+                return getattr(outer._spark.catalog, name)
+
+            def listCatalogs(self):  # noqa: N802
+                return [*outer._spark.catalog.listCatalogs(), *[type("C", (), {"name": n})() for n in ("system", "information_schema", "samples", "spark_other")]]
+
+        return Names()
+
+
+@pytest.fixture
+def schemata(spark):
+    """information_schema.schemata, with a row for each table of a schema."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS information_schema LOCATION '{new_scratch(spark, 'schemata')}'")
+    rows = [(s, t) for s in ("invt_a", "invt_b", "invt_none") for t in range(3)]
+    spark.createDataFrame(rows, "schema_name string, n int").write.mode("overwrite").saveAsTable("information_schema.schemata")
+    yield
+    spark.sql("DROP SCHEMA information_schema CASCADE")
+
+
+def test_schemas_from_the_information_schema(spark, catalog, schemata):
+    # The listing fails, its fallback gives each schema once
+    from runlens.sources.inventory import list_schemas
+
+    other = OtherCatalog(spark, "SHOW SCHEMAS")
+    assert sorted(list_schemas(other, "spark_catalog")) == ["invt_a", "invt_b", "invt_none"]
+    inv = discover(other, fixture_config(target_catalogs=("spark_catalog",), schema_filter="invt")).collect()
+    assert {(r.schema, r.table) for r in inv if r.status == "ok"} == {("invt_a", "event_log_a"), ("invt_b", "pipeline_event_log_b")}
+    assert [(r.schema, r.reason is not None) for r in inv if r.status == "error" and not r.table] == [("invt_none", True)]
+    assert any("information_schema" in q for q in other.asked)
+
+
+def test_neither_listing_works(spark, catalog):
+    (row,) = discover(OtherCatalog(spark, "S"), fixture_config(target_catalogs=("spark_catalog",))).collect()
+    assert (row.catalog, row.schema, row.status) == ("spark_catalog", "", "error") and "cannot list schemas" in row.reason
+
+
+def test_system_catalogs_are_dropped(spark):
+    # P14
+    from runlens.sources.inventory import list_catalogs
+
+    other = OtherCatalog(spark, "SHOW SCHEMAS")
+    assert list_catalogs(other, fixture_config()) == ["spark_catalog", "spark_other"]
+    assert set(list_catalogs(other, fixture_config(include_system_catalogs=True))) == {"spark_catalog", "system", "information_schema", "samples", "spark_other"}
+    assert list_catalogs(other, fixture_config(include_system_catalogs=True, catalog_filter="sys")) == ["system"]
+    assert list_catalogs(other, fixture_config(target_catalogs=("system",))) == ["system"]  # asked for by name

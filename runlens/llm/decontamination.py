@@ -45,6 +45,7 @@ UNITS = (
 NAME, NUMBER, UNIT, POINT = "\x01", "\x02", "\x03", "\x04"
 ANY_UNIT = "|".join(sorted(UNITS, key=lambda x: (-len(x), x)))
 #: (pattern, replacement) steps before and after lower-casing; groups as $1.
+#: Those of NUMERIC change nothing in a text without digits.
 BEFORE = [
     ("([0-9])[.,]([0-9])", f"$1{POINT}$2"),
     (r"([\p{Ll}0-9,;] )(\p{Lu})", f"$1{NAME}$2"),
@@ -55,6 +56,7 @@ AFTER = [
     (f"({NUMBER}[0-9{POINT}]+)[ -]?({ANY_UNIT})([^\\p{{L}}0-9]|$)", f"$1 {UNIT}$2$3"),
     (f"[^\\p{{L}}0-9{NAME}-{POINT}]+", " "),
 ]
+NUMERIC = [BEFORE[0], *AFTER[:3]]
 SLOT = (f"([{NAME}-{UNIT}])[^ ]+", "$1")
 MARKS = f"('{NAME}', '{NUMBER}', '{UNIT}')"
 
@@ -65,15 +67,22 @@ class Template:
     literals: int = 4
     share_percent: int = 50
     run: int = 13
-    #: Windows of the benchmark that are broadcast at most; more are shuffled.
+    #: Windows of the benchmark, and their bytes, that are broadcast at most;
+    #: more are shuffled.
     broadcast_rows: int = 1_000_000
+    broadcast_bytes: int = 64 << 20
 
 
 def marked(text: Column) -> Column:
     """The text's tokens, one space apart, slots behind their marks."""
-    t = F.translate(text, NAME + NUMBER + UNIT + POINT, "    ")
-    t = reduce(lambda c, x: F.regexp_replace(c, *x), BEFORE, t)
-    return F.trim(reduce(lambda c, x: F.regexp_replace(c, *x), AFTER, F.lower(t)))
+    clear = reduce(lambda c, x: F.replace(c, F.lit(x), F.lit(" ")), (NAME, NUMBER, UNIT, POINT), text)
+
+    def steps(numbers: bool) -> Column:
+        before, after = ([x for x in all_ if numbers or x not in NUMERIC] for all_ in (BEFORE, AFTER))
+        t = reduce(lambda c, x: F.regexp_replace(c, *x), before, clear)
+        return F.trim(reduce(lambda c, x: F.regexp_replace(c, *x), after, F.lower(t)))
+
+    return F.when(text.rlike("[0-9]"), steps(True)).otherwise(steps(False))
 
 
 def _tokens(rows: DataFrame) -> DataFrame:
@@ -88,7 +97,7 @@ def _tokens(rows: DataFrame) -> DataFrame:
 
 def plain(words: Column) -> Column:
     """Marked tokens without marks, as any case of the text gives them."""
-    return F.replace(F.translate(words, f"ς{NAME}{NUMBER}{UNIT}", "σ"), F.lit("ß"), F.lit("ss"))
+    return reduce(lambda c, x: F.replace(c, F.lit(x[0]), F.lit(x[1])), ((NAME, ""), (NUMBER, ""), (UNIT, ""), ("ς", "σ"), ("ß", "ss")), words)
 
 
 def _hash(token: Column) -> Column:
@@ -103,13 +112,26 @@ def _hashed(rows: DataFrame) -> DataFrame:
     return tokens.select(*tokens.columns, F.inline(F.array(hashes)))
 
 
-def _windows(size: int, by_shape: bool) -> str:
-    """Keys of all windows of the size: by plain words, or by shape, null
-    where that says the same (no slots)."""
-    key = f"xxhash64(slice(plain_hash, i, {size}))"
-    if by_shape:
-        key = f"if(slice(shape_hash, i, {size}) = slice(plain_hash, i, {size}), null, xxhash64(slice(shape_hash, i, {size})))"
-    return f"if(size(shape) >= {size}, transform(sequence(1, size(shape) - {size - 1}), i -> {key}), array())"
+def _with_keys(rows: DataFrame, sizes: list[int]) -> tuple[DataFrame, list[tuple[int, bool, Column, Column]]]:
+    """`_hashed` rows with `keys`: of all windows of each size by their plain
+    words, then of those that hold a slot by their shape (without one it says
+    the same).  And (size, by_shape, place of the first such key, place of the
+    window of a key at `place`, from 1) of each part."""
+    slots = F.expr("filter(sequence(1, size(shape)), i -> shape_hash[i - 1] != plain_hash[i - 1])")
+    # generators keep the optimizer from putting these into the lambdas below
+    marked_at = rows.select("*", F.inline(F.array(F.struct(slots.alias("slots")))))
+    starts = {s: F.expr(f"if(size(shape) >= {s}, array_distinct(flatten(transform(slots, i -> sequence(greatest(1, i - {s - 1}), least(i, size(shape) - {s - 1}))))), array())") for s in sizes}
+    begun = marked_at.select("*", F.inline(F.array(F.struct(*(x.alias(f"starts_{s}") for s, x in starts.items()))))).drop("slots")
+    by_words = [f"if(size(shape) >= {s}, transform(sequence(1, size(shape) - {s - 1}), i -> xxhash64(slice(plain_hash, i, {s}))), array())" for s in sizes]
+    by_shape = [f"transform(starts_{s}, i -> xxhash64(slice(shape_hash, i, {s})))" for s in sizes]
+    first, parts = F.lit(0), []
+    for s in sizes:
+        parts.append((s, False, first, F.col("place") - first + 1))
+        first = first + F.greatest(F.lit(0), F.size("shape") - (s - 1))
+    for s in sizes:
+        parts.append((s, True, first, F.get(F.col(f"starts_{s}"), F.col("place") - first)))
+        first = first + F.size(f"starts_{s}")
+    return begun.withColumn("keys", F.expr(f"concat({', '.join(by_words + by_shape)})")), parts
 
 
 def item_windows(items: DataFrame, how: Template) -> DataFrame:
@@ -138,26 +160,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, how: Template = Template(), id_
     docs = id_and_text(docs, id_col, text_col)
     items = id_and_text(benchmark, item_col, text_col).withColumnRenamed("doc_id", "item_id")
     theirs = materialize(item_windows(items, how))
-    n, sizes = theirs.agg(F.count(F.lit(1)), F.collect_set("size")).first()
+    size_of = F.sum(3 * F.octet_length("item_plain") + 512)
+    n, n_bytes, sizes = theirs.agg(F.count(F.lit(1)), F.coalesce(size_of, F.lit(0)), F.collect_set("size")).first()
     # one size for all but items that are shorter than a window
-    parts = [(s, by_shape) for by_shape in (False, True) for s in sorted(sizes) or [how.window]]
-    ours = _hashed(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")).withColumn("keys", F.expr("flatten(array(" + ", ".join(_windows(*x) for x in parts) + "))"))
-    first, starts = F.lit(0), []
-    for s, _ in parts:  # where windows of each kind begin among the keys
-        starts.append(first)
-        first = first + F.greatest(F.lit(0), F.size("shape") - (s - 1))
-    each = ours.select("doc_id", "text_key", "words", "shape", F.posexplode("keys").alias("place", "key")).where("key is not null")
+    ours, parts = _with_keys(_hashed(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")), sorted(sizes) or [how.window])
+    starts = [c for c in ours.columns if c.startswith("starts_")]
+    each = ours.select("doc_id", "text_key", "words", "shape", *starts, F.posexplode("keys").alias("place", "key"))
     of_pair = ["doc_id", "text_key", "item_id", "n_telling", "n_windows"]
     # Rows leave the generated code with the words of a window alone, never
     # with those of the text: the join streams through a broadcast table, or
     # comes after the cut.  `inline` keeps the lambdas below out of that code.
     own = [F.expr(f"slice({c}, begin, size)").alias(f"own_{c}") for c in ("words", "shape")]
-    if n <= how.broadcast_rows:
-        start = F.coalesce(*(F.when((F.col("size") == s) & (F.col("by_shape") == by_shape), at) for (s, by_shape), at in zip(parts, starts, strict=True)))
-        joined = each.join(F.broadcast(theirs), "key").withColumn("begin", F.col("place") - start + 1)
+    if n <= how.broadcast_rows and n_bytes <= how.broadcast_bytes:
+        begin = F.coalesce(*(F.when((F.col("size") == s) & (F.col("by_shape") == by_shape), at) for s, by_shape, _, at in parts))
+        joined = each.join(F.broadcast(theirs), "key").withColumn("begin", F.greatest(begin, F.lit(1)))
         found = joined.select(*of_pair, "at", "begin", "telling", "item_words", "item_shape", "item_plain", F.inline(F.array(F.struct(*own))))
     else:
-        by_part = [each.withColumns({"size": F.lit(s), "by_shape": F.lit(by_shape), "begin": F.col("place") - at + 1}).where(F.expr(f"begin between 1 and size(shape) - {s - 1}")) for (s, by_shape), at in zip(parts, starts, strict=True)]
+        ends = [x[2] for x in parts[1:]] + [F.lit(1 << 31)]
+        by_part = [each.where((F.col("place") >= first) & (F.col("place") < end)).withColumns({"size": F.lit(s), "by_shape": F.lit(by_shape), "begin": at}) for (s, by_shape, first, at), end in zip(parts, ends, strict=True)]
         cut = [x.select("doc_id", "text_key", "key", "size", "by_shape", "begin", *own) for x in by_part]
         found = reduce(DataFrame.union, cut).join(theirs, ["key", "size", "by_shape"])
     literal = plain(F.array_join("own_words", " ")) == F.col("item_plain")

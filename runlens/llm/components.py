@@ -13,22 +13,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runlens.llm.tables import written
+from runlens.llm.tables import removed, written
 
 
-def _smallest(edges: DataFrame) -> DataFrame:
-    return written(edges.groupBy("u").agg(F.min("v").alias("m")), "minima")
+def _smallest(edges: DataFrame, made: list[DataFrame] | None) -> DataFrame:
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "minima")
+    if made is not None:
+        made.append(least)
+    return least
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, made: list[DataFrame] | None = None) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _smallest(both).select("u", F.least("u", "m").alias("m"))
+    least = _smallest(both, made).select("u", F.least("u", "m").alias("m"))
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, made: list[DataFrame] | None = None) -> DataFrame:
+    """Stars of smaller neighbours; `made` gets the tables written on the way."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    joined = down.join(_smallest(down), "u")
+    joined = down.join(_smallest(down, made), "u")
     links = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
     return links.where("u != v")
 
@@ -36,11 +40,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (u, v), two longs; label is
     the smallest node of the component.  Loops, repeats and either direction
-    are allowed; an edge with a null end is none; no edges give no rows."""
+    are allowed; an edge with a null end is none; no edges give no rows.
+    What a round has written goes when the next one is there."""
     now = edges.select("u", "v").where("u != v").distinct()
     before = None
     while True:
-        now = written(_small_star(_large_star(now)).distinct(), "stars")
+        made = [now]
+        now = written(_small_star(_large_star(now, made), made).distinct(), "stars")
+        removed(*made)
         state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before or not state[0]:
             break

@@ -46,10 +46,12 @@ from pyspark.sql import functions as F
 from runlens.llm import arrays as A
 from runlens.llm.components import components
 from runlens.llm.sharding import numbered
-from runlens.llm.tables import id_and_text, map_batches, written
+from runlens.llm.tables import id_and_text, map_batches, removed, small_batches, written
 
 # Entries that are tied at a time where they lie.
-ENTRIES = 1 << 20
+ENTRIES = 1 << 19
+# Classes that a task remembers to have given keys of (else they go twice).
+GIVEN = 1 << 17
 # Blocks are shuffled in so many groups for each shuffle partition.
 GROUPS = 4
 # Blocks must hold so many n-grams on average; else rare n-grams are the keys.
@@ -186,7 +188,7 @@ def _class_rows(docs: DataFrame, like: Similarity, counts: np.ndarray | None) ->
                     classes.append(c)
                     keys.append(None if c is None or c in given else keys_of(x))
                     given.add(c)
-                if len(given) > ENTRIES:
+                if len(given) > GIVEN:
                     given.clear()
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(x) for x in sets], pa.int64()), pa.array(classes, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "text_key", "n_shingles", "class", "keys"])
 
@@ -374,12 +376,12 @@ def _product(members: DataFrame, sets: DataFrame, like: Similarity, counts: np.n
         row, column = row[often[column]], (np.cumsum(often) - 1)[column[often[column]]]
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
-        overlap = np.zeros((len(a), len(b)), dtype=np.float32)
+        overlap = np.zeros((len(a), len(b)), dtype=np.int64)
         for low in range(0, int(often.sum()), BLOCK_COLUMNS):
             i, j = np.searchsorted(column, (low, low + BLOCK_COLUMNS))
             dense = np.zeros((len(sets_), BLOCK_COLUMNS), dtype=np.float32)
             dense[row[i:j], column[i:j] - low] = 1
-            overlap += dense[a] @ dense[b].T
+            overlap += (dense[a] @ dense[b].T).astype(np.int64)  # each product is exact
         if counts is None:
             reach = 100 * overlap >= like.percent * (sizes[a][:, None] + sizes[b][None, :] - overlap)
         else:
@@ -420,31 +422,39 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     which is null if no row in it has an id.
     """
     docs = id_and_text(docs, id_col, text_col)
+    small_batches(docs.sparkSession)
     counts = None if like.in_blocks else _counts(docs, like)
     rows = written(_class_rows(docs, like, counts), "ngram-rows")
     ties = written(_ties(rows), "ngram-ties")
-    pairs = ties.select("a", "b").distinct()
 
-    def linked(of: DataFrame, sets: DataFrame) -> DataFrame:
-        return written(_linked(of, sets, like).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-links")
-
-    def rows_of(of: DataFrame) -> DataFrame:
+    def linked(of: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The links among the pairs, and the rows of all of their classes."""
         classes = of.select(F.col("a").alias("class")).union(of.select(F.col("b").alias("class"))).distinct()
-        return written(_sets(classes, rows, docs, like), "ngram-sets")
+        sets = written(_sets(classes, rows, docs, like), "ngram-sets")
+        return written(_linked(of, sets, like).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-links"), sets
 
+    # tables go as soon as they have been read for the last time
     if like.in_blocks:
-        sets = rows_of(pairs)
-        labels = components(linked(pairs, sets))
+        pairs = ties.select("a", "b").distinct()
+        links, sets = linked(pairs)
+        labels = components(links)
         members = _members(labels, components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), sets)
+        removed(ties)
         rest = written(_product(members, sets, like), "ngram-rest")
+        removed(members, sets)
     else:
         own = rows.where("length(keys) > 0").select("class", F.col("keys").alias("row"), F.col("n_shingles").alias("size"))
         prefixes = written(own.dropDuplicates(["class"]), "ngram-prefixes")
-        pairs = written(_bounded(pairs, prefixes, like, counts), "ngram-pairs")
-        labels = components(linked(pairs, rows_of(pairs)))
+        pairs = written(_bounded(ties.select("a", "b").distinct(), prefixes, like, counts), "ngram-pairs")
+        links, sets = linked(pairs)
+        removed(pairs, sets)
+        labels = components(links)
         members = _members_by_key(labels, ties, prefixes)
-        pairs = written(_product(members, prefixes.drop("size"), like, counts).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "ngram-pairs")
-        rest = linked(pairs, rows_of(pairs))
+        removed(ties)
+        more = written(_product(members, prefixes.drop("size"), like, counts).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "ngram-pairs")
+        removed(members, prefixes)
+        rest, sets = linked(more)
+        removed(more, sets)
     if not rest.isEmpty():  # components found so far are stars, which new links join
         labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(rest))
     ids = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("__first"))

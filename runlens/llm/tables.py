@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +32,39 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write df in the folder of spark.checkpoint.dir and read it again: its
     lineage ends there, and a lost executor costs no more than a new read."""
     path = new_scratch(df.sparkSession, f"llm-{label}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[back] = path
+    return back
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete the files of `written` tables that nothing will read again, and
+    let the driver collect plans that are gone: Spark then removes their
+    shuffle files, which else stay as long as the driver has memory to spare."""
+    for df in tables:
+        path = _FOLDERS.pop(df, None)
+        if path:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
+
+
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Arrow batches of at most so many bytes from now on, for rows that hold
+    arrays: the JVM and its Python workers keep several batches each."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > most:
+        spark.conf.set(key, str(most))
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,8 +18,8 @@ counts however little it says, and whatever becomes of its alignment, where the
 check of slots is then for windows with changed slots alone.
 
 A document leaks an item if it holds `share_percent` of the item's windows, or
-`run` tokens' worth of them, by templates alone (`duck_sql` has these rows) or
-else by windows of either kind.  Figures are those of the way that told.
+`run` tokens' worth of them, by templates alone or else by windows of either
+kind.  Figures are those of the way that told.
 """
 
 from __future__ import annotations
@@ -232,26 +232,47 @@ def _duck_tokens(table: str, key: str) -> str:
 
 
 def duck_sql(how: Template = Template()) -> str:
-    """DuckDB SQL for `leaks` without text_key, where ids are unique."""
+    """DuckDB SQL for `leaks` without text_key, where ids are unique: windows
+    joined by shape and by plain words, each way with its check of slots."""
     marks = f"('{NAME}', '{NUMBER}', '{UNIT}')"
+    plain_of = f"replace(translate(array_to_string({{}}, ' '), 'ς{NAME}{NUMBER}{UNIT}', 'σ'), 'ß', 'ss')"
+    own = "o.doc_id, t.item_id, t.size, t.spot, o.begin, o.begin - t.spot as shift, t.telling, o.words, o.shape, t.item_words, t.item_shape, o.plain = t.item_plain as literal"
+    figures = lambda k: f"""
+        select doc_id, item_id, cast(len(list_distinct(flatten(list({k}_ats)))) as bigint) as n_matched, cast(sum(len({k}_pairs)) as bigint) as n_slots,
+               cast(sum(len(list_filter({k}_pairs, lambda x: x[1] != x[2]))) as bigint) as n_changed from ways group by all"""
+    enough = lambda n: f"n_matched > 0 and (100 * n_matched >= {how.share_percent} * {n} or n_matched >= {how.run - how.window + 1})"
     return f"""
     with items as ({_duck_tokens("benchmark", "item_id")}),
     sized as (select *, least({how.window}, len(shape)) as size from items),
     cut as (select item_id, spot, size, list_slice(words, spot, spot + size - 1) as item_words, list_slice(shape, spot, spot + size - 1) as item_shape
             from (select *, unnest(range(1, len(shape) - size + 2)) as spot from sized)),
-    telling as (select * from cut where len(list_filter(item_shape, lambda x: x != '' and x not in {marks})) >= least({how.literals}, size)),
-    theirs as (select *, count(*) over (partition by item_id) as n_windows from telling),
+    theirs as (select *, len(list_filter(item_shape, lambda x: x != '' and x not in {marks})) >= least({how.literals}, size) as telling,
+                      {plain_of.format("item_words")} as item_plain
+               from cut where item_shape != ['']),
+    of_item as (select item_id, count(distinct spot) filter (telling) as n_telling, count(distinct spot) as n_windows from theirs group by all),
     texts as ({_duck_tokens("documents", "doc_id")}),
-    ours as (select doc_id, size, begin, list_slice(words, begin, begin + size - 1) as words, list_slice(shape, begin, begin + size - 1) as shape
-             from (select *, unnest(range(1, len(shape) - size + 2)) as begin from texts, (select distinct size from theirs))),
-    hits as (select doc_id, item_id, n_windows, spot, begin - spot as shift,
-                    list_filter(list_zip(item_words, words), lambda x: substr(x[1], 1, 1) in {marks}) as slots
-             from ours join theirs on shape = item_shape),
-    along as (select doc_id, item_id, n_windows, shift, list(distinct spot) as ats, list_distinct(flatten(list(slots))) as pairs from hits group by all),
-    sound as (select * from along where len(pairs) = len(list_distinct(list_transform(pairs, lambda x: x[1])))),
-    of_pair as (select doc_id, item_id, n_windows, cast(len(list_distinct(flatten(list(ats)))) as bigint) as n_matched,
-                       cast(sum(len(pairs)) as bigint) as n_slots, cast(sum(len(list_filter(pairs, lambda x: x[1] != x[2]))) as bigint) as n_changed
-                from sound group by all)
-    select *, case when n_changed > 0 then 'template' else 'verbatim' end as kind from of_pair
-    where 100 * n_matched >= {how.share_percent} * n_windows or n_matched >= {how.run - how.window + 1}
+    ours as (select *, {plain_of.format("words")} as plain
+             from (select doc_id, size, begin, list_slice(words, begin, begin + size - 1) as words, list_slice(shape, begin, begin + size - 1) as shape
+                   from (select *, unnest(range(1, len(shape) - size + 2)) as begin from texts, (select distinct size from theirs)))),
+    met as (select {own} from ours o join theirs t on o.plain = t.item_plain and o.size = t.size
+            union select {own} from ours o join theirs t on o.shape = t.item_shape and o.size = t.size where t.telling),
+    hits as (select *, telling and shape = item_shape as template,
+                    list_filter(list_zip(item_words, words), lambda x: substr(x[1], 1, 1) in {marks}) as slots from met),
+    along as (select doc_id, item_id, shift,
+                     coalesce(list(distinct spot) filter (template), []) as template_ats, coalesce(list_distinct(flatten(list(slots) filter (template))), []) as template_pairs,
+                     coalesce(list(distinct spot) filter (literal), []) as literal_ats, coalesce(list_distinct(flatten(list(slots) filter (literal))), []) as literal_pairs,
+                     coalesce(list(distinct spot) filter (template and not literal), []) as changed_ats,
+                     coalesce(list_distinct(flatten(list(slots) filter (template and not literal))), []) as changed_pairs
+              from hits group by all),
+    checked as (select *, len(template_pairs) = len(list_distinct(list_transform(template_pairs, lambda x: x[1]))) as sound,
+                       len(changed_pairs) = len(list_distinct(list_transform(changed_pairs, lambda x: x[1]))) as changed_sound,
+                       list_distinct(list_transform(literal_pairs, lambda x: row(x[1], x[1]))) as same from along),
+    ways as (select doc_id, item_id, case when sound then template_ats else [] end as template_ats, case when sound then template_pairs else [] end as template_pairs,
+                    list_distinct(list_concat(literal_ats, case when changed_sound then changed_ats else [] end)) as either_ats,
+                    list_distinct(list_concat(same, case when changed_sound then list_transform(changed_pairs, lambda x: row(x[1], x[2])) else [] end)) as either_pairs
+             from checked),
+    by_template as (select f.*, n_telling as n from ({figures("template")}) f join of_item using (item_id) where {enough("n_telling")}),
+    by_either as (select f.*, n_windows as n from ({figures("either")}) f join of_item using (item_id) where {enough("n_windows")}),
+    told as (select * from by_template union all select e.* from by_either e anti join by_template t on e.doc_id = t.doc_id and e.item_id = t.item_id)
+    select doc_id, item_id, n as n_windows, n_matched, n_slots, n_changed, case when n_changed > 0 then 'template' else 'verbatim' end as kind from told
     """

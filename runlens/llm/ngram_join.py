@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from runlens.llm import arrays as A
 from runlens.llm.components import components
 from runlens.llm.sharding import numbered
-from runlens.llm.tables import id_and_text, map_batches, removed, small_batches, written
+from runlens.llm.tables import id_and_text, map_batches, removed, settled, small_batches, written
 
 # Entries that are tied at a time where they lie.
 ENTRIES = 1 << 19
@@ -288,22 +288,29 @@ def _linked(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, prefixes: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame:
-    """The pairs whose rarest n-grams leave the threshold within reach."""
+    """The pairs whose rarest n-grams leave the threshold within reach.  Half
+    of each hash is enough for that: n-grams that share it count as shared,
+    which only raises the bound."""
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.frombuffer(x, dtype=np.uint64) for x in batch.column(1).to_pylist()]
+            halves = [(x & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for x in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(halves, pa.binary()), batch.column(2), pa.array([_last(x, counts) for x in rows], pa.int64())], names=["class", "half", "size", "last"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in A.chunks(whole, "row_a")):
+        for batch in (part for whole in batches for part in A.chunks(whole, "half_a")):
             keep = []
-            for x, y, n, m in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = np.sort(np.concatenate([x, y]))
+            for x, y, n, m, i, j in zip(*(batch.column(k).to_pylist() for k in range(2, 8)), strict=True):
+                both = np.sort(np.frombuffer(x + y, dtype=np.uint32))
                 shared = int((both[1:] == both[:-1]).sum())
                 fits = 100 * min(n, m) >= like.percent * max(n, m)
-                keep.append(fits and bool(_may_reach(shared, (n, m), (len(x), len(y)), (_last(x, counts), _last(y, counts)), like.percent)))
+                keep.append(fits and bool(_may_reach(shared, (n, m), (len(x) // 4, len(y) // 4), (i, j), like.percent)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = prefixes.select(F.col("class").alias("a"), F.col("row").alias("row_a"), F.col("size").alias("size_a"))
-    right = prefixes.select(F.col("class").alias("b"), F.col("row").alias("row_b"), F.col("size").alias("size_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "row_a", "row_b", "size_a", "size_b")
+    half = map_batches(prefixes.select("class", "row", "size"), short, "class long, half binary, size long, last long")
+    left, right = (half.select(F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("half", "size", "last")]) for s in "ab")
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", *[f"{c}_{s}" for c in ("half", "size", "last") for s in "ab"])
     return map_batches(joined, rows, "a long, b long")
 
 
@@ -424,14 +431,14 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     docs = id_and_text(docs, id_col, text_col)
     small_batches(docs.sparkSession)
     counts = None if like.in_blocks else _counts(docs, like)
-    rows = written(_class_rows(docs, like, counts), "ngram-rows")
-    ties = written(_ties(rows), "ngram-ties")
+    rows = settled(_class_rows(docs, like, counts), "ngram-rows")
+    ties = settled(_ties(rows), "ngram-ties")
 
     def linked(of: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The links among the pairs, and the rows of all of their classes."""
         classes = of.select(F.col("a").alias("class")).union(of.select(F.col("b").alias("class"))).distinct()
-        sets = written(_sets(classes, rows, docs, like), "ngram-sets")
-        return written(_linked(of, sets, like).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-links"), sets
+        sets = settled(_sets(classes, rows, docs, like), "ngram-sets")
+        return settled(_linked(of, sets, like).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-links"), sets
 
     # tables go as soon as they have been read for the last time
     if like.in_blocks:
@@ -440,18 +447,18 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
         labels = components(links)
         members = _members(labels, components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), sets)
         removed(ties)
-        rest = written(_product(members, sets, like), "ngram-rest")
+        rest = settled(_product(members, sets, like), "ngram-rest")
         removed(members, sets)
     else:
         own = rows.where("length(keys) > 0").select("class", F.col("keys").alias("row"), F.col("n_shingles").alias("size"))
-        prefixes = written(own.dropDuplicates(["class"]), "ngram-prefixes")
-        pairs = written(_bounded(ties.select("a", "b").distinct(), prefixes, like, counts), "ngram-pairs")
+        prefixes = settled(own.dropDuplicates(["class"]), "ngram-prefixes")
+        pairs = settled(_bounded(ties.select("a", "b").distinct(), prefixes, like, counts), "ngram-pairs")
         links, sets = linked(pairs)
         removed(pairs, sets)
         labels = components(links)
         members = _members_by_key(labels, ties, prefixes)
         removed(ties)
-        more = written(_product(members, prefixes.drop("size"), like, counts).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "ngram-pairs")
+        more = settled(_product(members, prefixes.drop("size"), like, counts).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "ngram-pairs")
         removed(members, prefixes)
         rest, sets = linked(more)
         removed(more, sets)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import weakref
 
@@ -46,16 +47,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def removed(*tables: DataFrame) -> None:
-    """Delete the files of `written` tables that nothing will read again, and
-    let the driver collect plans that are gone: Spark then removes their
-    shuffle files, which else stay as long as the driver has memory to spare."""
+    """Delete the files of `written` tables that nothing will read again."""
     for df in tables:
         path = _FOLDERS.pop(df, None)
         if path:
             at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
-    if tables:
-        tables[0].sparkSession._jvm.System.gc()
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """`written`, and the driver collects the plans that are gone: Spark then
+    removes their shuffle files, which else stay as long as the driver has
+    memory to spare."""
+    back = written(df, label)
+    del df
+    gc.collect()
+    back.sparkSession._jvm.System.gc()
+    return back
 
 
 def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:

@@ -287,19 +287,25 @@ def _linked(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
     return map_batches(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "row_a", "row_b"), rows, "a long, b long, linked boolean")
 
 
-def _bounded(pairs: DataFrame, prefixes: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame:
-    """The pairs whose rarest n-grams leave the threshold within reach.  Half
-    of each hash is enough for that: n-grams that share it count as shared,
-    which only raises the bound."""
+def _halved(prefixes: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(class, row, size, last): prefixes of rare n-grams with half of each
+    hash, and the place of the last.  That is enough for a bound: n-grams that
+    share a half count as shared, which only raises it."""
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [np.frombuffer(x, dtype=np.uint64) for x in batch.column(1).to_pylist()]
             halves = [(x & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for x in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(halves, pa.binary()), batch.column(2), pa.array([_last(x, counts) for x in rows], pa.int64())], names=["class", "half", "size", "last"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(halves, pa.binary()), batch.column(2), pa.array([_last(x, counts) for x in rows], pa.int64())], names=["class", "row", "size", "last"])
+
+    return map_batches(prefixes.select("class", "row", "size"), short, "class long, row binary, size long, last long")
+
+
+def _bounded(pairs: DataFrame, halves: DataFrame, like: Similarity) -> DataFrame:
+    """The pairs whose rarest n-grams leave the threshold within reach."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in A.chunks(whole, "half_a")):
+        for batch in (part for whole in batches for part in A.chunks(whole, "row_a")):
             keep = []
             for x, y, n, m, i, j in zip(*(batch.column(k).to_pylist() for k in range(2, 8)), strict=True):
                 both = np.sort(np.frombuffer(x + y, dtype=np.uint32))
@@ -308,9 +314,9 @@ def _bounded(pairs: DataFrame, prefixes: DataFrame, like: Similarity, counts: np
                 keep.append(fits and bool(_may_reach(shared, (n, m), (len(x) // 4, len(y) // 4), (i, j), like.percent)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    half = map_batches(prefixes.select("class", "row", "size"), short, "class long, half binary, size long, last long")
-    left, right = (half.select(F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("half", "size", "last")]) for s in "ab")
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", *[f"{c}_{s}" for c in ("half", "size", "last") for s in "ab"])
+    columns = ("row", "size", "last")
+    left, right = (halves.select(F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", *[f"{c}_{s}" for c in columns for s in "ab"])
     return map_batches(joined, rows, "a long, b long")
 
 
@@ -358,22 +364,24 @@ def _members_by_key(labels: DataFrame, ties: DataFrame, prefixes: DataFrame) ->
     return written(rows.withColumn("block", F.expr(f"n div {BLOCK_ROWS}")).drop("n"), "ngram-blocks")
 
 
-def _product(members: DataFrame, sets: DataFrame, like: Similarity, counts: np.ndarray | None = None) -> DataFrame:
+def _product(members: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
     """(u, v): links between components, by the product of each two blocks of
-    rows that share a component of ties and whose sizes can meet.  With counts
-    the rows are prefixes of rare n-grams, and the pairs those that may link."""
+    rows that share a component of ties and whose sizes can meet.  With `last`
+    the rows are halved prefixes, and the pairs those that may link."""
+    bound = "last" in sets.columns
+    columns = ["class", "tie", "label", "size", "row", *(["last"] if bound else [])]
     spans = members.groupBy("tie", "block").agg(F.min("size").alias("least"), F.max("size").alias("most"))
     x, y = (spans.select("tie", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "least", "most")]) for s in "xy")
     near = (F.col("block_x") <= F.col("block_y")) & (100 * F.col("most_x") >= like.percent * F.col("least_y"))
     pairs = x.join(y, "tie").where(near).select(F.col("block_x").alias("x"), F.col("block_y").alias("y")).distinct()
     rows = members.join(sets, "class")
-    left = pairs.join(rows, F.col("x") == F.col("block")).select("x", "y", F.lit(0).alias("side"), "class", "tie", "label", "size", "row")
-    right = pairs.where("x != y").join(rows, F.col("y") == F.col("block")).select("x", "y", F.lit(1).alias("side"), "class", "tie", "label", "size", "row")
+    left = pairs.join(rows, F.col("x") == F.col("block")).select("x", "y", F.lit(0).alias("side"), *columns)
+    right = pairs.where("x != y").join(rows, F.col("y") == F.col("block")).select("x", "y", F.lit(1).alias("side"), *columns)
 
     def links(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held).combine_chunks()
         own, node, tie, label = (t.column(c).to_numpy() for c in ("side", "class", "tie", "label"))
-        sets_ = [np.frombuffer(r, dtype=np.uint64) for r in t.column("row").to_pylist()]
+        sets_ = [np.frombuffer(r, dtype=np.uint32 if bound else np.uint64) for r in t.column("row").to_pylist()]
         a = np.flatnonzero(own == 0)
         b = np.flatnonzero(own == 1) if own.any() else a
         sizes = np.array([len(r) for r in sets_], dtype=np.int64)
@@ -389,12 +397,13 @@ def _product(members: DataFrame, sets: DataFrame, like: Similarity, counts: np.n
             dense = np.zeros((len(sets_), BLOCK_COLUMNS), dtype=np.float32)
             dense[row[i:j], column[i:j] - low] = 1
             overlap += (dense[a] @ dense[b].T).astype(np.int64)  # each product is exact
-        if counts is None:
+        if not bound:
             reach = 100 * overlap >= like.percent * (sizes[a][:, None] + sizes[b][None, :] - overlap)
         else:
-            full = t.column("size").to_numpy().astype(np.int64)
-            last = np.array([_last(r, counts) for r in sets_], dtype=np.int64)
-            reach = _may_reach(overlap, (full[a][:, None], full[b][None, :]), (sizes[a][:, None], sizes[b][None, :]), (last[a][:, None], last[b][None, :]), like.percent)
+            full, last = t.column("size").to_numpy().astype(np.int64), t.column("last").to_numpy()
+            # n-grams of a row whose halves are equal have one column
+            merged = np.array([len(r) - len(np.unique(r)) for r in sets_], dtype=np.int64)
+            reach = _may_reach(overlap + merged[a][:, None], (full[a][:, None], full[b][None, :]), (sizes[a][:, None], sizes[b][None, :]), (last[a][:, None], last[b][None, :]), like.percent)
         good = reach & (tie[a][:, None] == tie[b][None, :]) & (label[a][:, None] != label[b][None, :]) & (node[a][:, None] != node[b][None, :])
         u, v = np.nonzero(good)
         return pa.RecordBatch.from_arrays([pa.array(node[a][u]), pa.array(node[b][v])], names=["u", "v"])
@@ -452,13 +461,14 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     else:
         own = rows.where("length(keys) > 0").select("class", F.col("keys").alias("row"), F.col("n_shingles").alias("size"))
         prefixes = settled(own.dropDuplicates(["class"]), "ngram-prefixes")
-        pairs = settled(_bounded(ties.select("a", "b").distinct(), prefixes, like, counts), "ngram-pairs")
+        halves = _halved(prefixes, counts)
+        pairs = settled(_bounded(ties.select("a", "b").distinct(), halves, like), "ngram-pairs")
         links, sets = linked(pairs)
         removed(pairs, sets)
         labels = components(links)
         members = _members_by_key(labels, ties, prefixes)
         removed(ties)
-        more = settled(_product(members, prefixes.drop("size"), like, counts).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "ngram-pairs")
+        more = settled(_product(members, halves.drop("size"), like).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "ngram-pairs")
         removed(members, prefixes)
         rest, sets = linked(more)
         removed(more, sets)

@@ -32,14 +32,16 @@ def exact_percentiles(
     value_col: str,
     probs: Sequence[float],
     names: Sequence[str] | None = None,
+    weight_col: str | None = None,
 ) -> DataFrame:
-    """One row per group: ``n`` and one column per probability."""
+    """One row per group: ``n`` and one column per probability; with
+    ``weight_col`` a row stands for so many values."""
     names = list(names or [_label(p) for p in probs])
     g = list(group_cols)
     hist = (
         df.filter(F.col(value_col).isNotNull())
         .groupBy(*g, value_col)
-        .agg(F.count(F.lit(1)).alias("_cnt"))
+        .agg((F.sum(weight_col) if weight_col else F.count(F.lit(1))).alias("_cnt"))
     )
     # running counts by blocks: the histogram is sorted over all partitions,
     # counted within each (partition, group) block, and each block starts at

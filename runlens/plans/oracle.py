@@ -391,6 +391,17 @@ SELECT pipeline_name, pipeline_id, count(*) AS total_runs,
 FROM runs GROUP BY pipeline_name, pipeline_id"""
 )
 
+SLIDING_PERCENTILES = with_runs(
+    f"""
+SELECT pipeline_name, pipeline_id, window_end, count(*) AS runs,
+  round(quantile_cont(dur_s, 0.5) / 60.0, 6) AS p50_minutes,
+  round(quantile_cont(dur_s, 0.95) / 60.0, 6) AS p95_minutes, TRUE AS sketch_within_error
+FROM (
+  SELECT pipeline_name, pipeline_id, dur_s, CAST(unnest(range(0, 7)) AS INTEGER) + run_date AS window_end FROM runs
+) WHERE window_end <= {_d(CFG.as_of_date)}
+GROUP BY pipeline_name, pipeline_id, window_end"""
+)
+
 DAILY_DURATION_TRENDS = with_runs(
     f"""
 SELECT pipeline_name, run_date, count(*) AS runs,

@@ -40,6 +40,7 @@ from runlens.operators import metrics as M
 from runlens.operators.enrich import enrich
 from runlens.operators.errors import error_messages, error_state, finalize_error_state, merge_error_state
 from runlens.operators.runs import FLOW, MESSAGE, finalize_runs, merge_run_facts, merge_run_state, run_facts, run_state, with_error_detail, with_fact_counts
+from runlens.operators.sliding import daily_durations, daily_sketches
 from runlens.plans.store import BASE, BATCH, COVERED_KEY, DATE_COLUMN, ERRORS, EVENTS, FACTS, FILE_COLUMN, MERGE, RUNS, Manifest, Store
 from runlens.session import materialize, new_scratch
 from runlens.sources.logs import LogSource, aligned_columns, consolidate, quote
@@ -260,7 +261,8 @@ def publish_tables(spark: SparkSession, database: str, cfg: Config, views: bool
 
     Runs are stored as rows of bounded size and as long-form facts, in
     ``run_rows`` and ``run_facts``; ``pipeline_runs`` joins them when it is
-    read."""
+    read.  ``daily_sketches`` and ``daily_durations`` hold the durations of each
+    pipeline and day, for percentiles of any window (``operators.sliding``)."""
     store = Store(spark, database, cfg)
     now, before = store.manifest(), store.versions()
     version = before[0].version + 1 if before else 1
@@ -270,7 +272,8 @@ def publish_tables(spark: SparkSession, database: str, cfg: Config, views: bool
     facts = spark.table(store.name(_stored(RUN_FACTS))).filter(F.col(VERSION_COLUMN) == version).drop(VERSION_COLUMN)
     runs = finalize_runs(state, cfg)
     summaries = _summaries(runs, errors, cfg)
-    tables = {RUN_ROWS: with_fact_counts(runs, facts), **summaries}
+    daily = {"daily_sketches": daily_sketches(runs), "daily_durations": daily_durations(runs)}
+    tables = {RUN_ROWS: with_fact_counts(runs, facts), **summaries, **daily}
     made = _together([lambda key=key, df=df: _put(store, key, df, version) for key, df in tables.items()])
     new |= {key for key, is_new in zip(tables, made, strict=True) if is_new}
 

@@ -29,6 +29,7 @@ from runlens.operators import reports as X
 from runlens.operators.enrich import flatten_origin
 from runlens.operators.errors import error_messages
 from runlens.operators.sequence import number_within
+from runlens.operators.sliding import sliding_percentiles
 from runlens.plans import oracle as O
 from runlens.plans.pipeline import Pipeline
 from runlens.plans.refresh import apply_events, build_results, current_results, publish_tables, refresh
@@ -453,6 +454,15 @@ def q_streaming_after_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(_flat(spark.table(names["consolidated_events"])).drop("event_day"))
 
 
+@register("sliding_percentiles", O.SLIDING_PERCENTILES)
+def q_sliding_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of 7-day windows from the published daily states alone."""
+    cfg, database = fixture_config(), _store(spark, "percentiles")
+    refresh(spark, fixture_logs(spark, sf_dir), database, cfg, views=False)
+    sketches, histogram = (spark.table(f"{database}.evlog_{key}") for key in ("daily_sketches", "daily_durations"))
+    return report(sliding_percentiles(sketches, histogram, cfg))
+
+
 # ------------------------------------------------------ whole results, in order
 
 

@@ -57,7 +57,7 @@ BATCH, MERGE, LIVE, DONE = "batch", "merge", "live", "done"
 #: The level of a rebuild's segment, which no merge takes.
 BASE = 1 << 20
 # Commits after which the manifest is rolled into a new era.
-ROLL_AFTER = 64
+ROLL_AFTER = 16
 
 
 @dataclass(frozen=True)

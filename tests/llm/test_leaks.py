@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 
+from runlens.llm import entries
 from runlens.llm.decontamination import Template, leaks, without_leaks
+from tests.conftest import SF01
 
 ITEM = "In the morning Alice walks 12 km to the market and buys 3 kg of apples for Bob and 12 more for herself."
 
@@ -51,3 +54,11 @@ def test_one_of_two_equal_values_changed(spark, how):
     short = "on Monday they pay 12 for bread and 12 for milk and then all of them go home by the same road as before"
     rows = found(spark, [short.replace("12 for milk", "15 for milk")], [short], how)
     assert [(r.n_matched, r.n_windows, r.kind) for r in rows.values()] == [(9, 17, "verbatim")]
+
+
+def test_sql(spark):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
+    rows = entries.op10_benchmark_decontamination(spark, SF01).collect()
+    assert sorted(map(tuple, rows)) == sorted(con.execute(entries.oracle_sql()["op10_benchmark_decontamination"]).fetchall())

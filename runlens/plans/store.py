@@ -115,6 +115,10 @@ class Store:
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {quote(self.database)}.{quote(table)}")
 
+    def _numbers(self, name: str, column: str) -> list[int]:
+        """The partitions of a table that is partitioned by a number."""
+        return [int(row[0].removeprefix(f"{column}=")) for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
     def reread(self) -> None:
         """Make this session see what others have written to the store."""
         for key in (LOG_KEY, VERSIONS_KEY, "consolidated_events"):
@@ -130,11 +134,10 @@ class Store:
         name = self.name(LOG_KEY)
         if not self.exists(name):
             return Manifest(0, {}, None, 0, 0, False)
+        era = max(self._numbers(name, "era"), default=0)  # a partition is listed when its file is there
         mine = (F.col("source") == source) & (F.lit(int(batch_id)).between(F.col("first_batch"), F.col("last_batch")))
-        rows = self.table(name).withColumn("mine", F.coalesce(mine, F.lit(False))).filter((F.col("kind") != DONE) | F.col("mine")).collect()
-        # while an era is rolled both are there; only the later one counts
-        era = max((r["era"] for r in rows), default=0)
-        rows = [r for r in rows if r["era"] == era]
+        log = self.table(name).filter(F.col("era") == era).withColumn("mine", F.coalesce(mine, F.lit(False)))
+        rows = log.filter((F.col("kind") != DONE) | F.col("mine")).collect()
         generation = max((r["generation"] for r in rows if r["kind"] != DONE), default=0)
         own = [r for r in rows if r["generation"] == generation and r["kind"] != DONE]
         gone = {s for r in own for s in r["replaces"] or ()}
@@ -162,8 +165,9 @@ class Store:
         kept = {**empty, "kind": F.lit(DONE), "generation": F.lit(now.generation), "era": F.lit(now.era + 1), **{c: F.col(c) for c in ("source", "first_batch", "last_batch")}}
         rows = rows.unionByName(ranges.select(*[kept[f.name].alias(f.name) for f in rows.schema.fields]))
         self.append(rows.coalesce(1), name, ["era"])
-        for (era,) in self.table(name).filter(F.col("era") < now.era).select("era").distinct().collect():
-            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (era = {era})")
+        for era in self._numbers(name, "era"):
+            if era < now.era:  # the era before stays for who is reading it
+                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (era = {era})")
 
     # ------------------------------------------------------------ the segments
 
@@ -229,7 +233,6 @@ class Store:
     def drop_versions(self, keys: Iterable[str], before: int) -> None:
         for key in (*keys, VERSIONS_KEY):
             name = self.name(key)
-            for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect():
-                n = int(row[0].split("=")[1])
+            for n in self._numbers(name, "version"):
                 if n < before:
                     self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (version = {n})")

@@ -56,14 +56,12 @@ def removed(*tables: DataFrame) -> None:
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:
-    """`written`, and the driver collects the plans that are gone: Spark then
-    removes their shuffle files, which else stay as long as the driver has
-    memory to spare."""
-    back = written(df, label)
-    del df
+    """`written`, after the driver has collected the plans of steps before:
+    Spark then removes their shuffle files, which else stay as long as the
+    driver has memory to spare."""
     gc.collect()
-    back.sparkSession._jvm.System.gc()
-    return back
+    df.sparkSession._jvm.System.gc()
+    return written(df, label)
 
 
 def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:

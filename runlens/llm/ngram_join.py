@@ -440,8 +440,13 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     docs = id_and_text(docs, id_col, text_col)
     small_batches(docs.sparkSession)
     counts = None if like.in_blocks else _counts(docs, like)
-    rows = settled(_class_rows(docs, like, counts), "ngram-rows")
-    ties = settled(_ties(rows), "ngram-ties")
+    keyed = settled(_class_rows(docs, like, counts), "ngram-rows")
+    ties = settled(_ties(keyed), "ngram-ties")
+    if not like.in_blocks:
+        own = keyed.where("length(keys) > 0").select("class", F.col("keys").alias("row"), F.col("n_shingles").alias("size"))
+        prefixes = settled(own.dropDuplicates(["class"]), "ngram-prefixes")
+    rows = settled(keyed.drop("keys"), "ngram-classes")  # keys are most of the bytes
+    removed(keyed)
 
     def linked(of: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The links among the pairs, and the rows of all of their classes."""
@@ -459,8 +464,6 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
         rest = settled(_product(members, sets, like), "ngram-rest")
         removed(members, sets)
     else:
-        own = rows.where("length(keys) > 0").select("class", F.col("keys").alias("row"), F.col("n_shingles").alias("size"))
-        prefixes = settled(own.dropDuplicates(["class"]), "ngram-prefixes")
         halves = _halved(prefixes, counts)
         pairs = settled(_bounded(ties.select("a", "b").distinct(), halves, like), "ngram-pairs")
         links, sets = linked(pairs)
@@ -478,7 +481,7 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     ids = ids.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
     first = ids.groupBy("label").agg(F.min("__first").alias("component_id"))
     of_class = ids.join(first, "label").select("class", "component_id", F.col("label").alias("component"))
-    out = rows.drop("keys").join(of_class, "class", "left")
+    out = rows.join(of_class, "class", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "class", "component", "text_key")
 
 

@@ -14,8 +14,8 @@ blocks of columns:
   below the bound and never comes up, however frequent its n-grams are.
 - Rows that agree on a block are tied by a tree, built where they lie and
   again after the shuffle: a block that a third of all rows share sends one
-  row from each batch.  The overlap of each tied pair is counted from the two
-  rows of the matrix; pairs below the size-derived overlap are discarded.
+  row from each batch.  The overlap of each tied pair is counted from the n-grams
+  of the two texts; pairs below the size-derived overlap are discarded.
 - At lower thresholds blocks would be small, and small blocks agree by chance.
   There the keys are a row's rarest n-grams, by counters over all documents: as
   many that two rows which reach t must share one of them.  Passages that many
@@ -25,7 +25,9 @@ blocks of columns:
   each two blocks that share such a component and whose sizes can meet are
   multiplied column block by column block.  Counts accumulate in the product;
   only links leave it, so no link between different rows is lost and no pair
-  is emitted in between.
+  is emitted in between.  With rare keys, pairs within reach leave it, which
+  the rows' outlines (bitmaps of their hashes) bound again before they are
+  counted.
 
 Components of the links are taken over classes, then spread to documents.
 Rows, n-grams and block contents are 64-bit hashes.
@@ -58,6 +60,8 @@ GROUPS = 4
 BLOCK_NGRAMS = 8
 # Counters of n-grams (4 bytes each): 2 ** SKETCH_BITS, sent in parts.
 SKETCH_BITS, SKETCH_PARTS = 20, 64
+# Bits of a row's outline.
+OUTLINE_BITS = 1 << 13
 # Rows and columns of the dense blocks that are multiplied.
 BLOCK_ROWS = 256
 BLOCK_COLUMNS = 4096
@@ -266,25 +270,31 @@ def _ties(rows: DataFrame) -> DataFrame:
     return map_batches(packed.repartition("group").sortWithinPartitions("group"), meet, "key long, a long, b long")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
-    """(a, b, linked) with the overlap of each pair counted in full."""
+def _linked(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
+    """(a, b, linked) with the overlap of each pair counted in full.  Texts
+    travel, n-grams are taken where they arrive: hashes have three times the
+    bytes and can't be compressed."""
+
+    def sets(classes: pa.Array, column: pa.Array) -> list[np.ndarray]:
+        _, first, which = np.unique(classes.to_numpy(), return_index=True, return_inverse=True)
+        found = ngram_sets(column.take(pa.array(first)), like.n)
+        return [found[i] for i in which]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in A.chunks(whole, "row_a")):
+        for batch in (part for whole in batches for some in A.chunks(whole, "text_a") for part in A.chunks(some, "text_b")):
             out = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                small, large = sorted((len(x) // 8, len(y) // 8))
+            for x, y in zip(sets(batch.column(0), batch.column(2)), sets(batch.column(1), batch.column(3)), strict=True):
+                small, large = sorted((len(x), len(y)))
                 if 100 * small < like.percent * large:
                     out.append(False)
                     continue
-                both = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)]))
+                both = np.sort(np.concatenate([x, y]))
                 shared = int((both[1:] == both[:-1]).sum())
                 out.append(100 * shared >= like.percent * (small + large - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.bool_())], names=["a", "b", "linked"])
 
-    left = sets.select(F.col("class").alias("a"), F.col("row").alias("row_a"))
-    right = sets.select(F.col("class").alias("b"), F.col("row").alias("row_b"))
-    return map_batches(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "row_a", "row_b"), rows, "a long, b long, linked boolean")
+    left, right = (texts.select(F.col("class").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
+    return map_batches(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), rows, "a long, b long, linked boolean")
 
 
 def _halved(prefixes: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -320,32 +330,75 @@ def _bounded(pairs: DataFrame, halves: DataFrame, like: Similarity) -> DataFrame
     return map_batches(joined, rows, "a long, b long")
 
 
-def _sets(classes: DataFrame, rows: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
-    """(class, row): the n-grams of the given classes, from one document of
-    each.  Ids may repeat or be null, so each text's class is taken anew."""
+def _texts(classes: DataFrame, rows: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
+    """(class, size, text): one document of each of the given classes.  Ids may
+    repeat or be null, so each text's class is taken anew."""
     one = rows.join(classes, "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("__one"))
     same = F.col("doc_id").eqNullSafe(F.col("__one.doc_id")) & (F.xxhash64("text") == F.col("__one.text_key"))
     wanted = docs.join(one, same)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in A.chunks(batch):
                 found = ngram_sets(part.column(1), like.n)
-                own = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in found]
-                keep = np.array(own, dtype=np.int64) == part.column(0).to_numpy()
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(keep)), pa.array([x.tobytes() for x, y in zip(found, keep, strict=True) if y], pa.binary())], names=["class", "row"])
+                have = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in found]
+                keep = pa.array(np.array(have, dtype=np.int64) == part.column(0).to_numpy())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in found], pa.int64()), part.column(1)], names=["class", "size", "text"]).filter(keep)
+
+    return map_batches(wanted.select("class", "text"), own, "class long, size long, text string").dropDuplicates(["class"])
+
+
+def outline(row: np.ndarray) -> bytes:
+    """A bit for each range of hashes that the row has an n-gram in."""
+    bits = np.zeros(OUTLINE_BITS, dtype=bool)
+    bits[row >> np.uint64(65 - OUTLINE_BITS.bit_length())] = True
+    return np.packbits(bits).tobytes()
+
+
+def _in_outline(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
+    """The pairs whose outlines leave the threshold within reach: each bit that
+    one row has alone is an n-gram at least that the other lacks."""
+
+    def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in A.chunks(batch):
+                bits = [outline(x) for x in ngram_sets(part.column(2), like.n)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bits, pa.binary())], names=["class", "size", "bits"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy() for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint64).reshape(-1, OUTLINE_BITS // 64) for i in (4, 5))
+            alone = [np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64) for p, q in ((x, y), (y, x))]
+            shared = np.minimum(n - alone[0], m - alone[1])
+            yield batch.select(["a", "b"]).filter(pa.array((100 + like.percent) * shared >= like.percent * (n + m)))
+
+    found = map_batches(texts.select("class", "size", "text"), outlines, "class long, size long, bits binary")
+    left, right = (found.select(F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("size", "bits")]) for s in "ab")
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "size_a", "size_b", "bits_a", "bits_b")
+    return map_batches(joined, rows, "a long, b long")
+
+
+def _sets(texts: DataFrame, like: Similarity) -> DataFrame:
+    """(class, row): the n-grams of each class."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in A.chunks(batch):
+                packed = [x.tobytes() for x in ngram_sets(part.column(1), like.n)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], names=["class", "row"])
 
-    return map_batches(wanted.select("class", "text"), sets, "class long, row binary").dropDuplicates(["class"])
+    return map_batches(texts.select("class", "text"), rows, "class long, row binary")
 
 
-def _members(labels: DataFrame, ties: DataFrame, sets: DataFrame) -> DataFrame:
+def _members(labels: DataFrame, ties: DataFrame, texts: DataFrame) -> DataFrame:
     """(tie, size, class, label, block) of the classes of those components of
     ties that hold several components of links, in blocks of rows by size."""
     tied = ties.withColumnRenamed("node", "class").withColumnRenamed("label", "tie")
     linked = labels.withColumnRenamed("node", "class")
     both = tied.join(linked, "class", "left").withColumn("label", F.coalesce("label", "class"))
     split = both.groupBy("tie").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("tie")
-    sized = both.join(split, "tie", "left_semi").join(sets.select("class", F.expr("length(row) div 8").alias("size")), "class")
+    sized = both.join(split, "tie", "left_semi").join(texts.select("class", "size"), "class")
     rows, _ = numbered(sized.select("tie", "size", "class", "label"), "n")
     return written(rows.withColumn("block", F.expr(f"n div {BLOCK_ROWS}")).drop("n"), "ngram-blocks")
 
@@ -448,33 +501,35 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), id_col: s
     rows = settled(keyed.drop("keys"), "ngram-classes")  # keys are most of the bytes
     removed(keyed)
 
-    def linked(of: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The links among the pairs, and the rows of all of their classes."""
+    def linked(of: DataFrame, many: bool = False) -> tuple[DataFrame, DataFrame]:
+        """The links among the pairs, and a text of each of their classes."""
         classes = of.select(F.col("a").alias("class")).union(of.select(F.col("b").alias("class"))).distinct()
-        sets = settled(_sets(classes, rows, docs, like), "ngram-sets")
-        return settled(_linked(of, sets, like).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-links"), sets
+        texts = settled(_texts(classes, rows, docs, like), "ngram-texts")
+        if many:
+            of = settled(_in_outline(of, texts, like), "ngram-pairs")
+        return settled(_linked(of, texts, like).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-links"), texts
 
     # tables go as soon as they have been read for the last time
     if like.in_blocks:
         pairs = ties.select("a", "b").distinct()
-        links, sets = linked(pairs)
+        links, texts = linked(pairs)
         labels = components(links)
-        members = _members(labels, components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), sets)
+        members = _members(labels, components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), texts)
         removed(ties)
-        rest = settled(_product(members, sets, like), "ngram-rest")
-        removed(members, sets)
+        rest = settled(_product(members, _sets(texts, like), like), "ngram-rest")
+        removed(members, texts)
     else:
         halves = _halved(prefixes, counts)
         pairs = settled(_bounded(ties.select("a", "b").distinct(), halves, like), "ngram-pairs")
-        links, sets = linked(pairs)
-        removed(pairs, sets)
+        links, texts = linked(pairs)
+        removed(pairs, texts)
         labels = components(links)
         members = _members_by_key(labels, ties, prefixes)
         removed(ties)
         more = settled(_product(members, halves.drop("size"), like).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "ngram-pairs")
         removed(members, prefixes)
-        rest, sets = linked(more)
-        removed(more, sets)
+        rest, texts = linked(more, many=True)
+        removed(more, texts)
     if not rest.isEmpty():  # components found so far are stars, which new links join
         labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(rest))
     ids = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("__first"))

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import time
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from runlens.llm import entries
 from runlens.llm.components import components
-from runlens.llm.ngram_join import Similarity, ngram_components, one_of_each
+from runlens.llm.ngram_join import Similarity, _in_outline, _linked, ngram_components, ngram_sets, one_of_each
 from runlens.llm.substring_dedup import substring_dedup
 from runlens.llm.suffix_dedup import COVER, PERIOD, suffix_dedup
+from runlens.llm.tables import settled
 from tests.conftest import SF001
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -78,6 +83,49 @@ def test_ngram_components(docs, corpus, n, percent):
     assert {r.doc_id for r in one_of_each(docs, Similarity(n, percent)).collect()} == set(own) | blank
 
 
+def test_outlines_lose_no_link(spark):
+    """Pairs on both sides of the threshold, some far below it."""
+    r = random.Random(5)
+    texts = []
+    for _ in range(12):
+        words = [f"w{r.randrange(3000)}" for _ in range(r.randint(40, 400))]
+        texts.append(" ".join(words))
+        for share in (0.01, 0.03, 0.06, 0.3):
+            texts.append(" ".join(f"x{r.randrange(3000)}" if r.random() < share / 2 else w for w in words))
+    like = Similarity(5, 80)
+    sets = ngram_sets(pa.array(texts), like.n)
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a)]
+    linked = {(a, b) for a, b in pairs if 100 * len(x := np.intersect1d(sets[a], sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - len(x))}
+    assert 5 < len(linked) < 60
+    of = spark.createDataFrame([(i, len(sets[i]), t) for i, t in enumerate(texts)], "class long, size long, text string")
+    found = {(r.a, r.b) for r in _in_outline(spark.createDataFrame(pairs, "a long, b long"), of, like).collect()}
+    assert linked <= found and len(found) < 2 * len(linked) + 10
+    counted = _linked(spark.createDataFrame(sorted(found), "a long, b long"), of, like).where("linked").collect()
+    assert {(r.a, r.b) for r in counted} == linked
+
+
+def test_pairs_move_texts_and_steps_leave_no_shuffles(spark):
+    """Texts have fewer bytes than hashes of their n-grams; shuffle files of a
+    step go with it, though its plan is still held."""
+    docs = spark.createDataFrame([(i, i, f"some words of text {i} and more of them") for i in range(50)], "class long, size long, text string")
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(49)], "a long, b long")
+    step = _linked(pairs, docs.repartition(3, "class"), Similarity(2, 50))
+    plan = step._jdf.queryExecution().optimizedPlan().toString()
+    assert "text_a" in plan and "row_a" not in plan
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("|").split("|")
+        return {x for x in files if "/shuffle_" in x}
+
+    before = shuffles()
+    back = settled(step, "test-step")
+    deadline = time.time() + 10
+    while shuffles() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert back.count() == 49
+
+
 def test_components(spark):
     edges = [(5, 1), (2, 5), (7, 8), (8, 9), (9, 7), (3, 3), (20, 19), (19, 18), (18, 17), (17, 16), (16, 15)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

@@ -277,11 +277,11 @@ def publish_tables(spark: SparkSession, database: str, cfg: Config, views: bool
     made = _together([lambda key=key, df=df: _put(store, key, df, version) for key, df in tables.items()])
     new |= {key for key, is_new in zip(tables, made, strict=True) if is_new}
 
-    events, live = store.name("consolidated_events"), sorted(now.segments)
+    events, live = store.name("consolidated_events"), list(now.segments)
     old = list(before[0].segments) if before else []
     if before and set(old) != set(live):
         try:  # both versions' segments, each shown by its version
-            spark.sql(f"CREATE OR REPLACE VIEW {events} AS {_events_view(store, sorted({*old, *live}))}")
+            spark.sql(f"CREATE OR REPLACE VIEW {events} AS {_events_view(store, list(dict.fromkeys([*old, *live])))}")
         except S.SchemaClashError:
             pass  # a rebuild has changed a type: the view follows after the switch
     store.switch(version, now)

@@ -140,6 +140,8 @@ class Store:
         rows = log.filter((F.col("kind") != DONE) | F.col("mine")).collect()
         generation = max((r["generation"] for r in rows if r["kind"] != DONE), default=0)
         own = [r for r in rows if r["generation"] == generation and r["kind"] != DONE]
+        # files are listed in any order; first-seen names of columns must not depend on it
+        own.sort(key=lambda r: (-(r["level"] or 0), r["kind"] != LIVE, -1 if r["first_batch"] is None else r["first_batch"], r["source"] or ""))
         gone = {s for r in own for s in r["replaces"] or ()}
         live = {r["segment"]: r["level"] for r in own if r["segment"] not in gone}
         return Manifest(generation, live, max((r["from_time"] for r in own if r["from_time"]), default=None), era, sum(r["kind"] in (BATCH, MERGE) for r in rows), any(r["mine"] for r in rows))
@@ -217,7 +219,7 @@ class Store:
 
     def switch(self, version: int, manifest: Manifest) -> None:
         """All published views show this version from here on."""
-        row = (manifest.generation, sorted(manifest.segments), self.cfg.cutoff, self.cfg.as_of, version)
+        row = (manifest.generation, list(manifest.segments), self.cfg.cutoff, self.cfg.as_of, version)
         self.append(self.spark.createDataFrame([row], VERSION_SCHEMA).coalesce(1), self.name(VERSIONS_KEY), ["version"])
 
     def shown(self, column: str, among: Iterable[str] | None = None) -> str:

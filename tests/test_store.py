@@ -156,6 +156,14 @@ def test_one_switch_for_all_views(spark, monkeypatch):
     assert seen[2:] == [last, read()] and "note" in spark.table(names["consolidated_events"]).columns
 
 
+def test_segments_come_in_the_order_of_batches(spark):
+    """Whatever order the manifest's files are listed in."""
+    store = Store(spark, database(spark, "rl_order"), fixture_config())
+    for i in range(7):
+        store.commit(store.manifest(), "batch", 1, f"s{(5 * i) % 7}", source="s", batch_id=i)
+    assert list(store.manifest().segments) == [f"s{(5 * i) % 7}" for i in range(7)]
+
+
 def test_batches_change_the_schema(spark):
     """New columns, new fields of origin and wider types need no rebuild."""
     cfg = fixture_config(merge_fanout=3)
